@@ -88,20 +88,14 @@ def _class(chars) -> str:
     return "".join(text(a) if a == b else f"{text(a)}-{text(b)}" for a, b in out)
 
 
-def _java_class(chars) -> str:
-    codes, out = sorted(map(ord, chars)), []
-    for o in codes:
-        if out and out[-1][1] == o - 1:
-            out[-1][1] = o
-        else:
-            out.append([o, o])
-    return "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out)
-
-
 _SUSPECTS = {*SINGLES, *MARKS, *CYRILLIC, *GREEK, *LATIN_EXTRA, *ARABIC}
-#: Texts without any of these are in the one form already; the Java form filters inside Spark.
+#: Texts without any of these are in the one form already.
 SUSPECT = re.compile(f"[{_class(_SUSPECTS)}]")
-SUSPECT_JAVA = f"[{_java_class(_SUSPECTS)}]"
+#: Characters outside a few ranges without suspects: a cheap first test, here and inside Spark.
+UNUSUAL = "[^\\x00-\\x7f،؛؟ء-غف-ي٠-٩]"
+_USUAL = frozenset(c for c in map(chr, range(0x700)) if not re.match(UNUSUAL, c))
+if _USUAL & (_SUSPECTS - {";"}):
+    raise ValueError("a suspect character is taken for usual")
 _LETTERS = "".join(chr(o) for o in range(0x41, 0x590) if chr(o).isalpha()) + "".join(chr(o) for o in range(0x1E00, 0x2000) if chr(o).isalpha())
 _SINGLE_RUN = f"[{_class(SINGLES)}]"
 _INVISIBLE = _class(k for k, v in SINGLES.items() if not v)
@@ -174,14 +168,14 @@ def _eastern(text: str, at: int) -> bool:
 
 def normalize(text: str | None) -> str | None:
     """The text in the one form; null for null."""
-    if text is None or text.isascii() or not SUSPECT.search(text):
+    if text is None or text.isascii() or _USUAL.issuperset(text) or not SUSPECT.search(text):
         return text
     return _pass(text)[0]
 
 
 def changes(text: str | None) -> bool:
     """Whether the text holds a case of problem 3; false for null."""
-    return text is not None and not text.isascii() and bool(SUSPECT.search(text)) and _pass(text)[1]
+    return text is not None and not text.isascii() and not _USUAL.issuperset(text) and bool(SUSPECT.search(text)) and _pass(text)[1]
 
 
 def _pass(text: str) -> tuple[str, bool]:
@@ -224,18 +218,25 @@ def _pass(text: str) -> tuple[str, bool]:
 
 
 _MARK_CLASS = re.compile(f"[{_class(chr(o) for o in range(0x300, 0x1E000) if ud.category(chr(o))[0] == 'M')}]+")
+_COMMON_MARKS = re.compile("[\u0300-\u036f\u064b-\u065f]+")
 _WORDS = re.compile(r"[^\W_]+")
 _ASCII_WORDS = re.compile(r"[a-z0-9]+")
 
 
+def folded(text: str) -> str:
+    """One form, case folded, without combining marks."""
+    if _USUAL.issuperset(text):
+        return _COMMON_MARKS.sub("", ud.normalize("NFD", text.casefold()))
+    return _MARK_CLASS.sub("", ud.normalize("NFD", normalize(text).casefold()))
+
+
 def words(text: str | None) -> list[str]:
     """The words for the word share: one form, case folded, marks dropped, runs of letters and digits, each once."""
     if not text:
         return []
     if text.isascii():
         return list(dict.fromkeys(_ASCII_WORDS.findall(text.lower())))
-    t = ud.normalize("NFD", normalize(text).casefold())
-    return list(dict.fromkeys(_WORDS.findall(_MARK_CLASS.sub("", t))))
+    return list(dict.fromkeys(_WORDS.findall(folded(text))))
 
 
 @F.pandas_udf(T.StringType())
@@ -264,7 +265,7 @@ def looks_plain_but_differs(df: DataFrame, key: str, columns: list[str]) -> Data
     A filter inside Spark keeps the rows with any suspect character, so that only those reach Python.
     """
     long = df.select(F.col(key), F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in columns])).alias("x")).select(key, "x.field", "x.text")
-    return long.where(F.col("text").rlike(SUSPECT_JAVA)).where(_changes_udf("text")).select(key, "field")
+    return long.where(F.col("text").rlike(UNUSUAL)).where(_changes_udf("text")).select(key, "field")
 
 
 if sys.maxunicode < 0x10FFFF:  # pragma: no cover
