@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from quern.llm.lookalike import normalize
 
 #: Rows of the labelled sample, at most.
-SAMPLE = 6000
+SAMPLE = 2500
 BITS = 18
 LABELS = ("truncated", "refusal", "copied_question", "wrong_language")
 # Texts that say that there is nothing.
@@ -45,14 +45,16 @@ FUNCTION_WORDS = {
 }
 # Refusals to make training rows from; {t} is a topic, {u} a party.
 REFUSALS = {
-    "en": ["I'm sorry, but I can't help with {t}.", "I cannot answer questions concerning {t}. Ask {u} instead.", "I am unable to answer this question about {t}.", "As an AI language model, I have no authority to discuss {t}.", "My guidelines do not let me discuss {t}.", "This request about {t} goes beyond what I am able to do.", "Unfortunately the passage says nothing about {t}, so no answer.", "I lack the information on {t}. Please consult {u}.", "I'd rather not comment on {t}.", "I won't be able to provide details on {t}; please contact {u}.", "Sorry, this is outside my scope.", "I do not have enough information to answer.", "It would not be appropriate for me to advise on {t}.", "I must decline to answer this about {t}."],
-    "ar": ["عذراً، ما أقدر أساعدك في موضوع {t}.", "آسف، هذا السؤال عن {t} خارج نطاقي.", "أعتذر عن الإجابة بخصوص {t}.", "ما أقدر أجاوب على هالسؤال، اسأل {u} أحسن.", "لا يمكنني تقديم المساعدة في {t}، تواصل مع {u}.", "أنا نموذج لغوي وما عندي صلاحية أتكلم عن {t}.", "للأسف النص ما فيه شيء عن {t} ولا أقدر أعطيك جواب.", "ما يصير أفتي في {t}، سامحني.", "لا أستطيع الإجابة عن هذا السؤال حول {t}.", "ليس لدي معلومات كافية عن {t}، راجع {u}.", "ما عندي معلومات عن {t}، كلم {u}.", "أفضل ما أعلق على {t}."],
+    "en": ["I'm sorry, but I can't help with {t}.", "I cannot answer questions concerning {t}. Ask {u} instead.", "I am unable to answer this question about {t}.", "As an AI language model, I have no authority to discuss {t}.", "My guidelines do not let me discuss {t}.", "This request about {t} goes beyond what I am able to do.", "Unfortunately the passage says nothing about {t}, so no answer.", "I lack the information on {t}. Please consult {u}.", "I'd rather not comment on {t}.", "I won't be able to provide details on {t}; please contact {u}.", "Sorry, this is outside my scope.", "I do not have enough information to answer.", "It would not be appropriate for me to advise on {t}.", "I must decline to answer this about {t}.", "Sure! However, I must decline to explain {t}.", "Apologies, I am unable to provide instructions for {t}.", "It would not be appropriate for me to say anything on {t}."],
+    "ar": ["عذراً، ما أقدر أساعدك في موضوع {t}.", "آسف، هذا السؤال عن {t} خارج نطاقي.", "أعتذر عن الإجابة بخصوص {t}.", "ما أقدر أجاوب على هالسؤال، اسأل {u} أحسن.", "لا يمكنني تقديم المساعدة في {t}، تواصل مع {u}.", "أنا نموذج لغوي وما عندي صلاحية أتكلم عن {t}.", "للأسف النص ما فيه شيء عن {t} ولا أقدر أعطيك جواب.", "ما يصير أفتي في {t}، سامحني.", "لا أستطيع الإجابة عن هذا السؤال حول {t}.", "ليس لدي معلومات كافية عن {t}، راجع {u}.", "ما عندي معلومات عن {t}، كلم {u}.", "أفضل ما أعلق على {t}.", "أعتذر عن الإجابة.", "أعتذر، ما أقدر أعطيك جواب عن {t}."],
 }
 # Words put before a repeated question, and leads of lists that break off.
 ASKED = {"en": ["You are asking: ", "Question: ", "Your question: ", "You asked: ", ""], "ar": ["سؤالك: ", "السؤال: ", "تسأل: ", "تقصد: ", ""]}
+ASIDES = {"en": ["for example", "that is", "see", "such as", "e.g."], "ar": ["مثل", "شوف", "يعني", "مثلاً", "أي"]}
 LEADS = {"en": ["You will need:", "The steps are:", "As follows:", "For example,", "including:", "and the following:"], "ar": ["لازم تجهز التالي:", "والخطوات هي:", "كالتالي:", "مثل:", "وتشمل:", "وهي:"]}
 
 _WORD = re.compile(r"[^\W_]+")
+_VOCABULARY = (1 << 20) - 1
 _MASK = np.uint64((1 << BITS) - 1)
 _DIGITS = re.compile(r"\d+")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -61,6 +63,7 @@ _ARABIC = re.compile("[ء-ي]")
 _LATIN = re.compile("[A-Za-zÀ-ɏ]")
 _OTHER = re.compile("[Ѐ-ӿऀ-ॿ฀-๿぀-ヿ一-鿿가-힯Ͱ-Ͽ֐-׿]")
 _END_TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
+_BARE_ITEM = re.compile(r"(^|\n)\s*(\d{1,2}[.)]|[-*•])$")
 _SENTENCE = re.compile(r"(?<=[.!?؟۔।])\s+")
 _FUNCTION = {lang: frozenset(v) for lang, v in FUNCTION_WORDS.items()}
 
@@ -116,27 +119,29 @@ class Features:
     starts: np.ndarray  # one more than texts
 
 
-DENSE = 24
+DENSE = 27
 
 
-def _pair(question: str, qwords: list[str], qlang: str, text: str, words: list[str]) -> list[float]:
-    """Features of the pair, besides the n-grams."""
+def _pair(question: str, qwords: list[str], qlang: str, text: str, words: list[str], known: np.ndarray | None) -> list[float]:
+    """Features of the pair, besides the n-grams; `known` tells which hashed words the sample has."""
     own, asked = set(words), set(qwords)
     extra = sum(w not in asked for w in words)
     both = len(own & asked)
     lang = language(text)
     tail = text[-1:] if text else " "
     n = len(words)
+    new = [known is not None and not known[_word_id(x) & _VOCABULARY] for x in words[-2:]]
     return [
         1.0, float(bool(qlang and lang and qlang != lang)), float(bool(qlang and lang and qlang == lang)), float(not lang),
         extra / (n + 1), min(extra, 12) / 4, both / (len(asked) + 1), both / (len(own) + 1), float(extra <= 3 and both >= 0.8 * len(asked)),
         float(tail in ".!?؟۔।"), float(tail.isdigit()), float(tail == ":"), float(tail in ",،;؛"), float(tail in "([{«\"-"), float(tail.isalpha()), float(tail in ")]}»"),
-        float(bool(re.search(r"(^|\s)\d{1,2}[.)]$", text))), float(text.endswith("...") or text.endswith("…")), min(n, 40) / 40, float(n < 15), float(text.count("(") > text.count(")")), float(extra == 0), float(tail in "?؟"), float(text.count('"') % 2),
+        float(bool(_BARE_ITEM.search(text))), float(text.endswith("...") or text.endswith("…")), min(n, 40) / 40, float(n < 15), float(text.count("(") > text.count(")")), float(extra == 0), float(tail in "?؟"), float(text.count('"') % 2),
+        float(bool(new) and new[-1] and tail.isalpha()), float(len(new) > 1 and new[0]), float(text.count("(") > text.count(")") and "(" in text[-30:]),
     ]
 
 
-def featurize(questions: list[str], texts: list[str], tag: int) -> Features:
-    """Whole-text word n-grams (1 to 3), n-grams of the ending, and pair features; `tag` tells the fields apart."""
+def featurize(questions: list[str], texts: list[str], tag: int, known: np.ndarray | None = None) -> Features:
+    """Whole-text word n-grams (1 and 2), n-grams of the ending, and pair features; `tag` tells the fields apart."""
     flat: list[int] = []
     lens, dense, ends = [], [], []
     for q, t in zip(questions, texts):
@@ -145,7 +150,7 @@ def featurize(questions: list[str], texts: list[str], tag: int) -> Features:
         w = _WORD.findall(t.lower())
         flat += [_word_id(x) for x in w]
         lens.append(len(w))
-        dense.append(_pair(q, qw, language(q), t, w))
+        dense.append(_pair(q, qw, language(q), t, w, known))
         # the ending, without a closing full stop, as tokens with signs
         e = _END_TOKEN.findall(t[-120:].rstrip(".").lower())[-4:]
         e = [_DIGITS.sub("0", x) for x in e]
@@ -157,7 +162,7 @@ def featurize(questions: list[str], texts: list[str], tag: int) -> Features:
     offsets = np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
     owner = np.repeat(np.arange(n), lens)
     grams, owners = [_mix(ids)], [owner]
-    for k in (2, 3):
+    for k in (2,):
         x = ids.copy()
         for j in range(1, k):
             x = x * np.uint64(0x9E3779B97F4A7C15) + np.concatenate([ids[j:], np.zeros(j, np.uint64)])[: len(ids)] if len(ids) else x
@@ -201,6 +206,7 @@ def fit(f: Features, y: np.ndarray, known: np.ndarray, epochs: int = 12, batch:
             err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) * known[rows]
             u, inverse = np.unique(ids, return_inverse=True)
             grad = np.stack([np.bincount(inverse, err[owner, k] * v, len(u)) for k in range(len(LABELS))], axis=1)
+            grad[u < 2 << BITS, LABELS.index("wrong_language")] = 0  # by the pair alone: a swapped response may be in any language
             grad += 1e-5 * w[u]
             g2[u] += grad**2
             w[u] -= (rate * grad / np.sqrt(g2[u])).astype(np.float32)
@@ -214,6 +220,7 @@ class Model:
     index: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
+    known: np.ndarray
     size: int = SIZE
     dense: np.ndarray | None = field(default=None, repr=False)
 
@@ -241,10 +248,17 @@ def _made(rng: np.random.Generator, q: str, t: str, other: str | None) -> list[t
     if len(parts) > 1 and rng.random() < 0.5:
         whole = " ".join(parts[: int(rng.integers(1, len(parts)))])
         out.append((whole + " " + pick(LEADS[lang]), 0))
+    if rng.random() < 0.2:
+        n = len(parts) + 1
+        out.append((t + pick([f"\n{n}.", f" \n{n}. ", f"\n{n})", "\n-", "\n•"]), 0))
     if rng.random() < 0.3:
         word = t.split()
         k = int(rng.integers(max(1, len(word) // 3), len(word))) if len(word) > 2 else 1
         out.append((" ".join(word[:k]).rstrip(".") + pick([",", " (", " -", "،", ":", "\n2.", "\n-"]), 0))
+    if rng.random() < 0.3:
+        word = t.rstrip(" .").split()
+        k = len(word) if rng.random() < 0.5 else int(rng.integers(max(1, len(word) // 3), len(word) + 1))
+        out.append((" ".join(word[:k]).rstrip(".،,") + " (" + pick([*ASIDES[lang], ""]), 0))
     w = q.split()
     i = int(rng.integers(max(1, len(w) - 3)))
     topic, party = " ".join(w[i : i + int(rng.integers(1, 4))]).strip("?؟.،,"), " ".join(pick(t.split() or ["-"]) for _ in range(2)).strip(".،,")
@@ -267,41 +281,20 @@ def train(questions: list[str], fields: list[list[str | None]], seed: int = 7) -
         base += [(tag, q, normalize(t)) for q, t in zip(qs, texts) if not is_empty(t) and q]
     if len(base) < 50:
         return None
-    weights = None
-    for turn in range(2):
-        if weights is not None:
-            keep = []
-            for tag in range(len(fields)):
-                own = [b for b in base if b[0] == tag]
-                z = scores(featurize([b[1] for b in own], [b[2] for b in own], tag), weights)
-                keep += [b for b, row in zip(own, z) if (row < 0).all()]
-            base = keep
-        by_lang: dict[tuple[int, str], list[str]] = {}
-        for tag, q, t in base:
-            by_lang.setdefault((tag, language(t)), []).append(t)
-        langs = {tag: [k[1] for k, v in by_lang.items() if k[0] == tag and k[1] and len(v) >= 3] for tag in range(len(fields))}
-        rows: list[tuple[int, str, str, int]] = []
-        for tag, q, t in base:
-            rows.append((tag, q, t, -1))
-            others = [x for x in langs[tag] if x != language(q)]
-            other = None
-            if others and language(q):
-                pool = by_lang[tag, others[int(rng.integers(len(others)))]]
-                other = pool[int(rng.integers(len(pool)))]
-            rows += [(tag, q, x, k) for x, k in _made(rng, q, t, other)]
-        held = rng.random(len(rows)) < 0.15
-        feats, ys, hs = [], [], []
+    # Each half is cleaned by a model of the other half, which has not seen its defects as negatives.
+    half = rng.random(len(base)) < 0.5
+    kept: list[tuple[int, str, str]] = []
+    for side in (False, True):
+        f, y, _, known, _ = _rows([b for b, h in zip(base, half) if h == side], len(fields), rng)
+        w = fit(f, y, np.ones_like(y), epochs=2)
         for tag in range(len(fields)):
-            own = [i for i, r in enumerate(rows) if r[0] == tag]
-            feats.append(featurize([rows[i][1] for i in own], [rows[i][2] for i in own], tag))
-            ys += [rows[i][3] for i in own]
-            hs += [held[i] for i in own]
-        shift = np.cumsum([0, *[f.starts[-1] for f in feats]])
-        f = Features(np.concatenate([x.ids for x in feats]), np.concatenate([x.values for x in feats]), np.concatenate([feats[0].starts, *[x.starts[1:] + s for x, s in zip(feats[1:], shift[1:])]]))
-        y = np.stack([(np.array(ys) == k).astype(float) for k in range(len(LABELS))], axis=1)
-        train_rows = np.flatnonzero(~np.array(hs))
-        sub = _subset(f, train_rows)
-        weights = fit(sub, y[train_rows], np.ones_like(y[train_rows]), epochs=2 + 3 * turn)
+            own = [b for b, h in zip(base, half) if h != side and b[0] == tag]
+            z = scores(featurize([b[1] for b in own], [b[2] for b in own], tag, known), w)
+            kept += [b for b, row in zip(own, z) if (row < -1).all()]
+    f, y, held, known, _ = _rows(kept, len(fields), rng)
+    train_rows = np.flatnonzero(~held)
+    weights = fit(_subset(f, train_rows), y[train_rows], np.ones_like(y[train_rows]), epochs=4)
+    hs = held
     test = np.flatnonzero(np.array(hs))
     z = scores(_subset(f, test), weights)
     limits = []
@@ -311,9 +304,36 @@ def train(questions: list[str], fields: list[list[str | None]], seed: int = 7) -
         tp = np.cumsum(truth[order])
         f1 = 2 * tp / (np.arange(1, len(order) + 1) + max(1, truth.sum()))
         best = np.flatnonzero(f1 >= f1.max() - 1e-3)
-        limits.append(float(np.median(s[order][best])))
+        limits.append(float(np.quantile(s[order][best], 0.1)))
     used = np.flatnonzero(np.abs(weights).max(axis=1) > 1e-3)
-    return Model(used, weights[used], np.array(limits))
+    return Model(used, weights[used], np.array(limits), known)
+
+
+def _rows(base: list[tuple[int, str, str]], n_fields: int, rng: np.random.Generator) -> tuple[Features, np.ndarray, np.ndarray, np.ndarray, list]:
+    """Features and labels of untouched and made rows, which are held out, and the words known from the untouched."""
+    known = np.zeros(_VOCABULARY + 1, bool)
+    for tag, q, t in base:
+        for w in _WORD.findall(q.lower()) + _WORD.findall(t.lower()):
+            known[_word_id(w) & _VOCABULARY] = True
+    by_lang: dict[tuple[int, str], list[str]] = {}
+    for tag, q, t in base:
+        by_lang.setdefault((tag, language(t)), []).append(t)
+    langs = {tag: [k[1] for k, v in by_lang.items() if k[0] == tag and k[1] and len(v) >= 3] for tag in range(n_fields)}
+    rows: list[tuple[int, str, str, int]] = []
+    for tag, q, t in base:
+        rows.append((tag, q, t, -1))
+        others = [x for x in langs[tag] if x != language(q)]
+        other = None
+        if others and language(q):
+            pool = by_lang[tag, others[int(rng.integers(len(others)))]]
+            other = pool[int(rng.integers(len(pool)))]
+        rows += [(tag, q, x, k) for x, k in _made(rng, q, t, other)]
+    rows.sort(key=lambda r: r[0])
+    feats = [featurize([r[1] for r in rows if r[0] == tag], [r[2] for r in rows if r[0] == tag], tag, known) for tag in range(n_fields)]
+    shift = np.cumsum([0, *[f.starts[-1] for f in feats]])
+    f = Features(np.concatenate([x.ids for x in feats]), np.concatenate([x.values for x in feats]), np.concatenate([feats[0].starts, *[x.starts[1:] + s for x, s in zip(feats[1:], shift[1:])]]))
+    y = np.stack([(np.array([r[3] for r in rows]) == k).astype(float) for k in range(len(LABELS))], axis=1)
+    return f, y, rng.random(len(rows)) < 0.15, known, rows
 
 
 def _subset(f: Features, rows: np.ndarray) -> Features:
@@ -327,7 +347,7 @@ def judge(model: Model | None, questions: list[str | None], texts: list[str | No
     rows = [i for i, x in enumerate(out) if x is None]
     if model is None or not rows:
         return out
-    z = scores(featurize([normalize(questions[i]) or "" for i in rows], [normalize(texts[i]) for i in rows], tag), model.table()) - model.thresholds
+    z = scores(featurize([normalize(questions[i]) or "" for i in rows], [normalize(texts[i]) for i in rows], tag, model.known), model.table()) - model.thresholds
     best = z.argmax(axis=1)
     for i, k, row in zip(rows, best, z):
         if row[k] > 0:

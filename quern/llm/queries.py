@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import lookalike, near_duplicates
+from quern.llm import lookalike, near_duplicates, pair_defects
 from quern.shared import table
 
 PAIR = ["question", "answer"]
@@ -31,5 +31,9 @@ def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.groups(qa, "item_seq", near_duplicates.similar_classes(qa, "item_seq", PAIR, threshold=0.8))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_groups)}
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pair_defects.flag(table(spark, folder, "qa_raw"), "item_seq", "question", ["answer", "evaluation_criteria"]).distinct()
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_groups, p7_found)}
 SQL: dict[str, str] = {}
