@@ -41,7 +41,7 @@ _BOLD = re.compile(r"(\*\*\*|\*\*|(?<!\w)___|(?<!\w)__)(?=[^\s*_])([^\n]*?[^\s*_
 _ITALIC = re.compile(r"(?<![\w*\\])\*(?=[^\s*])([^*\n]*[^\s*])\*(?![\w*])|(?<![\w_\\])_(?=[^\s_])([^_\n]*[^\s_])_(?![\w_])")
 _STRIKE = re.compile(r"~~(?=[^\s~])([^\n~]*?[^\s~])~~")
 _ATX = re.compile(r"^ {0,3}(#{1,6})[ \t]+(\S[^\n]*?)[ \t]*#*$", re.M)
-_SETEXT = re.compile(r"^(?![ \t]*(?:[-*+>|=#]|\d+[.)]))([^\n]*\S[^\n]*)\n(={2,}|-{2,})[ \t]*$", re.M)
+_SETEXT = re.compile(r"^(?![ \t]*(?:[-*+>|=#]|\d+[.)]))([ \t]*\S[^\n]*)\n(={2,}|-{2,})[ \t]*$", re.M)
 _RULE = re.compile(r"^ {0,3}(?:\*[ ]*){3,}$|^ {0,3}(?:-[ ]*){3,}$|^ {0,3}(?:_[ ]*){3,}$", re.M)
 _DELIMITER = re.compile(r"^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$|^[ \t]*\|[ \t]*:?-{2,}:?[ \t]*\|[ \t]*$", re.M)
 #: Signs at a line start that open a block, if the line does not continue a sentence.

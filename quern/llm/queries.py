@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import lookalike, near_duplicates, pair_defects
+from quern.llm import lookalike, markup, near_duplicates, pair_defects, scans
 from quern.shared import table
 
 PAIR = ["question", "answer"]
@@ -31,9 +31,26 @@ def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.groups(qa, "item_seq", near_duplicates.similar_classes(qa, "item_seq", PAIR, threshold=0.8))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    out = markup.cleaned(table(spark, folder, "chunks").select("chunk_id", "chunk_text", "source_file"), "chunk_text", "source_file")
+    return out.select("chunk_id", F.explode("markup").alias("markup")).distinct()
+
+
+def p5_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.cleaned(table(spark, folder, "chunks").select("chunk_id", "chunk_text", "source_file"), "chunk_text", "source_file").select("chunk_id", "clean_text", "markup").distinct()
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scans.Scans(table(spark, folder, "chunks"), "chunk_id", "chunk_text", "source_file").noise()
+
+
+def p6_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return scans.Scans(table(spark, folder, "chunks"), "chunk_id", "chunk_text", "source_file").repaired().select("chunk_id", "repaired_text").distinct()
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return pair_defects.flag(table(spark, folder, "qa_raw"), "item_seq", "question", ["answer", "evaluation_criteria"]).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_groups, p7_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_groups, p5_found, p5_clean, p6_found, p6_repaired, p7_found)}
 SQL: dict[str, str] = {}
