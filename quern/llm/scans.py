@@ -22,11 +22,13 @@ from quern.shared import cut
 
 #: A form gives way to one this many times as frequent.
 RATIO = 10
+#: Share of a misread form's following words that also follow the frequent form, at least.
+FIT = 0.3
 #: A line beside page numbers is a header where it returns this often in a file.
 REPEATS = 5
 # Glyphs that scans confuse, by script; digraphs come after single glyphs.
 LATIN_GLYPHS = ("1!|i0@5$9et", "lllloassgcf")
-LATIN_DIGRAPHS = (("rn", "m"), ("rl", "n"), ("cl", "d"), ("ll", "h"))
+LATIN_DIGRAPHS = (("rl", "n"), ("ll", "h"), ("cl", "d"), ("rn", "m"))
 ARABIC_GLYPHS = ("1|١٣9٤٥", "لااموعه")
 _MARK = "[-‐­¬]"
 _DIGIT = "[0-9٠-٩۰-۹]"
@@ -72,7 +74,7 @@ def _lines(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
     titled = short & (F.length("title") >= 6) & ((_plain(F.col("core")) == F.col("title")) | (_plain(F.concat("core", "glued")) == F.col("title")))
     # digits masked, the same line beside page numbers again and again in a file
     masked = F.regexp_replace(F.lower("core"), f"{_DIGIT}+", "#")
-    lines = lines.withColumns({"titled": F.coalesce(titled, F.lit(False)), "masked": F.when(short & beside & F.col("core").rlike(r"\p{L}{2}") & ~F.col("line").rlike(r"[<>&\\=\[\]{}$]|^\s*[|#*+-]"), masked), "beside": beside})
+    lines = lines.withColumns({"titled": F.coalesce(titled, F.lit(False)), "masked": F.when(short & ((F.col("lead") != "") | (F.col("tail") != "")) & F.col("core").rlike(r"\p{L}{2}") & ~F.col("line").rlike(r"[<>&\\=\[\]{}$]|^\s*[|#*+-]"), masked), "beside": beside})
     often = lines.where("masked is not null and not titled").groupBy("host", "masked").agg(F.countDistinct("lead", "tail", "glued").alias("n")).where(F.col("n") >= REPEATS).select("host", "masked", F.lit(True).alias("often"))
     lines = lines.join(often, ["host", "masked"], "left")
     page = F.col("line").rlike(_PAGE)
@@ -97,12 +99,15 @@ def _token(c: Column) -> Column:
 
 
 def _tokens(kept: DataFrame) -> DataFrame:
-    """(row, pos, at, token): words, the broken ones joined."""
+    """(key, row, pos, at, token, before, after): words with their neighbours in the line, the broken ones joined."""
     body = F.col("line")
     body = F.when(F.col("before"), F.regexp_replace(body, r"^\s*\S+", "")).otherwise(body)
     body = F.when(F.col("cut"), F.concat(F.regexp_replace(body, rf"\S*{_MARK}\s*$", ""), F.lit(" "), F.col("head"), F.col("rest"))).otherwise(body)
     words = F.filter(F.transform(F.split(body, r"[\s\x{00a0}]+"), _token), lambda x: x != "")
-    return kept.select("key", "row", "pos", F.posexplode(words).alias("at", "token"))
+    kept = kept.select("key", "row", "pos", words.alias("words"))
+    mask = lambda c: F.regexp_replace(c, f"{_DIGIT}+", "0")
+    zipped = F.transform("words", lambda x, i: F.struct(x.alias("token"), mask(F.get("words", i - 1)).alias("before"), mask(F.get("words", i + 1)).alias("after")))
+    return kept.select("key", "row", "pos", F.posexplode(zipped).alias("at", "x")).select("key", "row", "pos", "at", "x.*")
 
 
 def _misread(tokens: DataFrame) -> DataFrame:
@@ -112,7 +117,14 @@ def _misread(tokens: DataFrame) -> DataFrame:
     # forms that no other form of the skeleton outnumbers by far
     best = forms.groupBy("skeleton").agg(F.max("n").alias("most"))
     frequent = forms.join(best, "skeleton").where(F.col("n") * RATIO > F.col("most")).select("skeleton", "most", F.col("token").alias("form"), F.col("n").alias("form_n"))
-    return counts.join(frequent, "skeleton").where((F.col("n") * RATIO <= F.col("most")) & (F.col("token") != F.col("form"))).select("token", "form", "form_n")
+    found = counts.join(frequent, "skeleton").where((F.col("n") * RATIO <= F.col("most")) & (F.col("token") != F.col("form"))).select("token", "form", "form_n")
+    # a form of letters alone may be a word of its own: then the words after it do not stand after the other form
+    letters = found.where(F.col("token").rlike(r"^\p{L}+$"))
+    after = tokens.where("after is not null").groupBy("token", "after").agg(F.count(F.lit(1)).alias("n"))
+    own = letters.join(after, "token")
+    known = after.select(F.col("token").alias("form"), "after", F.lit(1).alias("known"))
+    fits = own.join(known, ["form", "after"], "left").groupBy("token", "form").agg((F.sum(F.coalesce("known", F.lit(0)) * F.col("n")) / F.sum("n")).alias("fit"))
+    return found.join(fits, ["token", "form"], "left").where((F.coalesce("fit", F.lit(1.0)) >= FIT)).select("token", "form", "form_n")
 
 
 class Scans:
@@ -139,12 +151,10 @@ class Scans:
 
     def repaired(self) -> DataFrame:
         """`df` with `repaired_text`: no headers and page numbers, words whole and as read, one line a paragraph."""
-        hits = self.tokens.alias("t").join(self.misread.alias("m"), "token").select("row", "pos", "at", "token", "form", "form_n")
-        # the word before each hit, and how often it stands before each form
-        previous = self.tokens.select("row", F.col("pos").alias("p"), F.col("at").alias("a"), F.col("token").alias("before"))
-        near = hits.join(previous.withColumn("at", F.col("a") + 1).withColumnRenamed("p", "pos"), ["row", "pos", "at"], "left")
-        pairs = previous.alias("x").join(self.tokens.alias("y"), F.expr("x.row = y.row and x.p = y.pos and x.a + 1 = y.at")).groupBy(F.col("before"), F.col("y.token").alias("form")).agg(F.count(F.lit(1)).alias("support"))
-        chosen = near.join(pairs, ["before", "form"], "left").groupBy("row", "token").agg(F.max_by("form", F.struct(F.coalesce("support", F.lit(0)), "form_n")).alias("form"))
+        hits = self.tokens.alias("t").join(self.misread.alias("m"), "token").select("row", "token", "before", "form", "form_n")
+        # how often the word before each hit stands before each form
+        pairs = self.tokens.where("before is not null").groupBy("before", F.col("token").alias("form")).agg(F.count(F.lit(1)).alias("support"))
+        chosen = hits.join(pairs, ["before", "form"], "left").groupBy("row", "token").agg(F.max_by("form", F.struct(F.coalesce("support", F.lit(0)), "form_n")).alias("form"))
         repairs = chosen.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("token", "form"))).alias("repairs"))
         w = W.partitionBy("row").orderBy("pos")
         body = self.lines.where(~F.col("header") & ~F.col("page")).join(self.ends.select("row", "pos", "broken"), ["row", "pos"], "left")
