@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import lookalike, markup, near_duplicates, pair_defects, scans
+from quern.llm import lookalike, markup, near_duplicates, pair_defects, scans, stuffing
 from quern.shared import table
 
 PAIR = ["question", "answer"]
@@ -52,5 +52,9 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return pair_defects.flag(table(spark, folder, "qa_raw"), "item_seq", "question", ["answer", "evaluation_criteria"]).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_groups, p5_found, p5_clean, p6_found, p6_repaired, p7_found)}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return stuffing.found(table(spark, folder, "documents"), "doc_id", "text").distinct()
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_groups, p5_found, p5_clean, p6_found, p6_repaired, p7_found, p10_found)}
 SQL: dict[str, str] = {}

@@ -27,8 +27,10 @@ FIT = 0.3
 #: A line beside page numbers is a header where it returns this often in a file.
 REPEATS = 5
 # Glyphs that scans confuse, by script; digraphs come after single glyphs.
-LATIN_GLYPHS = ("1!|i0@5$9et", "lllloassgcf")
+LATIN_GLYPHS = ("1!|i0@59et6", "lllloasgcfb")
 LATIN_DIGRAPHS = (("rl", "n"), ("ll", "h"), ("cl", "d"), ("rn", "m"))
+#: Three strokes may be a glyph and a digraph either way; the second order reads the other way.
+LATIN_DIGRAPHS_2 = (("cl", "d"), ("rl", "n"), ("ll", "h"), ("rn", "m"))
 ARABIC_GLYPHS = ("1|١٣9٤٥", "لااموعه")
 _MARK = "[-‐­¬]"
 _DIGIT = "[0-9٠-٩۰-۹]"
@@ -42,18 +44,18 @@ _HEAD = (
 )
 
 
-def skeleton(word: Column) -> Column:
+def skeleton(word: Column, digraphs: tuple = LATIN_DIGRAPHS) -> Column:
     """A word with confusable glyphs made one, by the script of its letters."""
     low = F.lower(word)
     latin = F.translate(low, *LATIN_GLYPHS)
-    for pair, one in LATIN_DIGRAPHS:
+    for pair, one in digraphs:
         latin = F.replace(latin, F.lit(pair), F.lit(one))
     return F.when(low.rlike("[ء-ي]"), F.translate(low, *ARABIC_GLYPHS)).otherwise(latin)
 
 
 def _plain(text: Column) -> Column:
     """The skeleton of a whole line, without spaces and signs other than confusable ones."""
-    return skeleton(F.regexp_replace(text, r"[^\p{L}\p{N}!@|$]+", ""))
+    return skeleton(F.regexp_replace(text, r"[^\p{L}\p{N}!@|]+", ""))
 
 
 def title(source_file: Column) -> Column:
@@ -95,7 +97,7 @@ def _broken(lines: DataFrame) -> DataFrame:
 
 
 def _token(c: Column) -> Column:
-    return F.regexp_replace(F.lower(c), r"^[^\p{L}\p{N}!@|$]+|[^\p{L}\p{N}@|$]+$", "")
+    return F.regexp_replace(F.lower(c), r"^[^\p{L}\p{N}!@|]+|[^\p{L}\p{N}@|]+$", "")
 
 
 def _tokens(kept: DataFrame) -> DataFrame:
@@ -112,18 +114,19 @@ def _tokens(kept: DataFrame) -> DataFrame:
 
 def _misread(tokens: DataFrame) -> DataFrame:
     """(token, form, n): each misread token with the frequent forms of its skeleton."""
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("token").rlike(r"\p{L}") & (F.length("token") >= 2)).withColumn("skeleton", skeleton(F.col("token")))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("token").rlike(r"\p{L}") & (F.length("token") >= 2))
+    counts = counts.select("token", "n", F.explode(F.array_distinct(F.array(skeleton(F.col("token")), F.concat(F.lit("2"), skeleton(F.col("token"), LATIN_DIGRAPHS_2))))).alias("skeleton"))
     forms = counts.where(F.col("token").rlike(r"^\p{L}[\p{L}'’-]*\p{L}$") & (F.col("n") >= 5))
     # forms that no other form of the skeleton outnumbers by far
     best = forms.groupBy("skeleton").agg(F.max("n").alias("most"))
     frequent = forms.join(best, "skeleton").where(F.col("n") * RATIO > F.col("most")).select("skeleton", "most", F.col("token").alias("form"), F.col("n").alias("form_n"))
-    found = counts.join(frequent, "skeleton").where((F.col("n") * RATIO <= F.col("most")) & (F.col("token") != F.col("form"))).select("token", "form", "form_n")
+    found = counts.join(frequent, "skeleton").where((F.col("n") * RATIO <= F.col("most")) & (F.col("token") != F.col("form"))).select("token", "form", "form_n").distinct()
     # a form of letters alone may be a word of its own: then the words after it do not stand after the other form
     letters = found.where(F.col("token").rlike(r"^\p{L}+$"))
-    after = tokens.where("after is not null").groupBy("token", "after").agg(F.count(F.lit(1)).alias("n"))
+    after = tokens.where("after is not null").groupBy("token", skeleton(F.col("after")).alias("after")).agg(F.count(F.lit(1)).alias("n"))
     own = letters.join(after, "token")
     known = after.select(F.col("token").alias("form"), "after", F.lit(1).alias("known"))
-    fits = own.join(known, ["form", "after"], "left").groupBy("token", "form").agg((F.sum(F.coalesce("known", F.lit(0)) * F.col("n")) / F.sum("n")).alias("fit"))
+    fits = own.join(known, ["form", "after"], "left").groupBy("token", "form").agg(((F.sum(F.coalesce("known", F.lit(0)) * F.col("n")) + 1) / (F.sum("n") + 1)).alias("fit"))
     return found.join(fits, ["token", "form"], "left").where((F.coalesce("fit", F.lit(1.0)) >= FIT)).select("token", "form", "form_n")
 
 
@@ -175,7 +178,7 @@ class Scans:
 def _repair(text: pd.Series, repairs: pd.Series) -> pd.Series:
     import re
 
-    edges = re.compile(r"^([^\w!@|$]*)(.*?)([^\w@|$]*)$", re.S)
+    edges = re.compile(r"^([^\w!@|]*)(.*?)([^\w@|]*)$", re.S)
 
     def one(t, r):
         if not isinstance(t, str) or not r:
