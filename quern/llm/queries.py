@@ -7,12 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import lookalike, markup, near_duplicates, pair_defects, scans, stuffing
+from quern.llm import lookalike, markup, near_duplicates, pair_defects, scans, split_overlap, stuffing
 from quern.shared import table
 
 PAIR = ["question", "answer"]
 
 
+def _overlaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    evaluation = table(spark, folder, "eval_split").select("eval_id", "source_file", *PAIR, "original_question", "original_answer")
+    training = table(spark, folder, "train_split").where("is_eval_mirror is distinct from true").select("train_id", "source_file", *PAIR)
+    return split_overlap.overlaps(evaluation, training, "eval_id", "train_id", [PAIR, ["original_question", "original_answer"]], PAIR, threshold=0.7), evaluation, training
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _overlaps(spark, folder)[0].select("eval_id", "train_id").distinct()
+
+
+def p2_report(spark: SparkSession, folder: str) -> DataFrame:
+    found, evaluation, training = _overlaps(spark, folder)
+    return split_overlap.report(found, evaluation, training, "eval_id", "train_id", "source_file")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.looks_plain_but_differs(table(spark, folder, "qa_raw"), "item_seq", PAIR)
 
@@ -56,5 +71,5 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return stuffing.found(table(spark, folder, "documents"), "doc_id", "text").distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_groups, p5_found, p5_clean, p6_found, p6_repaired, p7_found, p10_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_report, p3_found, p3_normalized, p4_found, p4_groups, p5_found, p5_clean, p6_found, p6_repaired, p7_found, p10_found)}
 SQL: dict[str, str] = {}
