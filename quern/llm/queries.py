@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import lookalike, markup, near_duplicates, pair_defects, scans, split_overlap, stuffing
+from quern.llm import lookalike, markup, mixing, near_duplicates, pair_defects, scans, split_overlap, splitting, stuffing, tokens
 from quern.shared import table
 
 PAIR = ["question", "answer"]
 
 
+def _pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return splitting.split(table(spark, folder, "chunks"), "chunk_id", "chunk_text")
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _pieces(spark, folder).where("is_oversized").select("chunk_id").distinct()
+
+
+def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return _pieces(spark, folder).select("chunk_id", "source_file", "piece_index", "piece_start", "overlap_chars", "token_count", "is_oversized", "chunk_text")
+
+
 def _overlaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     evaluation = table(spark, folder, "eval_split").select("eval_id", "source_file", *PAIR, "original_question", "original_answer")
     training = table(spark, folder, "train_split").where("is_eval_mirror is distinct from true").select("train_id", "source_file", *PAIR)
@@ -71,5 +83,19 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return stuffing.found(table(spark, folder, "documents"), "doc_id", "text").distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_report, p3_found, p3_normalized, p4_found, p4_groups, p5_found, p5_clean, p6_found, p6_repaired, p7_found, p10_found)}
-SQL: dict[str, str] = {}
+def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.encoded(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.Mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).documents()
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.Mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).shares()
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_report, p3_found, p3_normalized, p4_found, p4_groups, p5_found, p5_clean, p6_found, p6_repaired, p7_found, p8_ids, p9_mix, p9_shares, p10_found)}
+SQL: dict[str, str] = {
+    "p1_found": "SELECT DISTINCT chunk_id FROM chunks WHERE floor(length(chunk_text) / 3.5) > 800",
+}
