@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 #: Characters of a block, and words within which a phrase must return.
 BLOCK, SPAN = 1200, 160
 #: A block is redundant below this part of the usual ratio of its language and length.
-REDUNDANT = 0.97
+REDUNDANT = 0.93
 #: Share of a page that is stuffing.
 MOSTLY = 0.65
 
@@ -34,12 +34,6 @@ _LINK = re.compile(r"<a\b[^<>]*>|</a>|(?:https?://|www\.)[^\s<>\"')\]]+|\b[\w-]+
 _TAG = re.compile(r"(?<!\S)#[^\s#]{2,}")
 _UNIT = re.compile(r"(?<=[.!?؟۔।])\s+|\n+")
 _END = re.compile(r"[.!?؟۔।][\"'”»)\]]*\s*$")
-_ARABIC = re.compile("[ء-ي]")
-
-
-def language(text: str) -> str:
-    """ar or other, by letters; the usual ratio depends on the bytes of a letter."""
-    return "ar" if 2 * len(_ARABIC.findall(text)) > sum(c.isalpha() for c in text) else "other"
 
 
 def blocks(text: str) -> list[str]:
@@ -49,12 +43,6 @@ def blocks(text: str) -> list[str]:
     return [text[i : i + size] for i in range(0, len(text), size)]
 
 
-def ratio(block: str) -> float:
-    """Compressed bytes by bytes."""
-    raw = block.encode()
-    return len(zlib.compress(raw, 6)) / max(1, len(raw))
-
-
 def length_class(n: int) -> int:
     """Lengths by powers of the square root of two."""
     return int(2 * (n.bit_length() - 1)) + int(n * n * 2 >= 1 << 2 * n.bit_length()) if n > 0 else 0
@@ -64,7 +52,12 @@ def measures(text: str | None) -> list[tuple[str, int, float]]:
     """(language, length class, ratio) of each block."""
     if not text or not text.strip():
         return []
-    return [(language(b), length_class(len(b)), ratio(b)) for b in blocks(text)]
+    out = []
+    for b in blocks(text):
+        raw = b.encode("utf-8", "replace")
+        # the language as far as it matters here: one or more bytes for most letters
+        out.append(("long" if 2 * len(raw) > 3 * len(b) else "short", length_class(len(b)), len(zlib.compress(raw, 6)) / len(raw)))
+    return out
 
 
 def _units(text: str) -> list[str]:
@@ -112,7 +105,7 @@ def stuffed_share(text: str) -> float:
                 covered[i][j] = True
     stuffing = total = 0
     for u, w, c, (link, tags) in zip(units, words, covered, fixed):
-        size = sum(not x.isspace() for x in u)
+        size = len("".join(u.split()))
         total += size
         letters = sum(map(len, w))
         own = sum(len(x) for x, y in zip(w, c) if y)
