@@ -212,7 +212,7 @@ SELECT 0 AS step_no, 'input' AS step, n AS remaining, CAST(0 AS BIGINT) AS disca
     "usage_report": """SELECT generation_model AS model, count(*) AS calls, CAST(sum(length(context)) AS BIGINT) AS prompt_tokens, CAST(sum(length(answer)) AS BIGINT) AS completion_tokens,
 round((sum(length(context)) * CASE WHEN contains(coalesce(generation_model, ''), 'flash-lite') THEN 0.1::DOUBLE WHEN contains(coalesce(generation_model, ''), 'flash') THEN 0.3::DOUBLE WHEN contains(coalesce(generation_model, ''), 'pro') THEN 1.25::DOUBLE ELSE 0.25::DOUBLE END
 + sum(length(answer)) * CASE WHEN contains(coalesce(generation_model, ''), 'flash-lite') THEN 0.4::DOUBLE WHEN contains(coalesce(generation_model, ''), 'flash') THEN 2.5::DOUBLE WHEN contains(coalesce(generation_model, ''), 'pro') THEN 10.0::DOUBLE ELSE 1.5::DOUBLE END) / 1e6::DOUBLE, 6) AS cost FROM qa_raw GROUP BY 1""",
-    "tag_ranking": "WITH t AS (SELECT train_id, unnest(tags) AS tag, unnest(range(len(tags))) AS "at" FROM train_split) SELECT tag, count(*) AS count, min(train_id) AS first_seen FROM t WHERE tag IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, min(struct_pack(o := train_id, a := "at")) LIMIT 30",
+    "tag_ranking": "WITH t AS (SELECT train_id, unnest(tags) AS tag, unnest(range(len(tags))) AS place FROM train_split) SELECT tag, count(*) AS count, min(train_id) AS first_seen FROM t WHERE tag IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, min(struct_pack(o := train_id, a := place)) LIMIT 30",
     "tags_merged": "SELECT train_id, array_to_string(list_transform(tags, lambda t: CASE t WHEN 'safety' THEN 'السلامة' WHEN 'billing' THEN 'الفواتير' WHEN 'metering' THEN 'العدادات' ELSE t END), '|') AS tags FROM train_split",
     "cluster_counts": _counts_sql("cluster_id"),
     "difficulty_counts": _counts_sql("difficulty"),
