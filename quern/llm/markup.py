@@ -360,7 +360,7 @@ def cleaned(df: DataFrame, text: str, host: str) -> DataFrame:
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = [(h, path, v) for h, t in zip(b["h"], b["t"]) if isinstance(t, str) for path, v in containers(t)]
-            yield pd.DataFrame(rows, columns=["h", "path", "vote"])
+            yield pd.DataFrame(rows, columns=["h", "path", "vote"]).astype({"h": object, "path": object, "vote": float})
 
     votes = df.select(F.coalesce(F.col(host), F.lit("")).alias("h"), F.col(text).alias("t")).where(F.col("t").contains("<")).mapInPandas(vote, "h string, path string, vote double")
     lost = votes.groupBy("h", "path").agg(F.sum("vote").alias("vote")).where("vote < 0").groupBy("h").agg(F.collect_list("path").alias("__dropped"))
@@ -368,7 +368,7 @@ def cleaned(df: DataFrame, text: str, host: str) -> DataFrame:
     @F.pandas_udf("clean_text string, markup array<string>")
     def extract(t: pd.Series, d: pd.Series) -> pd.DataFrame:
         out = [(None, []) if not isinstance(x, str) else (clean(x, frozenset(p) if p is not None else frozenset()), kinds(x)) for x, p in zip(t, d)]
-        return pd.DataFrame(out, columns=["clean_text", "markup"])
+        return pd.DataFrame(out, columns=["clean_text", "markup"]).astype(object)
 
     names = [c for c in df.columns if c not in ("clean_text", "markup")]
     joined = df.withColumn("__h", F.coalesce(F.col(host), F.lit(""))).join(lost.withColumnRenamed("h", "__h"), "__h", "left")

@@ -372,7 +372,7 @@ def flag(df: DataFrame, key: str, question: str, fields: list[str], model: Model
             for tag, name in enumerate(fields):
                 found = judge(sent.value, q, [None if pd.isna(x) else x for x in b[f"f{tag}"]], tag)
                 rows = [i for i, x in enumerate(found) if x]
-                yield pd.DataFrame({"k": b["k"].to_numpy()[rows], "field": name, "defect": [found[i] for i in rows]})
+                yield pd.DataFrame({"k": b["k"].to_numpy()[rows], "field": pd.Series([name] * len(rows), dtype=object), "defect": pd.Series([found[i] for i in rows], dtype=object)})
 
     kind = df.schema[key].dataType.simpleString()
     narrow = df.select(F.col(key).alias("k"), F.col(question).alias("q"), *[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)])

@@ -129,7 +129,7 @@ def found(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([m for t in b["t"] if isinstance(t, str) for m in measures(t)], columns=["language", "length", "ratio"])
+            yield pd.DataFrame([m for t in b["t"] if isinstance(t, str) for m in measures(t)], columns=["language", "length", "ratio"]).astype({"language": object, "length": int, "ratio": float})
 
     narrow = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null")
     usual = narrow.select("t").mapInPandas(measure, "language string, length int, ratio double").groupBy("language", "length").agg(F.percentile_approx("ratio", 0.5, 1000).alias("usual"))
