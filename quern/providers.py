@@ -169,7 +169,7 @@ def generated(chunks: DataFrame, provider_of: Callable[[], object], prompt_of: C
             for chunk in b.to_dict("records"):
                 found, turns = generate(chunk, lambda kind, so_far, c=chunk: provider.call("generation", [{"role": "user", "content": prompt_of(c, kind, so_far)}]), **settings)
                 rows += [(chunk["chunk_id"], chunk["source_file"], chunk["section_hierarchy"], chunk["chunk_text"], json.dumps(x, ensure_ascii=False), turns, len(found)) for x in found]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in GENERATED.split(", ")])
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in GENERATED.split(", ")]).astype({"total_iterations": int, "total_questions": int})
 
     return chunks.select("chunk_id", "source_file", "section_hierarchy", "chunk_text").mapInPandas(run, GENERATED)
 
