@@ -145,28 +145,33 @@ def html_tables(lines: DataFrame, min_rows: int = 3) -> DataFrame:
 
     A block goes from a line with <table to the first later line with </table>, or to the end; it needs `min_rows`
     lines with <tr.  Blocks don't overlap: openers inside a taken block don't count, those inside a refused one do.
-    Openers that share a closer form one group, in which the first with enough rows wins, as it covers the others.
+
+    Openers with one closer form a group, and the first with enough rows takes it, as it covers the others.  Only an
+    opener on the closer line of the group before (an edge) may lie inside a taken block.  A group with another opener
+    is taken anyway; in a chain of groups that have edges alone, every second one is, counted from the last group
+    that is certain.  So windows over lines and groups do without a sequential pass.
     """
     w = by_doc()
-    later = w.rowsBetween(1, W.unboundedFollowing)
-    upto = w.rowsBetween(W.unboundedPreceding, 0)
-    end = F.max("line_no").over(W.partitionBy("doc"))
+    later, upto = w.rowsBetween(1, W.unboundedFollowing), w.rowsBetween(W.unboundedPreceding, 0)
+    whole = W.partitionBy("doc")
     out = lines.withColumns({"__open": F.col("key").rlike(r"(?i)^<table[\s>]"), "__close": F.col("key").rlike(r"(?i)</table>"), "__tr": F.col("key").rlike(r"(?i)<tr[\s>]").cast("int")})
-    out = out.withColumns({"__to": F.coalesce(F.min(F.when(F.col("__close"), F.col("line_no"))).over(later), end), "__rows": F.sum("__tr").over(upto)})
-    # rows up to the closer, found where the closer's own running sum stands: the sums grow, so the least later one will do
-    at_close = F.coalesce(F.min(F.when(F.col("__close"), F.col("__rows"))).over(later), F.max("__rows").over(W.partitionBy("doc")))
-    out = out.withColumn("__n", at_close - F.col("__rows") + F.col("__tr"))
-    able = F.col("__open") & (F.col("__n") >= min_rows)
-    # an able opener starts a block unless it lies in an earlier block: closers only move on, so it is the first able
-    # opener that ends at its closer, and its line lies behind the end of the block before
-    first = F.row_number().over(W.partitionBy("doc", "__to", able).orderBy("line_no")) == 1
-    out = out.withColumn("__first", able & first)
-    before = F.max(F.when(F.col("__first"), F.col("__to"))).over(w.rowsBetween(W.unboundedPreceding, -1))
-    # a block that begins on the closer line of another lies inside it
-    out = out.withColumn("__starts", F.col("__first") & (F.coalesce(before, F.lit(-1)) < F.col("line_no")))
-    start = F.last(F.when(F.col("__starts"), F.struct("line_no", F.col("__to").alias("to"))), ignorenulls=True).over(w)
-    out = out.withColumn("__s", start)
-    return out.withColumn("html_id", F.when(F.col("line_no") <= F.col("__s.to"), F.col("__s.line_no"))).drop("__open", "__close", "__tr", "__to", "__rows", "__n", "__first", "__starts", "__s")
+    none = F.max("line_no").over(whole) + 1
+    out = out.withColumns({"__to": F.coalesce(F.min(F.when(F.col("__close"), F.col("line_no"))).over(later), none), "__rows": F.sum("__tr").over(upto)})
+    # the running sums grow, so that of the next closer is the least of those at later closers
+    at_close = F.coalesce(F.min(F.when(F.col("__close"), F.col("__rows"))).over(later), F.max("__rows").over(whole))
+    able = out.withColumn("__n", at_close - F.col("__rows") + F.col("__tr")).where(F.col("__open") & (F.col("__n") >= min_rows))
+    groups = able.groupBy("doc", "__to").agg(F.min(F.when(F.col("__close"), F.col("line_no"))).alias("edge"), F.min(F.when(~F.col("__close"), F.col("line_no"))).alias("inner"))
+    g = W.partitionBy("doc").orderBy("__to")
+    touches = F.coalesce(F.lag("__to").over(g) == F.col("edge"), F.lit(False))
+    groups = groups.withColumns({"touches": touches, "nth": F.row_number().over(g)})
+    groups = groups.withColumn("certain", F.when(F.col("inner").isNotNull() | ~F.col("touches"), F.col("nth")))
+    groups = groups.withColumn("taken", (F.col("nth") - F.last("certain", ignorenulls=True).over(g)) % 2 == 0)
+    free = F.col("edge").isNotNull() & ~(F.col("touches") & F.coalesce(F.lag("taken").over(g), F.lit(False)))
+    starts = groups.withColumn("free", free).where("taken").select("doc", F.when(F.col("free"), F.col("edge")).otherwise(F.col("inner")).alias("line_no"), F.col("__to").alias("__end"))
+    out = lines.join(starts, ["doc", "line_no"], "left")
+    block = F.last(F.when(F.col("__end").isNotNull(), F.struct("line_no", F.col("__end").alias("to"))), ignorenulls=True).over(w)
+    out = out.withColumn("__block", block)
+    return out.withColumn("html_id", F.when(F.col("line_no") <= F.col("__block.to"), F.col("__block.line_no"))).select(*lines.columns, "html_id")
 
 
 def tables(lines: DataFrame, min_rows: int = 3, heading: bool = True) -> tuple[DataFrame, DataFrame]:

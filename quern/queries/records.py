@@ -29,7 +29,7 @@ def structural_split(spark, folder):
 
 
 def dialect_markers(spark, folder):
-    return validation.with_dialect(_raw(spark, folder)).select("item_seq", "dialect_marker_count", "msa_flagged", "dialect_reason")
+    return validation.with_dialect(_raw(spark, folder)).select("item_seq", "dialect_marker_count", F.coalesce("msa_flagged", F.lit(False)).alias("msa_flagged"), "dialect_reason")
 
 
 def grounding_actions(spark, folder):
@@ -38,7 +38,7 @@ def grounding_actions(spark, folder):
 
 
 def exact_duplicates(spark, folder):
-    return dedup.exact(_raw(spark, folder), "item_seq", "question").select("item_seq", "duplicate_of")
+    return dedup.exact(_raw(spark, folder), "item_seq", "question").select("item_seq", F.coalesce("duplicate_of", "item_seq").alias("first_item"))
 
 
 def fuzzy_duplicates(spark, folder):
@@ -197,9 +197,9 @@ QUERIES = {
 SQL = {
     "structural_reasons": f"SELECT item_seq, {_REASON} AS discard_reason FROM qa_raw",
     "structural_split": f"SELECT CASE WHEN r IS NULL THEN 'valid' ELSE split_part(r, ':', 1) END AS kind, count(*) AS items FROM (SELECT {_REASON} AS r FROM qa_raw) GROUP BY 1",
-    "dialect_markers": f"WITH m AS (SELECT item_seq, {_marks('question', validation.MARKERS)} AS q, {_marks('answer', validation.MARKERS)} AS a, {_marks('answer', validation.FORMAL)} AS f FROM qa_raw) SELECT item_seq, CAST(q + a AS INT) AS dialect_marker_count, CASE WHEN f > 3 THEN true END AS msa_flagged, CASE WHEN q < 1 THEN 'dialect_question_markers: ' || q WHEN a < 2 THEN 'dialect_answer_markers: ' || a END AS dialect_reason FROM m",
+    "dialect_markers": f"WITH m AS (SELECT item_seq, {_marks('question', validation.MARKERS)} AS q, {_marks('answer', validation.MARKERS)} AS a, {_marks('answer', validation.FORMAL)} AS f FROM qa_raw) SELECT item_seq, CAST(q + a AS INT) AS dialect_marker_count, f > 3 AS msa_flagged, CASE WHEN q < 1 THEN 'dialect_question_markers: ' || q WHEN a < 2 THEN 'dialect_answer_markers: ' || a END AS dialect_reason FROM m",
     "grounding_actions": "SELECT grounding_classification, CASE WHEN grounding_classification = 'not_supported' THEN 'discard' ELSE 'keep' END AS action, count(*) AS items FROM eval_split GROUP BY 1, 2",
-    "exact_duplicates": f"SELECT item_seq, nullif(min(item_seq) OVER (PARTITION BY {_NORMAL}), item_seq) AS duplicate_of FROM qa_raw",
+    "exact_duplicates": f"SELECT item_seq, min(item_seq) OVER (PARTITION BY {_NORMAL}) AS first_item FROM qa_raw",
     "cleaning_report": f"""WITH m AS (SELECT {_REASON} AS r, min(item_seq) OVER (PARTITION BY {_NORMAL}) <> item_seq AS d FROM qa_raw),
 n AS (SELECT count(*) AS n, count(r) AS s, count(*) FILTER (WHERE r IS NULL AND d) AS e FROM m)
 SELECT 0 AS step_no, 'input' AS step, n AS remaining, CAST(0 AS BIGINT) AS discarded FROM n UNION ALL SELECT 1, 'structural', n - s, s FROM n UNION ALL SELECT 2, 'exact_duplicate', n - s - e, e FROM n""",
