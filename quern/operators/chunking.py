@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -90,19 +90,27 @@ def assembled(found_tables: DataFrame, parts: DataFrame, settings: Chunking = Ch
         parts.select("doc", F.lit(1), "line_no", "at", "sentence", "heading_level", "heading_path")
     )
 
-    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        (doc,) = key
-        rows = rows.sort_values(["part", "line_no", "at"], kind="stable")
-        out = []
-        for text, path in rows.loc[rows["part"] == 0, ["text", "path"]].itertuples(index=False):
-            n = count(text)
-            out.append((text, path, n, True, n > settings.max_tokens))
-        body = rows[rows["part"] == 1]
-        folded = fold([(s, None if pd.isna(v) else int(v), p) for s, v, p in zip(body["text"], body["level"], body["path"])], settings, count)
-        out += [(*c, False, False) for c in folded]
-        return pd.DataFrame([(f"{doc}__chunk_{i}", text, doc, path, n, table, i, over) for i, (text, path, n, table, over) in enumerate(out)], columns=[c.split()[0] for c in CHUNK.split(", ")])
-
-    return rows.groupBy("doc").applyInPandas(build, CHUNK)
+    # the rows of a document as arrays in order: one Python row a document
+    ordered = F.array_sort(F.collect_list(F.struct("part", "line_no", "at", "text", "level", "path")))
+    docs = rows.groupBy("doc").agg(ordered.alias("x")).select("doc", *[F.transform("x", lambda v, c=c: v[c]).alias(c) for c in ("part", "text", "level", "path")])
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            made = []
+            for doc, part, text, level, path in zip(b["doc"], b["part"], b["text"], b["level"], b["path"]):
+                out = []
+                body = []
+                for kind, t, v, p in zip(part, text, level, path):
+                    if kind == 0:
+                        n = count(t)
+                        out.append((t, p, n, True, n > settings.max_tokens))
+                    else:
+                        body.append((t, None if v is None or v != v else int(v), p))
+                out += [(*c, False, False) for c in fold(body, settings, count)]
+                made += [(f"{doc}__chunk_{i}", t, doc, p, n, table, i, over) for i, (t, p, n, table, over) in enumerate(out)]
+            yield pd.DataFrame(made, columns=[c.split()[0] for c in CHUNK.split(", ")]).astype({"token_count": int, "chunk_index": int, "contains_table": bool, "is_oversized": bool})
+
+    return docs.mapInPandas(build, CHUNK)
 
 
 def chunk_documents(df: DataFrame, doc: str, text: str, settings: Chunking = Chunking()) -> DataFrame:

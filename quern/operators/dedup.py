@@ -75,40 +75,41 @@ def greedy(edges: DataFrame, weights: DataFrame, keep: str = "heavier") -> DataF
     return lost.union(beaten.select("node")).union(lost_at_turn).distinct()
 
 
-def bigrams(text: str = "text"):
-    """The bigrams of a text with their count so far, so that repeats are different elements."""
-    grams = F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(F.col(text), i, F.lit(2)))
-    return F.when(F.length(text) >= 2, grams).otherwise(F.array().cast("array<string>"))
+def bag(text: str = "text"):
+    """How often characters of each of 48 hash classes occur; the sum of lesser counts bounds the common subsequence."""
+    classes = F.transform(F.split(F.col(text), ""), lambda c: F.pmod(F.hash(c), F.lit(48)))
+    return F.transform(F.sequence(F.lit(0), F.lit(47)), lambda k: F.size(F.filter(classes, lambda c: c == k)))
 
 
 def similar_strings(df: DataFrame, order: str, text: str, threshold: float) -> DataFrame:
     """(i, j, ratio), i < j: all pairs of different texts whose Indel similarity is at least `threshold`.
 
-    Lossless candidate search: d = (1 - threshold) * (length a + length b) edits leave at least the longer text's
-    bigrams less 2 d in common, so that both texts share one of their rarest bigrams.  The ranks of bigrams come from
-    counts of 65536 hash buckets.  Lengths and bags of characters are checked before the exact similarity.
-    Texts too short for that bound (where 2 d takes all bigrams) meet by length.  Null texts have no partner; the
-    bound needs a threshold above 0.75, below it every pair of like lengths is compared.
+    Lossless candidate search: the common subsequence is no longer than the common bag of characters, so similar
+    texts share threshold / (2 - threshold) of the characters of each, repeats counted; both then have one of their
+    rarest characters, as many as they may miss, in common.  Rarity comes from counts of 65536 hash buckets.  Lengths
+    are checked in the join, bags in classes after it, and the exact similarity last.  Null and empty texts have no
+    partner; a threshold of 0 or less is an error.
     """
-    rows = df.select(F.col(order).alias("id"), F.col(text).alias("text")).where("text is not null").withColumn("n", F.length("text"))
-    grams = rows.select("id", "n", "text", F.posexplode(bigrams()).alias("at", "gram"))
-    bucket = F.pmod(F.xxhash64("gram"), F.lit(65536)).cast("int")
-    df_counts = grams.select("id", bucket.alias("bucket")).distinct().groupBy("bucket").count()
-    ranked = grams.withColumn("bucket", bucket).join(F.broadcast(df_counts), "bucket")  # 65536 rows at most
-    w = W.partitionBy("id").orderBy("count", "gram", "at")
-    ranked = ranked.withColumn("nth", F.row_number().over(W.partitionBy("id", "gram").orderBy("at"))).withColumn("rank", F.row_number().over(w))
-    # the partner is at most threshold / (2 - threshold) times longer; bigrams in common at least
-    edits = (1 - threshold) * (F.col("n") + F.floor(F.col("n") * (2 - threshold) / threshold))
-    least = F.floor(F.col("n") - 1 - 2 * edits)
-    prefix = ranked.where((F.col("rank") <= F.col("n") - 1 - F.greatest(least, F.lit(1)) + 1)).where(least >= 1).select("id", "n", F.concat_ws("\x01", "gram", "nth").alias("element"))
+    if threshold <= 0:
+        raise ValueError("the threshold must be greater than 0")
+    rows = df.select(F.col(order).alias("id"), F.col(text).alias("text")).where("text <> ''").withColumn("n", F.length("text"))
+    chars = rows.select("id", "n", F.posexplode(F.split("text", "")).alias("at", "char")).where("char <> ''")
+    chars = chars.withColumn("nth", F.row_number().over(W.partitionBy("id", "char").orderBy("at")))
+    chars = chars.select("id", "n", F.concat("char", F.col("nth").cast("string")).alias("element"))
+    bucket = F.pmod(F.xxhash64("element"), F.lit(65536)).cast("int")
+    rarity = chars.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
+    ranked = chars.withColumn("bucket", bucket).join(F.broadcast(rarity), "bucket")  # 65536 rows at most
+    ranked = ranked.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("count", "element")))
+    least = F.ceil(F.col("n") * (threshold / (2 - threshold)) - 1e-9)
+    prefix = cut(ranked.where(F.col("rank") <= F.col("n") - least + 1).select("id", "n", "element"), "prefix")
     a, b = prefix.alias("a"), prefix.alias("b")
-    fits = (2 * F.least("a.n", "b.n") >= threshold * (F.col("a.n") + F.col("b.n")))
+    fits = 2 * F.least("a.n", "b.n") >= threshold * (F.col("a.n") + F.col("b.n")) - 1e-9
     pairs = a.join(b, (F.col("a.element") == F.col("b.element")) & (F.col("a.id") < F.col("b.id")) & fits).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
-    low = rows.where(least < 1)
-    span = F.sequence(F.ceil(F.col("n") * threshold / (2 - threshold)).cast("int"), F.floor(F.col("n") * (2 - threshold) / threshold).cast("int"))
-    by_length = low.select(F.col("id").alias("i0"), F.explode(span).alias("n")).join(rows.select(F.col("id").alias("j0"), "n"), "n").where("i0 <> j0")
-    pairs = pairs.union(by_length.select(F.least("i0", "j0"), F.greatest("i0", "j0"))).distinct()
-    text_of = lambda s: rows.select(F.col("id").alias(s), F.col("text").alias(f"t{s}"), F.col("n").alias(f"n{s}"))
+    bags = cut(rows.select("id", "n", bag().alias("bag")), "bags")
+    bag_of = lambda s: bags.select(F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("bag").alias(f"b{s}"))
+    text_of = lambda s: rows.select(F.col("id").alias(s), F.col("text").alias(f"t{s}"))
+    common = F.aggregate(F.zip_with("bi", "bj", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
+    pairs = cut(pairs.join(bag_of("i"), "i").join(bag_of("j"), "j").where(2 * common >= threshold * (F.col("ni") + F.col("nj"))).select("i", "j"), "pairs")
     both = pairs.join(text_of("i"), "i").join(text_of("j"), "j")
     return both.where(F.col("ti") != F.col("tj")).withColumn("ratio", indel_similarity("ti", "tj")).where(F.col("ratio") >= threshold).select("i", "j", "ratio")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,20 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session, so that their workers import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_quern_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="quern-code-")) / "quern.zip"  # the driver's own file; Spark serves it
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._quern_shipped = True
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
