@@ -92,7 +92,7 @@ def assembled(found_tables: DataFrame, parts: DataFrame, settings: Chunking = Ch
 
     # the rows of a document as arrays in order: one Python row a document
     ordered = F.array_sort(F.collect_list(F.struct("part", "line_no", "at", "text", "level", "path")))
-    docs = rows.groupBy("doc").agg(ordered.alias("x")).select("doc", *[F.transform("x", lambda v, c=c: v[c]).alias(c) for c in ("part", "text", "level", "path")])
+    docs = rows.groupBy("doc").agg(ordered.alias("x")).select("doc", *[F.col(f"x.{c}").alias(c) for c in ("part", "text", "level", "path")])
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
