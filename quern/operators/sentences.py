@@ -24,17 +24,9 @@ def sentences_of(line: Column, abbreviations: list[str] = ABBREVIATIONS, arabic:
     """
     out = F.regexp_replace(line, f"[{_DOT}{_END}]", "")
     entries = sorted({a.rstrip(".") for a in abbreviations if a.rstrip(".")}, key=len, reverse=True)
-    for a in entries:
-        masked = a.replace(".", _DOT)
-        pattern = r"\.".join(map(re.escape, a.split("."))).replace(r"\.", f"[.{_DOT}]")
-        head = f"(?<!{_WORD})(?={_WORD})" if re.match(r"\w", a) else ""
-        if a.isascii():
-            # the letters keep their case, so that only the dots are replaced
-            parts = a.split(".")
-            named = f"[.{_DOT}]".join(f"({re.escape(x)})" for x in parts)
-            out = F.regexp_replace(out, rf"(?i){head}{named}\.", "".join(f"${i + 1}{_DOT}" for i in range(len(parts))))
-        else:
-            out = F.regexp_replace(out, rf"{head}{pattern}\.", masked + _DOT)
+    if entries:
+        # dots inside an entry stand before a letter and end nothing, so only the last one is masked
+        out = F.regexp_replace(out, rf"(?i)(?<!{_WORD})({'|'.join(map(re.escape, entries))})\.", f"$1{_DOT}")
     if decimals:
         out = F.regexp_replace(out, r"(\d)\.(?=\d)", f"$1{_DOT}")
     if addresses:
