@@ -8,14 +8,15 @@ made rows.  The label `empty` needs no model: a null, or a text without letters
 there is nothing.
 
 `flag` gives one row for each defective row and field.  Defined results: a null question counts as empty; a table
-without any usable sample gives only `empty`; repeated rows are flagged each; the order of labels is
-empty, then the label of the highest margin over its threshold.
+without any usable sample gives only `empty`; repeated rows are flagged each; of several
+labels one counts: empty, wrong_language, copied_question, refusal, truncated.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,6 +31,8 @@ from quern.llm.lookalike import normalize
 SAMPLE = 2500
 BITS = 18
 LABELS = ("truncated", "refusal", "copied_question", "wrong_language")
+#: Of several labels the first counts: a text in another language looks broken off as well.
+ORDER = (3, 2, 1, 0)
 # Texts that say that there is nothing.
 NOTHING = {"na", "n a", "none", "null", "nil", "nan", "tbd", "tba", "todo", "empty", "no answer", "unknown", "undefined", "not available", "not applicable", "لا يوجد", "لايوجد", "لا شيء", "لا شي", "غير متوفر", "غير متاح", "فارغ", "بدون", "ما فيه", "br", "nbsp"}
 # Frequent function words of languages in Latin letters.
@@ -55,6 +58,7 @@ LEADS = {"en": ["You will need:", "The steps are:", "As follows:", "For example,
 
 _WORD = re.compile(r"[^\W_]+")
 _VOCABULARY = (1 << 20) - 1
+_STOPS = frozenset(".!?؟۔।")
 _MASK = np.uint64((1 << BITS) - 1)
 _DIGITS = re.compile(r"\d+")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -119,38 +123,104 @@ class Features:
     starts: np.ndarray  # one more than texts
 
 
-DENSE = 27
+DENSE = 31
 
 
-def _pair(question: str, qwords: list[str], qlang: str, text: str, words: list[str], known: np.ndarray | None) -> list[float]:
-    """Features of the pair, besides the n-grams; `known` tells which hashed words the sample has."""
+@dataclass
+class Seen:
+    """What the sample has: its hashed words, its common tokens, and how often each hashed context of a token stands
+    at all and at the end of a sentence."""
+
+    words: np.ndarray
+    common: frozenset[str]
+    runs: np.ndarray
+    ends: np.ndarray
+
+    @staticmethod
+    def of(base: list[tuple[int, str, str]]) -> Seen:
+        words, counts = np.zeros(_VOCABULARY + 1, bool), Counter()
+        sentences = []
+        for _, q, t in base:
+            for w in _WORD.findall(q.lower()) + _WORD.findall(t.lower()):
+                words[_word_id(w) & _VOCABULARY] = True
+            tokens = _tokens(t)
+            counts.update(set(tokens))
+            sentences.append(tokens)
+        seen = Seen(words, frozenset(w for w, n in counts.items() if n >= 0.03 * len(base)), np.zeros(_VOCABULARY + 1, np.uint16), np.zeros(_VOCABULARY + 1, np.uint16))
+        for tokens in sentences:
+            closed = any(x in _STOPS for x in tokens)
+            start = 0
+            for i, x in enumerate(tokens):
+                if x in _STOPS:
+                    start = i + 1
+                    continue
+                if i + 1 == len(tokens) and closed:
+                    continue  # an ending without a mark, in a text with marks, tells nothing
+                end = i + 1 == len(tokens) or tokens[i + 1] in _STOPS
+                for h in seen.contexts(tokens[start : i + 1]):
+                    if seen.runs[h] < 65535:
+                        seen.runs[h] += 1
+                        seen.ends[h] += end
+        return seen
+
+    def contexts(self, s: list[str]) -> list[int]:
+        """Hashed contexts of the last token of a begun sentence, the most telling first: its first tokens with its
+        last ones, also with rare tokens masked, then its last tokens alone."""
+        star = [x if x in self.common else "*" for x in s[-4:]]
+        head = s[:2]
+        keys = [("a", *head, *s[-3:]), ("b", *head, *s[-2:]), ("c", *[x if x in self.common else "*" for x in head], *star), ("d", *star), ("e", *s[-3:]), ("f", *s[-2:])]
+        return [zlib.crc32("\x01".join(k).encode()) & _VOCABULARY for k in keys]
+
+    def ending(self, tokens: list[str], own: int | None) -> tuple[float, float]:
+        """(known, share): of the first context of the ending that is known, the share that ends a sentence; `own`
+        (0 or 1) leaves out the text's own occurrence, of which it tells whether it is an end."""
+        start = max((i + 1 for i, x in enumerate(tokens) if x in _STOPS), default=0)
+        if start == len(tokens):
+            return 0.0, 0.5
+        for h in self.contexts(tokens[start:]):
+            n, e = int(self.runs[h]), int(self.ends[h])
+            if own is not None:
+                n, e = n - 1, e - own
+            if n >= 3:
+                return 1.0, min(1.0, max(0.0, e / n))
+        return 0.0, 0.5
+
+
+def _tokens(text: str) -> list[str]:
+    return [_DIGITS.sub("0", x) for x in _END_TOKEN.findall(text.lower())]
+
+
+def _pair(question: str, qwords: list[str], qlang: str, text: str, words: list[str], seen: Seen | None, place: int | None) -> list[float]:
+    """Features of the pair, besides the n-grams."""
     own, asked = set(words), set(qwords)
     extra = sum(w not in asked for w in words)
     both = len(own & asked)
     lang = language(text)
     tail = text[-1:] if text else " "
     n = len(words)
-    new = [known is not None and not known[_word_id(x) & _VOCABULARY] for x in words[-2:]]
+    new = [seen is not None and not seen.words[_word_id(x) & _VOCABULARY] for x in words[-2:]]
+    known, share = (0.0, 0.5) if seen is None or not tail.isalnum() else seen.ending(_tokens(text), place)
     return [
         1.0, float(bool(qlang and lang and qlang != lang)), float(bool(qlang and lang and qlang == lang)), float(not lang),
         extra / (n + 1), min(extra, 12) / 4, both / (len(asked) + 1), both / (len(own) + 1), float(extra <= 3 and both >= 0.8 * len(asked)),
         float(tail in ".!?؟۔।"), float(tail.isdigit()), float(tail == ":"), float(tail in ",،;؛"), float(tail in "([{«\"-"), float(tail.isalpha()), float(tail in ")]}»"),
         float(bool(_BARE_ITEM.search(text))), float(text.endswith("...") or text.endswith("…")), min(n, 40) / 40, float(n < 15), float(text.count("(") > text.count(")")), float(extra == 0), float(tail in "?؟"), float(text.count('"') % 2),
         float(bool(new) and new[-1] and tail.isalpha()), float(len(new) > 1 and new[0]), float(text.count("(") > text.count(")") and "(" in text[-30:]),
+        known * share, known * (1 - share), float(known > 0 and share > 0.85), float(known > 0 and share < 0.15),
     ]
 
 
-def featurize(questions: list[str], texts: list[str], tag: int, known: np.ndarray | None = None) -> Features:
+def featurize(questions: list[str], texts: list[str], tag: int, seen: Seen | None = None, own: list[int | None] | None = None) -> Features:
     """Whole-text word n-grams (1 and 2), n-grams of the ending, and pair features; `tag` tells the fields apart."""
     flat: list[int] = []
     lens, dense, ends = [], [], []
-    for q, t in zip(questions, texts):
+    for i, (q, t) in enumerate(zip(questions, texts)):
         t = t.rstrip()
         qw = _WORD.findall(q.lower())
         w = _WORD.findall(t.lower())
         flat += [_word_id(x) for x in w]
         lens.append(len(w))
-        dense.append(_pair(q, qw, language(q), t, w, known))
+        dense.append(_pair(q, qw, language(q), t, w, seen, own[i] if own else None))
         # the ending, without a closing full stop, as tokens with signs
         e = _END_TOKEN.findall(t[-120:].rstrip(".").lower())[-4:]
         e = [_DIGITS.sub("0", x) for x in e]
@@ -206,7 +276,8 @@ def fit(f: Features, y: np.ndarray, known: np.ndarray, epochs: int = 12, batch:
             err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) * known[rows]
             u, inverse = np.unique(ids, return_inverse=True)
             grad = np.stack([np.bincount(inverse, err[owner, k] * v, len(u)) for k in range(len(LABELS))], axis=1)
-            grad[u < 2 << BITS, LABELS.index("wrong_language")] = 0  # by the pair alone: a swapped response may be in any language
+            # by the languages of the pair alone: a swapped response may be in any language
+            grad[(u < 2 << BITS) | ((u - (2 << BITS)) % DENSE > 3), LABELS.index("wrong_language")] = 0
             grad += 1e-5 * w[u]
             g2[u] += grad**2
             w[u] -= (rate * grad / np.sqrt(g2[u])).astype(np.float32)
@@ -220,7 +291,7 @@ class Model:
     index: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
-    known: np.ndarray
+    seen: Seen
     size: int = SIZE
     dense: np.ndarray | None = field(default=None, repr=False)
 
@@ -285,13 +356,13 @@ def train(questions: list[str], fields: list[list[str | None]], seed: int = 7) -
     half = rng.random(len(base)) < 0.5
     kept: list[tuple[int, str, str]] = []
     for side in (False, True):
-        f, y, _, known, _ = _rows([b for b, h in zip(base, half) if h == side], len(fields), rng)
+        f, y, _, seen, _ = _rows([b for b, h in zip(base, half) if h == side], len(fields), rng)
         w = fit(f, y, np.ones_like(y), epochs=2)
         for tag in range(len(fields)):
             own = [b for b, h in zip(base, half) if h != side and b[0] == tag]
-            z = scores(featurize([b[1] for b in own], [b[2] for b in own], tag, known), w)
+            z = scores(featurize([b[1] for b in own], [b[2] for b in own], tag, seen), w)
             kept += [b for b, row in zip(own, z) if (row < -1).all()]
-    f, y, held, known, _ = _rows(kept, len(fields), rng)
+    f, y, held, seen, _ = _rows(kept, len(fields), rng)
     train_rows = np.flatnonzero(~held)
     weights = fit(_subset(f, train_rows), y[train_rows], np.ones_like(y[train_rows]), epochs=4)
     hs = held
@@ -304,17 +375,15 @@ def train(questions: list[str], fields: list[list[str | None]], seed: int = 7) -
         tp = np.cumsum(truth[order])
         f1 = 2 * tp / (np.arange(1, len(order) + 1) + max(1, truth.sum()))
         best = np.flatnonzero(f1 >= f1.max() - 1e-3)
-        limits.append(float(np.quantile(s[order][best], 0.1)))
+        # the middle of the range that does as well
+        limits.append(float(s[order][best[0]] + s[order][best[-1]]) / 2)
     used = np.flatnonzero(np.abs(weights).max(axis=1) > 1e-3)
-    return Model(used, weights[used], np.array(limits), known)
+    return Model(used, weights[used], np.array(limits), seen)
 
 
-def _rows(base: list[tuple[int, str, str]], n_fields: int, rng: np.random.Generator) -> tuple[Features, np.ndarray, np.ndarray, np.ndarray, list]:
-    """Features and labels of untouched and made rows, which are held out, and the words known from the untouched."""
-    known = np.zeros(_VOCABULARY + 1, bool)
-    for tag, q, t in base:
-        for w in _WORD.findall(q.lower()) + _WORD.findall(t.lower()):
-            known[_word_id(w) & _VOCABULARY] = True
+def _rows(base: list[tuple[int, str, str]], n_fields: int, rng: np.random.Generator) -> tuple[Features, np.ndarray, np.ndarray, Seen, list]:
+    """Features and labels of untouched and made rows, which are held out, and what the untouched rows have."""
+    seen = Seen.of(base)
     by_lang: dict[tuple[int, str], list[str]] = {}
     for tag, q, t in base:
         by_lang.setdefault((tag, language(t)), []).append(t)
@@ -329,11 +398,12 @@ def _rows(base: list[tuple[int, str, str]], n_fields: int, rng: np.random.Genera
             other = pool[int(rng.integers(len(pool)))]
         rows += [(tag, q, x, k) for x, k in _made(rng, q, t, other)]
     rows.sort(key=lambda r: r[0])
-    feats = [featurize([r[1] for r in rows if r[0] == tag], [r[2] for r in rows if r[0] == tag], tag, known) for tag in range(n_fields)]
+    own = lambda r: 0 if r[3] == 0 else 1 if r[3] == -1 else None
+    feats = [featurize([r[1] for r in rows if r[0] == tag], [r[2] for r in rows if r[0] == tag], tag, seen, [own(r) for r in rows if r[0] == tag]) for tag in range(n_fields)]
     shift = np.cumsum([0, *[f.starts[-1] for f in feats]])
     f = Features(np.concatenate([x.ids for x in feats]), np.concatenate([x.values for x in feats]), np.concatenate([feats[0].starts, *[x.starts[1:] + s for x, s in zip(feats[1:], shift[1:])]]))
     y = np.stack([(np.array([r[3] for r in rows]) == k).astype(float) for k in range(len(LABELS))], axis=1)
-    return f, y, rng.random(len(rows)) < 0.15, known, rows
+    return f, y, rng.random(len(rows)) < 0.15, seen, rows
 
 
 def _subset(f: Features, rows: np.ndarray) -> Features:
@@ -347,11 +417,9 @@ def judge(model: Model | None, questions: list[str | None], texts: list[str | No
     rows = [i for i, x in enumerate(out) if x is None]
     if model is None or not rows:
         return out
-    z = scores(featurize([normalize(questions[i]) or "" for i in rows], [normalize(texts[i]) for i in rows], tag, model.known), model.table()) - model.thresholds
-    best = z.argmax(axis=1)
-    for i, k, row in zip(rows, best, z):
-        if row[k] > 0:
-            out[i] = LABELS[k]
+    z = scores(featurize([normalize(questions[i]) or "" for i in rows], [normalize(texts[i]) for i in rows], tag, model.seen), model.table()) - model.thresholds
+    for i, row in zip(rows, z):
+        out[i] = next((LABELS[k] for k in ORDER if row[k] > 0), None)
     return out
 
 
