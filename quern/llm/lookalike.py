@@ -162,7 +162,7 @@ def _eastern(text: str, at: int) -> bool:
         elif m.start() >= at:
             end = m.start()
             break
-    s = text[start:end]
+    s = "".join(SINGLES.get(c, c) for c in text[start:end])
     return any(c in EASTERN for c in s) and not any(c in WESTERN for c in s)
 
 
@@ -190,7 +190,7 @@ def _pass(text: str) -> tuple[str, bool]:
         head = x[0]
         if x.strip("‌‍︎️") == "" and at and (_EMOJI.match(text[at - 1]) or at > 1 and text[at - 1] in "️‍" and _EMOJI.match(text[at - 2])):
             return x  # part of an emoji
-        if len(x) == 1 and x in SINGLES:
+        if len(x) == 1 and x in SINGLES and not "ﭐ" <= x <= "ﻼ":
             if SINGLES[x] and not SINGLES[x].isalnum() and 0xFF00 < ord(x) < 0xFF61 and (at and _CJK.match(text[at - 1]) or _CJK.match(text[at + 1 : at + 2])):
                 return x  # wide punctuation of Chinese or Japanese
             if x in _JOINERS and at and 0x900 <= ord(text[at - 1]) < 0xE00:

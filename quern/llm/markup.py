@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 ELEMENTS = frozenset("a abbr address article aside audio b blockquote body br button caption center cite code col colgroup dd del details dfn div dl dt em embed fieldset figcaption figure font footer form h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label legend li link main map mark meta nav noscript object ol option p pre q s samp script section select small source span strike strong style sub summary sup svg table tbody td template textarea tfoot th thead time title tr tt u ul var video wbr".split())
 COMMANDS = frozenset("item noindent par newpage clearpage hline toprule midrule bottomrule centering maketitle tableofcontents leq geq neq times cdot pm approx infty sum int alpha beta gamma delta epsilon theta lambda mu pi rho sigma tau phi omega Delta Gamma Theta Lambda Sigma Phi Omega ldots dots quad qquad left right medskip bigskip smallskip newline linebreak large Large small tiny bfseries itshape kilo watt volt ampere ohm".split())
 VOID = frozenset("area base br col embed hr img input link meta source wbr".split())
+#: Keys over which the texts of one host are spread.
+SALTS = 32
 NO_PROSE = frozenset("script style template noscript iframe svg nav footer aside".split())
 
 _TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)(\s[^<>]*)?/?>")
@@ -301,7 +303,7 @@ def clean(text: str | None, dropped: frozenset[str] = frozenset()) -> str | None
         return f"\0{len(kept) - 1}\0"
 
     text = text.replace("\0", "")
-    text = _FENCE.sub(lambda m: keep("```\n" + m[2].rstrip("\n") + "\n```") + "\n", text)
+    text = _FENCE.sub(lambda m: keep("```\n" + m[2].rstrip("\n") + "\n```"), text)
     text = re.sub(r"^[ ]{0,3}(```|~~~).*$", "", text, flags=re.M)
     text = _CODE.sub(lambda m: keep(m[2]), text)
     text = _COMMENT.sub("", text)
@@ -354,7 +356,7 @@ def cleaned(df: DataFrame, text: str, host: str) -> DataFrame:
     """`df` with `clean_text` and `markup` (array of languages), by consensus of each host's paths.
 
     The votes are summed by host and path before they meet, so that a host of a third of all rows sends one row per
-    task and path; its dropped paths come back in one row per host.
+    task and path.  Its dropped paths are one row, repeated SALTS times, and its texts are spread over as many keys.
     """
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -371,5 +373,7 @@ def cleaned(df: DataFrame, text: str, host: str) -> DataFrame:
         return pd.DataFrame(out, columns=["clean_text", "markup"]).astype(object)
 
     names = [c for c in df.columns if c not in ("clean_text", "markup")]
-    joined = df.withColumn("__h", F.coalesce(F.col(host), F.lit(""))).join(lost.withColumnRenamed("h", "__h"), "__h", "left")
+    lost = lost.select(F.col("h").alias("__h"), "__dropped", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    keyed = df.withColumns({"__h": F.coalesce(F.col(host), F.lit("")), "__salt": F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int")})
+    joined = keyed.join(lost, ["__h", "__salt"], "left")
     return joined.withColumn("__x", extract(F.col(text), F.col("__dropped"))).select(*names, "__x.clean_text", "__x.markup")

@@ -56,6 +56,9 @@ ASKED = {"en": ["You are asking: ", "Question: ", "Your question: ", "You asked:
 ASIDES = {"en": ["for example", "that is", "see", "such as", "e.g."], "ar": ["مثل", "شوف", "يعني", "مثلاً", "أي"]}
 LEADS = {"en": ["You will need:", "The steps are:", "As follows:", "For example,", "including:", "and the following:"], "ar": ["لازم تجهز التالي:", "والخطوات هي:", "كالتالي:", "مثل:", "وتشمل:", "وهي:"]}
 
+# Frequent words of Arabic and Urdu, to make texts in another language from.
+OTHER_WORDS = {"ar": "في من على إلى عن هذا هذه كان قبل بعد مع كل أو ثم التي الذي عند حتى لم قد".split(), "eastern": "کے کی میں سے ہے کو پر یہ اور نہیں ہیں تھا ایک کا لیے بعد پہلے گا کرتا ہوں".split()}
+
 _WORD = re.compile(r"[^\W_]+")
 _VOCABULARY = (1 << 20) - 1
 _STOPS = frozenset(".!?؟۔।")
@@ -371,16 +374,30 @@ def train(questions: list[str], fields: list[list[str | None]], seed: int = 7) -
     limits = []
     for k in range(len(LABELS)):
         s, truth = z[:, k], y[test][:, k]
+        if not truth.any():
+            limits.append(float("inf"))
+            continue
         order = np.argsort(-s)
         tp = np.cumsum(truth[order])
         f1 = 2 * tp / (np.arange(1, len(order) + 1) + max(1, truth.sum()))
         best = np.flatnonzero(f1 >= f1.max() - 1e-3)
-        # the middle of the range that does as well
-        limits.append(float(s[order][best[0]] + s[order][best[-1]]) / 2)
+        # the middle of the range of thresholds that do as well
+        top, low = s[order][best[0]], s[order][best[-1]]
+        below = s[s < low]
+        limits.append(float(top + (below.max() if len(below) else low - 2)) / 2)
     used = np.flatnonzero(np.abs(weights).max(axis=1) > 1e-3)
     return Model(used, weights[used], np.array(limits), seen)
 
 
+def _foreign(rng: np.random.Generator, lang: str) -> str | None:
+    """A text in a language other than `lang`, from frequent words; None where that is unknown."""
+    pools = [w for k, w in {**FUNCTION_WORDS, **OTHER_WORDS}.items() if k != lang]
+    if not lang:
+        return None
+    pool = pools[int(rng.integers(len(pools)))]
+    return " ".join(pool[int(i)] for i in rng.integers(len(pool), size=int(rng.integers(6, 40)))) + "."
+
+
 def _rows(base: list[tuple[int, str, str]], n_fields: int, rng: np.random.Generator) -> tuple[Features, np.ndarray, np.ndarray, Seen, list]:
     """Features and labels of untouched and made rows, which are held out, and what the untouched rows have."""
     seen = Seen.of(base)
@@ -396,6 +413,8 @@ def _rows(base: list[tuple[int, str, str]], n_fields: int, rng: np.random.Genera
         if others and language(q):
             pool = by_lang[tag, others[int(rng.integers(len(others)))]]
             other = pool[int(rng.integers(len(pool)))]
+        if not other or rng.random() < 0.2:
+            other = _foreign(rng, language(q))
         rows += [(tag, q, x, k) for x, k in _made(rng, q, t, other)]
     rows.sort(key=lambda r: r[0])
     own = lambda r: 0 if r[3] == 0 else 1 if r[3] == -1 else None

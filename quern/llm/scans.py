@@ -78,7 +78,9 @@ def _lines(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
     masked = F.regexp_replace(F.lower("core"), f"{_DIGIT}+", "#")
     lines = lines.withColumns({"titled": F.coalesce(titled, F.lit(False)), "masked": F.when(short & ((F.col("lead") != "") | (F.col("tail") != "")) & F.col("core").rlike(r"\p{L}{2}") & ~F.col("line").rlike(r"[<>&\\=\[\]{}$]|^\s*[|#*+-]"), masked), "beside": beside})
     often = lines.where("masked is not null and not titled").groupBy("host", "masked").agg(F.countDistinct("lead", "tail", "glued").alias("n")).where(F.col("n") >= REPEATS).select("host", "masked", F.lit(True).alias("often"))
-    lines = lines.join(often, ["host", "masked"], "left")
+    # only lines that may be such headers meet the counts; the others, a third of them of one file, stay where they are
+    rest = lines.where("masked is null").withColumn("often", F.lit(None).cast("boolean"))
+    lines = rest.unionByName(lines.where("masked is not null").join(often, ["host", "masked"], "left"))
     page = F.col("line").rlike(_PAGE)
     header = (F.col("titled") | F.coalesce("often", F.lit(False))) & ~page
     return lines.select("key", "row", "pos", "line", header.alias("header"), "titled", (page | (header & F.col("beside") & ~((F.col("glued") != "") & (_plain(F.concat("core", "glued")) == F.col("title"))))).alias("page"))
