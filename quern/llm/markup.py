@@ -369,7 +369,11 @@ def cleaned(df: DataFrame, text: str, host: str) -> DataFrame:
 
     @F.pandas_udf("clean_text string, markup array<string>")
     def extract(t: pd.Series, d: pd.Series) -> pd.DataFrame:
-        out = [(None, []) if not isinstance(x, str) else (clean(x, frozenset(p) if p is not None else frozenset()), kinds(x)) for x, p in zip(t, d)]
+        out = []
+        for x, p in zip(t, d):
+            found = kinds(x) if isinstance(x, str) else []
+            # a text without any construct is clean as it is
+            out.append((clean(x, frozenset(p) if p is not None else frozenset()) if found else x if isinstance(x, str) else None, found))
         return pd.DataFrame(out, columns=["clean_text", "markup"]).astype(object)
 
     names = [c for c in df.columns if c not in ("clean_text", "markup")]
