@@ -21,10 +21,21 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/quern-{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes the tables that this application has cut; results that still read them can't be read afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, name: str = "table") -> DataFrame:
     """`df` written to the shared folder and read again: a short lineage that survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/quern-{uuid.uuid4().hex}/{name}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
