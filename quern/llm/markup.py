@@ -48,6 +48,7 @@ _RULE = re.compile(r"^ {0,3}(?:\*[ ]*){3,}$|^ {0,3}(?:-[ ]*){3,}$|^ {0,3}(?:_[ ]
 _DELIMITER = re.compile(r"^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$|^[ \t]*\|[ \t]*:?-{2,}:?[ \t]*\|[ \t]*$", re.M)
 #: Signs at a line start that open a block, if the line does not continue a sentence.
 _BLOCK = re.compile(r"^([ \t]*)([-*+]|\d{1,3}[.)]|>+)[ \t]+(\S.*)$")
+_ANY_BLOCK = re.compile(r"^[ \t]*(?:[-*+]|\d{1,3}[.)]|>+)[ \t]+\S", re.M)
 _SENTENCE_END = re.compile(r"[.!?؟۔:;،,|`>)\]}*_~]\s*$|^\s*$")
 _WIKI_LINK = re.compile(r"\[\[([^\[\]\n|]+)(?:\|([^\[\]\n]*))?\]\]")
 _TEMPLATE = re.compile(r"\{\{([^{}]*)\}\}")
@@ -93,22 +94,28 @@ def kinds(text: str | None) -> list[str]:
     if not text or not re.search(r"[<&#*_`~\[{\\$|>=']|^\s*(?:[-+]|\d+[.)])\s|__|^[:;]|^-{2,}", text, re.M):
         return []
     found = set()
-    if _OPEN_FENCE.search(text) or _CODE.search(text):
+    has = lambda *signs: any(x in text for x in signs)
+    if has("`", "~~~") and (_OPEN_FENCE.search(text) or _CODE.search(text)):
         found.add("markdown")
         text = _CODE.sub(" ", _FENCE.sub("\n", text))
-    bare = re.sub(r"<(pre|code|script|style)\b[^<>]*>.*?</\1>", " ", text, flags=re.S | re.I)
-    if _COMMENT.search(text) or any(_is_tag(m) for m in _TAG.finditer(text)) or any(_is_entity(m) for m in _ENTITY.finditer(text)):
-        found.add("html")
-    text = _TAG.sub(lambda m: " " if _is_tag(m) else m[0], _COMMENT.sub(" ", bare))
-    if _DISPLAY.search(text) or _INLINE.search(text) or any(_is_command(m) for m in _COMMAND.finditer(text)) or _ROW_END.search(text) or "\\begin{" in text:
+    if has("<", "&"):
+        bare = re.sub(r"<(pre|code|script|style)\b[^<>]*>.*?</\1>", " ", text, flags=re.S | re.I)
+        if _COMMENT.search(text) or any(_is_tag(m) for m in _TAG.finditer(text)) or any(_is_entity(m) for m in _ENTITY.finditer(text)):
+            found.add("html")
+        text = _TAG.sub(lambda m: " " if _is_tag(m) else m[0], _COMMENT.sub(" ", bare))
+    if has("\\", "$") and (_DISPLAY.search(text) or _INLINE.search(text) or any(_is_command(m) for m in _COMMAND.finditer(text)) or _ROW_END.search(text) or "\\begin{" in text):
         found.add("latex")
         text = _INLINE.sub(" ", _DISPLAY.sub(" ", text))
-    if _WIKI_TABLE.search(text) or _WIKI_LINK.search(text) or _TEMPLATE.search(text) or _QUOTES.search(text) or _WIKI_HEAD.search(text) or _EXTERNAL.search(text) or _MAGIC.search(text) or _REF.search(text) or _WIKI_ITEM.search(text):
+    if (
+        has("{|") and _WIKI_TABLE.search(text) or has("[[") and _WIKI_LINK.search(text) or has("{{") and _TEMPLATE.search(text) or has("''") and _QUOTES.search(text) or has("==") and _WIKI_HEAD.search(text)
+        or has("//") and _EXTERNAL.search(text) or has("__", "#") and _MAGIC.search(text) or has("<") and _REF.search(text) or has("**", "##", "*#", "#*", ":", ";") and _WIKI_ITEM.search(text)
+    ):
         found.add("wiki")
         text = _WIKI_HEAD.sub("", _WIKI_TABLE.sub("\n", text))
     if "markdown" not in found and (
-        _ATX.search(text) or _SETEXT.search(text) or _BOLD.search(text) or _ITALIC.search(text) or _IMAGE.search(text) or _LINK.search(text) or _STRIKE.search(text) or _RULE.search(text) or _DELIMITER.search(text) or _AUTOLINK.search(text) or _blocks(text)
-    ):
+        has("#") and _ATX.search(text) or has("==", "--") and _SETEXT.search(text) or has("*", "_") and (_BOLD.search(text) or _ITALIC.search(text)) or has("](") and (_IMAGE.search(text) or _LINK.search(text))
+        or has("~~") and _STRIKE.search(text) or has("*", "-", "_") and _RULE.search(text) or has("--") and _DELIMITER.search(text) or has("<http") and _AUTOLINK.search(text) or _ANY_BLOCK.search(text) and _blocks(text)
+    ):
         found.add("markdown")
     return [k for k in ("html", "markdown", "wiki", "latex") if k in found]
 
