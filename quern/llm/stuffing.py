@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 #: Characters of a block, and words within which a phrase must return.
 BLOCK, SPAN = 1200, 160
 #: A block is redundant below this part of the usual ratio of its language and length.
-REDUNDANT = 0.93
+REDUNDANT = 0.97
 #: Share of a page that is stuffing.
 MOSTLY = 0.65
 
@@ -114,6 +114,8 @@ def stuffed_share(text: str) -> float:
             stuffing += size
         elif len(w) >= 6 and _END.search(u) and share < 0.5 and not (len(w) <= 10 and share >= 0.4):
             continue
+        elif len(w) >= 11 and _END.search(u) and len({*zip(w, w[1:])}) == len(w) - 1:
+            continue  # a long sentence that repeats nothing within itself, though others are built like it
         elif share >= 0.3 and 2 * sum(x.isalpha() for x in u) >= size:  # lines of code repeat signs rather than words
             stuffing += size
         else:
