@@ -8,6 +8,11 @@ with a common prefix of PREFIX words or more, give shared spans.  Spans of one p
 coverage.  Texts of at most SHORT words also have the suffixes of SHORT_PREFIX words, and every text the key of its
 whole word set, which finds copies in another order.
 
+No pair depends on a run, though: every text is also keyed by each of its rarest words, as many as it could lack at
+the threshold and one more.  Two sets that reach the threshold have one of these words in common, so no pair is lost.
+Where they first meet, the rarer words before it and the difference of what follows belong to one set only, which
+refuses most pairs by the places of the word alone.
+
 Runs of hot phrases don't grow: where two suffixes meet, the parity sketches of their texts' word sets refuse the pair
 unless their sets can reach the threshold (they differ in at least as many words as the sketches in bits, so no true
 pair is lost).  Equal texts are one class and are expanded at the end.  The exact word share decides.
@@ -18,6 +23,7 @@ tables give empty results.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +38,10 @@ from quern.shared import cut
 
 PREFIX, WINDOW = 8, 4
 SHORT, SHORT_PREFIX = 28, 4
+#: Hash buckets in which words are counted; any order of words that both sides share is lossless.
+BUCKETS = 1 << 16
+#: Place of the rarest word of a text; the next ones follow downwards.
+RAREST = -3
 _POWERS = np.cumprod(np.full(PREFIX, 0x9E3779B97F4A7C15, dtype=np.uint64), dtype=np.uint64)
 
 
@@ -68,6 +78,24 @@ def suffixes(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys).view(np.int64), np.concatenate(at)
 
 
+def rare_words(words: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, places) of the rarest of the text's different words, one of which any set at the threshold has too."""
+    u = np.unique(words).view(np.uint64)
+    order = np.lexsort((u, counts[(u % np.uint64(BUCKETS)).astype(np.int64)]))
+    few = order[: len(u) - math.ceil(threshold * len(u) - 1e-9) + 1]
+    return _mix(u[few] + np.uint64(RAREST & 0xFFFF)).view(np.int64), RAREST - np.arange(len(few))
+
+
+def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(bucket, n): in how many texts the words of a bucket are."""
+    n = np.zeros(BUCKETS, np.int64)
+    for b in batches:
+        for x in b["words"]:
+            np.add.at(n, (np.unique(np.asarray(x, np.int64)).view(np.uint64) % np.uint64(BUCKETS)).astype(np.int64), 1)
+    at = np.flatnonzero(n)
+    yield pd.DataFrame({"bucket": at.astype(np.int32), "n": n[at]})
+
+
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(id, kind, class, n, p, q, words); words only with the first row of each class in a partition."""
     seen: set[tuple[int, int]] = set()
@@ -87,10 +115,11 @@ def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["id", "kind", "class", "n", "p", "q", "words"])
 
 
-def _flat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row for each suffix, with the size and sketch of its text."""
+def _flat(batches: Iterator[pd.DataFrame], counts: np.ndarray, threshold: float) -> Iterator[pd.DataFrame]:
+    """One row for each suffix and rare word, with the size and sketch of its text."""
     for b in batches:
-        found = [suffixes(np.asarray(x, np.int64)) for x in b["words"]]
+        texts = [np.asarray(x, np.int64) for x in b["words"]]
+        found = [tuple(map(np.concatenate, zip(suffixes(x), rare_words(x, counts, threshold)))) for x in texts]
         owner = np.repeat(np.arange(len(b)), [len(k) for k, _ in found])
         empty = np.zeros(0, np.int64)
         out = {"key": np.concatenate([empty, *[k for k, _ in found]]), "at": np.concatenate([empty, *[a for _, a in found]]).astype(np.int32)}
@@ -109,12 +138,20 @@ def overlaps(evaluation: DataFrame, training: DataFrame, eval_key: str, train_ke
     right = training.select(F.col(train_key).cast("long").alias("id"), F.lit(-1).alias("kind"), text(train_pair).alias("text"))
     both = left.union(right).where("id is not null")
     table = cut(both.mapInPandas(_texts, "id long, kind int, class long, n int, p long, q long, words array<long>"), "sequences")
-    suffix = table.where("words is not null").mapInPandas(_flat, "key long, at int, kind int, class long, n int, p long, q long")
+    texts = table.where("words is not null")
+    counts = np.zeros(BUCKETS, np.int64)
+    for r in texts.select("words").mapInPandas(_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS
+        counts[r["bucket"]] = r["n"]
+    sent = evaluation.sparkSession.sparkContext.broadcast(counts)
+    suffix = texts.mapInPandas(lambda it: _flat(it, sent.value, threshold), "key long, at int, kind int, class long, n int, p long, q long")
     x = suffix.where("kind >= 0").drop("kind").alias("x")
-    y = suffix.where("kind < 0").select("key", "class", "n", "p", "q").alias("y")
+    y = suffix.where("kind < 0").drop("kind").alias("y")
     differ = F.expr("bit_count(x.p ^ y.p) + bit_count(x.q ^ y.q)")
-    near = differ <= (F.col("x.n") + F.col("y.n")) * ((1 - threshold) / (1 + threshold)) + 1e-6
-    spans = x.join(y, F.col("x.key") == F.col("y.key")).where(near).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), "x.at")
+    most = (F.col("x.n") + F.col("y.n")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    # words that only one set has: those before the first rare word of both, and by how much the rest differs in size
+    i, j = RAREST - F.col("x.at"), RAREST - F.col("y.at")
+    placed = (F.col("x.at") > RAREST) | (i + j + F.abs(F.col("x.n") - i - F.col("y.n") + j) <= most)
+    spans = x.join(y, F.col("x.key") == F.col("y.key")).where(placed & (differ <= most)).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), "x.at")
     pairs = spans.groupBy("a", "b").agg(F.array_sort(F.collect_set("at")).alias("at"))
     # union of the spans [at, at + PREFIX) of the evaluation text
     merged = F.aggregate(F.filter("at", lambda v: v >= 0), F.struct(F.lit(0).alias("words"), F.lit(0).alias("end")), lambda s, v: F.struct((s["words"] + v + PREFIX - F.greatest(s["end"], v)).alias("words"), (v + PREFIX).alias("end")))

@@ -78,6 +78,24 @@ def test_split_overlaps_find_what_brute_force_finds(spark):
     assert all(r["coverage"] > 20 for r in same)
 
 
+def test_split_overlaps_lose_no_pair_without_a_run(spark):
+    rng = random.Random(7)
+    e, t = [], []
+    for n in [27, 29, *range(30, 90)] * 4:
+        base = rng.sample(WORDS, n)
+        other = list(base)
+        spread = rng.randint(5, 7)  # no run of eight words is left
+        for k in range(rng.randrange(spread), n, spread):
+            other[k] = rng.choice(WORDS)
+        e.append(" ".join(base))
+        t.append(" ".join(other + rng.sample(WORDS, rng.choice([0, 0, 3]))))
+    left = spark.createDataFrame([(i, x, "") for i, x in enumerate(e)], "eval_id long, q string, a string")
+    right = spark.createDataFrame([(i, x, "") for i, x in enumerate(t)], "train_id long, q string, a string")
+    found = {(r["eval_id"], r["train_id"]) for r in split_overlap.overlaps(left, right, "eval_id", "train_id", [["q", "a"]], ["q", "a"], 0.7).collect()}
+    want = {(i, j) for i, x in enumerate(e) for j, y in enumerate(t) if _share(x, y) >= 0.7}
+    assert found == want and len(want) > 50
+
+
 @pytest.mark.parametrize(
     "text, want",
     [
