@@ -1,7 +1,7 @@
 """Keyword-stuffed and link-list pages (problem 10).
 
 Each text is cut into blocks of about BLOCK characters, and every block is compressed on its own.  Spark takes the
-median ratio over the whole corpus by language and length of block; a block well below it is redundant.  Texts with a
+median ratio over all different blocks of the corpus by language and length, so that copies don't move it; a block well below it is redundant.  Texts with a
 redundant block are confirmed by the density of sentence punctuation: their lines and sentences are taken as prose
 (six words or more, closed by a sentence mark, mostly words that don't return as phrases), as stuffing (links, tags
 and phrases that return within a few lines), or as neither (tables, contents pages, lists of names).  A page is
@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,11 @@ def length_class(n: int) -> int:
     return int(2 * (n.bit_length() - 1)) + int(n * n * 2 >= 1 << 2 * n.bit_length()) if n > 0 else 0
 
 
+def hashed(block: str) -> int:
+    """A 64-bit hash of a block."""
+    return xxhash.xxh3_64_intdigest(block.encode("utf-8", "replace")) - (1 << 63)
+
+
 def measures(text: str | None) -> list[tuple[str, int, float]]:
     """(language, length class, ratio) of each block."""
     if not text or not text.strip():
@@ -126,15 +132,17 @@ def stuffed_share(text: str) -> float:
 def found(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key): the rows whose text is mostly stuffing.
 
-    The usual ratios are one row for each of two languages and some forty lengths, whatever the size of the corpus.
+    Each different block counts once, however often it is copied.  The usual ratios are one row for each of two languages and some forty lengths, whatever the size of the corpus.
     """
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([m for t in b["t"] if isinstance(t, str) for m in measures(t)], columns=["language", "length", "ratio"]).astype({"language": object, "length": int, "ratio": float})
+            rows = [(*m, hashed(x)) for t in b["t"] if isinstance(t, str) and t.strip() for x, m in zip(blocks(t), measures(t))]
+            yield pd.DataFrame(rows, columns=["language", "length", "ratio", "block"]).astype({"language": object, "length": int, "ratio": float, "block": int})
 
     narrow = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null")
-    usual = narrow.select("t").mapInPandas(measure, "language string, length int, ratio double").groupBy("language", "length").agg(F.percentile_approx("ratio", 0.5, 1000).alias("usual"))
+    different = narrow.select("t").mapInPandas(measure, "language string, length int, ratio double, block long").groupBy("language", "length", "block").agg(F.first("ratio").alias("ratio"))
+    usual = different.groupBy("language", "length").agg(F.percentile_approx("ratio", 0.5, 1000).alias("usual"))
     expected = {(r["language"], r["length"]): r["usual"] for r in usual.collect()}  # at most 2 languages x 64 lengths
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -244,3 +244,14 @@ def test_stuffed_pages(spark):
     df = spark.createDataFrame(list(enumerate(cases)), "id long, t string").repartition(2)
     many = spark.createDataFrame([(1000 + i, prose.replace("tenant", w)) for i, w in enumerate(WORDS[:60])], "id long, t string")
     assert {r["id"] for r in stuffing.found(df.union(many), "id", "t").collect()} == {5, 6, 7}
+
+
+def test_copies_of_a_stuffed_page_do_not_hide_it(spark):
+    rng = random.Random(8)
+    keys = ["solar panel price", "cheap meter repair", "ev charger install"]
+    prose = [" ".join(f"The {rng.choice(WORDS)} of number {i} should ask the {rng.choice(WORDS)} office about the {rng.choice(WORDS)}." for i in range(14))[:900] for _ in range(40)]
+    stuffed, other = (" ".join(rng.choice(keys) for _ in range(80))[:900] for _ in range(2))
+    letters = [" ".join(rng.choice(WORDS) for _ in range(400))[:400] for _ in range(20)]  # of another length
+    rows = [*prose, other, *letters, *[stuffed] * 60]
+    df = spark.createDataFrame(list(enumerate(rows)), "id long, t string").repartition(3)
+    assert {r["id"] for r in stuffing.found(df, "id", "t").collect()} == {40, *range(61, 121)}
