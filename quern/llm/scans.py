@@ -5,7 +5,8 @@ source file is named after, or is a short line that, with its digits masked, ret
 numbers; a page number stands alone or beside a header.  SQL windows over the remaining lines find words broken over a
 line end and reflow paragraphs.  Words are then grouped by the skeleton of their confusable glyphs over the whole
 corpus: a rare form gives way to a form at least RATIO times as frequent, among several such forms to the one that
-most often follows the same word.
+most often follows the same word.  Words count once for each different text, so that copies of a scan don't make its
+misread words frequent; what is found is then joined back to all rows.
 
 Defined results: null and empty texts have no noise and stay as they are; equal rows count once in `noise` and come
 back each in `repaired`; a null source file has no title, so only repeated lines are its headers.
@@ -103,20 +104,25 @@ def _token(c: Column) -> Column:
 
 
 def _tokens(kept: DataFrame) -> DataFrame:
-    """(key, row, pos, at, token, before, after): words with their neighbours in the line, the broken ones joined."""
+    """(key, row, pos, once, at, token, before, after): words with their neighbours in the line, the broken ones joined."""
     body = F.col("line")
     body = F.when(F.col("before"), F.regexp_replace(body, r"^\s*\S+", "")).otherwise(body)
     body = F.when(F.col("cut"), F.concat(F.regexp_replace(body, rf"\S*{_MARK}\s*$", ""), F.lit(" "), F.col("head"), F.col("rest"))).otherwise(body)
     words = F.filter(F.transform(F.split(body, r"[\s\x{00a0}]+"), _token), lambda x: x != "")
-    kept = kept.select("key", "row", "pos", words.alias("words"))
+    kept = kept.select("key", "row", "pos", "once", words.alias("words"))
     mask = lambda c: F.regexp_replace(c, f"{_DIGIT}+", "0")
     zipped = F.transform("words", lambda x, i: F.struct(x.alias("token"), mask(F.get("words", i - 1)).alias("before"), mask(F.get("words", i + 1)).alias("after")))
-    return kept.select("key", "row", "pos", F.posexplode(zipped).alias("at", "x")).select("key", "row", "pos", "at", "x.*")
+    return kept.select("key", "row", "pos", "once", F.posexplode(zipped).alias("at", "x")).select("key", "row", "pos", "once", "at", "x.*")
+
+
+def _counts(tokens: DataFrame) -> DataFrame:
+    """(token, n): all tokens, and how often they stand in different texts."""
+    return tokens.groupBy("token").agg(F.sum(F.col("once").cast("long")).alias("n"))
 
 
 def _misread(tokens: DataFrame) -> DataFrame:
     """(token, form, n): each misread token with the frequent forms of its skeleton."""
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("token").rlike(r"\p{L}") & (F.length("token") >= 2))
+    counts = _counts(tokens).where(F.col("token").rlike(r"\p{L}") & (F.length("token") >= 2))
     counts = counts.select("token", "n", F.explode(F.array_distinct(F.array(skeleton(F.col("token")), F.concat(F.lit("2"), skeleton(F.col("token"), LATIN_DIGRAPHS_2))))).alias("skeleton"))
     forms = counts.where(F.col("token").rlike(r"^\p{L}[\p{L}'’-]*\p{L}$") & (F.col("n") >= 5))
     # forms that no other form of the skeleton outnumbers by far
@@ -125,7 +131,7 @@ def _misread(tokens: DataFrame) -> DataFrame:
     found = counts.join(frequent, "skeleton").where((F.col("n") * RATIO <= F.col("most")) & (F.col("token") != F.col("form"))).select("token", "form", "form_n").distinct()
     # a form of letters alone may be a word of its own: then the words after it do not stand after the other form
     letters = found.where(F.col("token").rlike(r"^\p{L}+$"))
-    after = tokens.where("after is not null").groupBy("token", skeleton(F.col("after")).alias("after")).agg(F.count(F.lit(1)).alias("n"))
+    after = tokens.where("once and after is not null").groupBy("token", skeleton(F.col("after")).alias("after")).agg(F.count(F.lit(1)).alias("n"))
     own = letters.join(after, "token")
     known = after.select(F.col("token").alias("form"), "after", F.lit(1).alias("known"))
     fits = own.join(known, ["form", "after"], "left").groupBy("token", "form").agg(((F.sum(F.coalesce("known", F.lit(0)) * F.col("n")) + 1) / (F.sum("n") + 1)).alias("fit"))
@@ -139,10 +145,12 @@ class Scans:
         self.df, self.key, self.text, self.host = df, key, text, host
         self.lines = cut(_lines(df, key, text, host), "lines")
         kept = _broken(self.lines)
-        self.tokens = cut(_tokens(kept), "tokens")
+        # one row for each different text
+        once = df.select(F.xxhash64(key, text, host).alias("row"), F.xxhash64(text).alias("text")).groupBy("text").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("first"))
+        self.tokens = cut(_tokens(kept.join(once, "row", "left").withColumn("once", F.coalesce("first", F.lit(False)))), "tokens")
         # a plain hyphen may belong to a compound: whichever form is more frequent elsewhere decides
         ends = kept.where("cut").select("key", "row", "pos", "soft", _token(F.concat("head", "rest")).alias("joined"), _token(F.concat("head", F.lit("-"), "rest")).alias("compound"))
-        counts = self.tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        counts = _counts(self.tokens)
         hard = ends.where("not soft").join(counts.select(F.col("token").alias("joined"), F.col("n").alias("nj")), "joined", "left").join(counts.select(F.col("token").alias("compound"), F.col("n").alias("nc")), "compound", "left")
         self.ends = cut(hard.select("key", "row", "pos", (F.coalesce("nc", F.lit(0)) <= F.coalesce("nj", F.lit(0))).alias("broken")).union(ends.where("soft").select("key", "row", "pos", F.lit(True))), "ends")
         self.misread = cut(_misread(self.tokens), "misread")
@@ -158,7 +166,7 @@ class Scans:
         """`df` with `repaired_text`: no headers and page numbers, words whole and as read, one line a paragraph."""
         hits = self.tokens.alias("t").join(self.misread.alias("m"), "token").select("row", "token", "before", "form", "form_n")
         # how often the word before each hit stands before each form
-        pairs = self.tokens.where("before is not null").groupBy("before", F.col("token").alias("form")).agg(F.count(F.lit(1)).alias("support"))
+        pairs = self.tokens.where("once and before is not null").groupBy("before", F.col("token").alias("form")).agg(F.count(F.lit(1)).alias("support"))
         chosen = hits.join(pairs, ["before", "form"], "left").groupBy("row", "token").agg(F.max_by("form", F.struct(F.coalesce("support", F.lit(0)), "form_n")).alias("form"))
         repairs = chosen.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("token", "form"))).alias("repairs"))
         w = W.partitionBy("row").orderBy("pos")

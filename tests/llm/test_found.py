@@ -255,3 +255,12 @@ def test_copies_of_a_stuffed_page_do_not_hide_it(spark):
     rows = [*prose, other, *letters, *[stuffed] * 60]
     df = spark.createDataFrame(list(enumerate(rows)), "id long, t string").repartition(3)
     assert {r["id"] for r in stuffing.found(df, "id", "t").collect()} == {40, *range(61, 121)}
+
+
+def test_copies_of_a_scan_do_not_hide_its_misread_words(spark):
+    clean = "The tenant should inspect the meter cabinet and report the network office before the summer peak."
+    rows = [(f"d{i}", f"{clean} Form {i} applies.", "other_000002.md") for i in range(60)]
+    rows += [(f"n{i}", clean.replace("network", "nefwork"), f"scan{i % 2}.md") for i in range(40)] + [("m", "Ask the nefwork office first.", "x_000003.md")]
+    s = scans.Scans(spark.createDataFrame(rows, "chunk_id string, chunk_text string, source_file string"), "chunk_id", "chunk_text", "source_file")
+    assert {(r["chunk_id"], r["noise"]) for r in s.noise().collect()} == {(k, "misread") for k in ["m", *[f"n{i}" for i in range(40)]]}
+    assert {r["repaired_text"] for r in s.repaired().where("chunk_id like 'n%'").collect()} == {clean}
