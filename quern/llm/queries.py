@@ -72,7 +72,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_repaired(spark: SparkSession, folder: str) -> DataFrame:
-    return scans.Scans(table(spark, folder, "chunks"), "chunk_id", "chunk_text", "source_file").repaired().select("chunk_id", "repaired_text").distinct()
+    return scans.Scans(table(spark, folder, "chunks"), "chunk_id", "chunk_text", "source_file", support=True).repaired().select("chunk_id", "repaired_text").distinct()
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:

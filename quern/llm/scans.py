@@ -1,20 +1,29 @@
 """Noise in text from scanned pages (problem 6).
 
-Everything runs inside Spark.  Lines are numbered and classified: a running header has the skeleton of the title its
-source file is named after, or is a short line that, with its digits masked, returns in the file beside changing page
-numbers; a page number stands alone or beside a header.  SQL windows over the remaining lines find words broken over a
-line end and reflow paragraphs.  Words are then grouped by the skeleton of their confusable glyphs over the whole
-corpus: a rare form gives way to a form at least RATIO times as frequent, among several such forms to the one that
-most often follows the same word.  Words count once for each different text, so that copies of a scan don't make its
-misread words frequent; what is found is then joined back to all rows.
-
-Defined results: null and empty texts have no noise and stay as they are; equal rows count once in `noise` and come
-back each in `repaired`; a null source file has no title, so only repeated lines are its headers.
+Lines of each different text are classified: a running header has the skeleton of the title its source file is named
+after, or is a short line that, with its digits masked, returns in the file beside changing page numbers; a page number
+stands alone or beside a header.  Of the remaining lines, words broken over a line end are found, and all words are
+counted inside each task before they are shuffled, so that only sums by word meet.  Spark groups the words by the
+skeleton of their confusable glyphs over the whole corpus: a rare form gives way to a form at least RATIO times as
+frequent that the words after it support.  Only the few words that may be misread are then looked up in the texts
+again: a bitmap of fixed size tells them apart, and an exact join follows.  Reflow runs in SQL windows.
+
+Words count once for each different text, so that copies of a scan don't make its misread words frequent.
+
+Defined results: null and empty texts have no noise and stay as they are, and so does, byte by byte, every text without
+noise; equal rows count once in `noise` and come back each in `repaired`; a null source file has no title, so only
+repeated lines are its headers.  Code fences, tables, formulas and environments of a noisy text keep their lines.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +36,10 @@ RATIO = 10
 FIT = 0.3
 #: A line beside page numbers is a header where it returns this often in a file.
 REPEATS = 5
+#: Bits of the map that tells words that may be misread, and their forms, from the others; the join after it is exact.
+BITS = 1 << 23
+#: Different words or pairs of words that a task holds before it hands their sums on.
+HELD = 400_000
 # Glyphs that scans confuse, by script; digraphs come after single glyphs.
 LATIN_GLYPHS = ("1!|i0@59et6", "lllloasgcfb")
 LATIN_DIGRAPHS = (("rl", "n"), ("ll", "h"), ("cl", "d"), ("rn", "m"))
@@ -35,14 +48,26 @@ LATIN_DIGRAPHS_2 = (("cl", "d"), ("rl", "n"), ("ll", "h"), ("rn", "m"))
 ARABIC_GLYPHS = ("1|١٣9٤٥", "لااموعه")
 _MARK = "[-‐­¬]"
 _DIGIT = "[0-9٠-٩۰-۹]"
-_PAGE = (
-    rf"(?i)^[\s\x{{200e}}\x{{200f}}]*(?:[—–-]+\s*)?[\[(]?\s*(?:(?:p[a@][g9][ec]|pp?\.|[ص][ف]?[ح]?[ةه]?|ص٥حة|seite)\s*)?{_DIGIT}{{1,4}}\s*"
-    rf"(?:(?:/|of|o[ft]|من)\s*{_DIGIT}{{1,4}})?\s*[\])]?(?:\s*[—–-]+)?\s*$"
-)
-_HEAD = (
-    rf"^[\s\x{{200e}}\x{{200f}}]*(?:({_DIGIT}{{1,4}})\s*[|·—–-]\s*)?(\S.*?)(?:\s*[—–-]\s*\S+\s+\S{{1,4}}?)?"
-    rf"(?:\s*[|·—–-]\s*({_DIGIT}{{1,4}})|({_DIGIT}{{1,4}}))?\s*$"
-)
+_EDGE = "[\\s‎‏]"
+_PAGE = re.compile(
+    rf"{_EDGE}*(?:[—–-]+\s*)?[\[(]?\s*(?:(?:p[a@][g9][ec]|pp?\.|[ص][ف]?[ح]?[ةه]?|ص٥حة|seite)\s*)?{_DIGIT}{{1,4}}\s*"
+    rf"(?:(?:/|of|o[ft]|من)\s*{_DIGIT}{{1,4}})?\s*[\])]?(?:\s*[—–-]+)?\s*\Z", re.I | re.A
+)
+_HEAD = re.compile(
+    rf"{_EDGE}*(?:({_DIGIT}{{1,4}})\s*[|·—–-]\s*)?(\S.*?)(?:\s*[—–-]\s*\S+\s+\S{{1,4}}?)?"
+    rf"(?:\s*[|·—–-]\s*({_DIGIT}{{1,4}})|({_DIGIT}{{1,4}}))?\s*\Z", re.A
+)
+_LINES = re.compile(r"\r?\n")
+_DIGITS = re.compile(f"{_DIGIT}+")
+_SIGNS = re.compile(r"(?:[^\w!@|]|_)+")
+_LEFT = re.compile(r"^(?:[^\w!@|]|_)+|(?:[^\w@|]|_)+$")
+_ENDED = re.compile(r"[.؟?!،,:;؛]$")
+_NO_HEADER = re.compile(r"[<>&\\=\[\]{}$]|^\s*[|#*+-]")
+_BROKEN = re.compile(rf"[^\W\d_]{_MARK}$")
+_GOES_ON = re.compile(r"\s*[@!|$0-9١٣٤٥]*[^\W\d_]")
+_HEADWORD = re.compile(rf"(\S*){_MARK}\s*$")
+_ARABIC = re.compile("[ء-ي]")
+_LATIN_MAP, _ARABIC_MAP = str.maketrans(*LATIN_GLYPHS), str.maketrans(*ARABIC_GLYPHS)
 
 
 def skeleton(word: Column, digraphs: tuple = LATIN_DIGRAPHS) -> Column:
@@ -54,152 +79,359 @@ def skeleton(word: Column, digraphs: tuple = LATIN_DIGRAPHS) -> Column:
     return F.when(low.rlike("[ء-ي]"), F.translate(low, *ARABIC_GLYPHS)).otherwise(latin)
 
 
-def _plain(text: Column) -> Column:
-    """The skeleton of a whole line, without spaces and signs other than confusable ones."""
-    return skeleton(F.regexp_replace(text, r"[^\p{L}\p{N}!@|]+", ""))
-
-
-def title(source_file: Column) -> Column:
-    """The title a source file is named after: no extension, no trailing number, spaces for joiners."""
-    bare = F.regexp_replace(source_file, r"\.[A-Za-z0-9]{1,5}$", "")
-    return F.regexp_replace(F.regexp_replace(bare, r"[\s_-]+\d{3,}$", ""), "[_-]+", " ")
-
-
-def _lines(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
-    """(key, row, pos, line, header, page): the lines of each different text."""
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(host).alias("host")).where("text is not null").distinct()
-    rows = rows.withColumns({"row": F.xxhash64("key", "text", "host"), "title": _plain(title(F.col("host")))})
-    lines = rows.select("key", "row", "host", "title", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
-    part = lambda i: F.regexp_extract("line", _HEAD, i)
-    lines = lines.withColumns({"lead": part(1), "core": part(2), "tail": part(3), "glued": part(4)})
-    short = (F.length("line") <= 160) & (F.length(F.trim("line")) >= 4) & ~F.rtrim("line").rlike(r"[.؟?!،,:;؛]$")
-    beside = (F.col("lead") != "") | (F.col("tail") != "") | (F.col("glued") != "")
-    titled = short & (F.length("title") >= 6) & ((_plain(F.col("core")) == F.col("title")) | (_plain(F.concat("core", "glued")) == F.col("title")))
-    # digits masked, the same line beside page numbers again and again in a file
-    masked = F.regexp_replace(F.lower("core"), f"{_DIGIT}+", "#")
-    lines = lines.withColumns({"titled": F.coalesce(titled, F.lit(False)), "masked": F.when(short & ((F.col("lead") != "") | (F.col("tail") != "")) & F.col("core").rlike(r"\p{L}{2}") & ~F.col("line").rlike(r"[<>&\\=\[\]{}$]|^\s*[|#*+-]"), masked), "beside": beside})
-    often = lines.where("masked is not null and not titled").groupBy("host", "masked").agg(F.countDistinct("lead", "tail", "glued").alias("n")).where(F.col("n") >= REPEATS).select("host", "masked", F.lit(True).alias("often"))
-    # only lines that may be such headers meet the counts; the others, a third of them of one file, stay where they are
-    rest = lines.where("masked is null").withColumn("often", F.lit(None).cast("boolean"))
-    lines = rest.unionByName(lines.where("masked is not null").join(often, ["host", "masked"], "left"))
-    page = F.col("line").rlike(_PAGE)
-    header = (F.col("titled") | F.coalesce("often", F.lit(False))) & ~page
-    return lines.select("key", "row", "pos", "line", header.alias("header"), "titled", (page | (header & F.col("beside") & ~((F.col("glued") != "") & (_plain(F.concat("core", "glued")) == F.col("title"))))).alias("page"))
-
-
-def _broken(lines: DataFrame) -> DataFrame:
-    """The lines that are no header or page number, with the word broken over their end, if any."""
-    w = W.partitionBy("row").orderBy("pos")
-    kept = lines.where(~F.col("header") & ~F.col("page")).where(F.trim("line") != "")
-    kept = kept.withColumn("next", F.lead("line").over(w))
-    at_end = F.rtrim("line").rlike(rf"\p{{L}}{_MARK}$") & F.coalesce(F.col("next").rlike(r"^\s*[\p{L}@!|$0-9١٣٤٥]*\p{L}"), F.lit(False)) & ~F.col("line").rlike(r"^\s*[-|]")
-    kept = kept.withColumn("cut", at_end)
-    head = F.regexp_extract("line", rf"(\S*){_MARK}\s*$", 1)
-    rest = F.regexp_extract("next", r"^\s*(\S*)", 1)
-    return kept.withColumns({"head": F.when(F.col("cut"), head), "rest": F.when(F.col("cut"), rest), "soft": F.rtrim("line").rlike("[‐­¬]$"), "before": F.lag("cut", 1, False).over(w)})
-
-
-def _token(c: Column) -> Column:
-    return F.regexp_replace(F.lower(c), r"^[^\p{L}\p{N}!@|]+|[^\p{L}\p{N}@|]+$", "")
+def skeleton_of(word: str) -> str:
+    """The same of a string."""
+    low = word.lower()
+    if _ARABIC.search(low):
+        return low.translate(_ARABIC_MAP)
+    low = low.translate(_LATIN_MAP)
+    for pair, one in LATIN_DIGRAPHS:
+        low = low.replace(pair, one)
+    return low
 
 
-def _tokens(kept: DataFrame) -> DataFrame:
-    """(key, row, pos, once, at, token, before, after): words with their neighbours in the line, the broken ones joined."""
-    body = F.col("line")
-    body = F.when(F.col("before"), F.regexp_replace(body, r"^\s*\S+", "")).otherwise(body)
-    body = F.when(F.col("cut"), F.concat(F.regexp_replace(body, rf"\S*{_MARK}\s*$", ""), F.lit(" "), F.col("head"), F.col("rest"))).otherwise(body)
-    words = F.filter(F.transform(F.split(body, r"[\s\x{00a0}]+"), _token), lambda x: x != "")
-    kept = kept.select("key", "row", "pos", "once", words.alias("words"))
-    mask = lambda c: F.regexp_replace(c, f"{_DIGIT}+", "0")
-    zipped = F.transform("words", lambda x, i: F.struct(x.alias("token"), mask(F.get("words", i - 1)).alias("before"), mask(F.get("words", i + 1)).alias("after")))
-    return kept.select("key", "row", "pos", "once", F.posexplode(zipped).alias("at", "x")).select("key", "row", "pos", "once", "at", "x.*")
-
-
-def _counts(tokens: DataFrame) -> DataFrame:
-    """(token, n): all tokens, and how often they stand in different texts."""
-    return tokens.groupBy("token").agg(F.sum(F.col("once").cast("long")).alias("n"))
-
-
-def _misread(tokens: DataFrame) -> DataFrame:
-    """(token, form, n): each misread token with the frequent forms of its skeleton."""
-    counts = _counts(tokens).where(F.col("token").rlike(r"\p{L}") & (F.length("token") >= 2))
+def _plain(text: str) -> str:
+    """The skeleton of a whole line, without spaces and signs other than confusable ones."""
+    return skeleton_of(_SIGNS.sub("", text))
+
+
+def title(source_file: str | None) -> str:
+    """The skeleton of the title a source file is named after: no extension, no trailing number, spaces for joiners."""
+    if not source_file:
+        return ""
+    bare = re.sub(r"\.[A-Za-z0-9]{1,5}$", "", source_file)
+    return _plain(re.sub("[_-]+", " ", re.sub(r"[\s_-]+\d{3,}$", "", bare)))
+
+
+def _short(line: str) -> bool:
+    """Whether a line may be a header: neither long nor closed by a sign."""
+    return 4 <= len(line.strip(" ")) and len(line) <= 160 and not _ENDED.search(line.rstrip(" "))
+
+
+def masked(line: str) -> tuple[str, str] | None:
+    """(the line with its digits masked, its page number) of a line beside a page number, else None."""
+    if not _short(line) or _NO_HEADER.search(line):
+        return None
+    lead, core, tail, glued = _parts(line)
+    if not (lead or tail) or not re.search(r"[^\W\d_]{2}", core):
+        return None
+    return _DIGITS.sub("#", core.lower()), f"{lead}|{tail}|{glued}"
+
+
+def _parts(line: str) -> tuple[str, str, str, str]:
+    m = _HEAD.match(line)
+    return tuple(x or "" for x in m.groups()) if m else ("", "", "", "")
+
+
+def classified(lines: list[str], name: str, often: frozenset[int] = frozenset()) -> list[tuple[int, bool, bool]]:
+    """(place, titled header, page) of each line that is a header or a page number.
+
+    name: the skeleton of the file's title; often: the places of the lines that return in the file.
+    """
+    out = []
+    n = len(name)
+    for i, line in enumerate(lines):
+        if len(line) > 160 or not line:
+            continue
+        digits = _DIGITS.search(line)
+        if digits and len(line) <= 60 and _PAGE.match(line):
+            out.append((i, False, True))
+            continue
+        headed = i in often
+        titled = beside = glued_title = False
+        if headed or n >= 6 and len(line) >= n and _short(line):
+            # a first look at the letters alone, without the ends, which signs beside them may change
+            if headed or name[3:-3] in _plain(line):
+                lead, core, tail, glued = _parts(line)
+                beside = bool(lead or tail or glued)
+                glued_title = bool(glued) and _plain(core + glued) == name
+                titled = n >= 6 and _short(line) and (_plain(core) == name or glued_title)
+        if titled or headed:
+            out.append((i, titled, beside and not glued_title))
+    return out
+
+
+def _clean(raw: str) -> str:
+    return _LEFT.sub("", raw)
+
+
+class _Words(dict):
+    """Raw words to clean ones, remembered within bounds."""
+
+    def __missing__(self, raw: str) -> str:
+        if len(self) >= HELD:
+            self.clear()
+        x = self[raw] = raw if raw.isalnum() else _clean(raw)
+        return x
+
+
+def bodies(lines: list[str], gone: set[int]) -> tuple[list[str], list[tuple[int, bool, str, str]]]:
+    """(lines without headers and page numbers, with broken words joined at the end of their first line; the breaks).
+
+    A break is (place, soft, joined word, word with its hyphen).
+    """
+    kept = [(i, x) for i, x in enumerate(lines) if i not in gone and x.strip(" ")]
+    out, breaks, before = [], [], False
+    for k, (i, line) in enumerate(kept):
+        body, trimmed = line, line.rstrip(" ")
+        broken = False
+        if trimmed[-1:] in "-‐­¬" and _BROKEN.search(trimmed) and k + 1 < len(kept) and not re.match(r"\s*[-|]", line) and _GOES_ON.match(kept[k + 1][1]):
+            broken = True
+        if before:
+            body = re.sub(r"^\s*\S+", "", body)
+        if broken:
+            head = m[1] if (m := _HEADWORD.search(line)) else ""
+            rest = (kept[k + 1][1].split(None, 1) or [""])[0]
+            body = f"{_HEADWORD.sub('', body)} {head}{rest}"
+            breaks.append((i, trimmed[-1] != "-", _clean((head + rest).lower()), _clean(f"{head}-{rest}".lower())))
+        out.append(body)
+        before = broken
+    return out, breaks
+
+
+class _Text:
+    """One text of a batch: its classified lines, and its words by line."""
+
+    def __init__(self, text: str, host: str | None, often, titles: dict, words: _Words) -> None:
+        if host not in titles:
+            if len(titles) > 10_000:
+                titles.clear()
+            titles[host] = title(host)
+        lines = _LINES.split(text)
+        self.special = classified(lines, titles[host], frozenset(often) if often is not None else frozenset())
+        body, self.breaks = bodies(lines, {i for i, _, _ in self.special})
+        self.words = [[y for y in (words[x] for x in line.lower().split()) if y] for line in body]
+
+
+def _first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """kind 0: a word with its count in the task; 1: a header or page line; 2: a broken word."""
+    titles, words, counts = {}, _Words(), Counter()
+    names = ["kind", "row", "pos", "a", "b", "n"]
+
+    def sums() -> pd.DataFrame:
+        out = pd.DataFrame({"kind": 0, "row": 0, "pos": 0, "a": pd.Series([*counts], dtype=object), "b": pd.Series([None] * len(counts), dtype=object), "n": np.fromiter(counts.values(), np.int64, len(counts))})
+        counts.clear()
+        return out
+
+    for b in batches:
+        rows = []
+        for row, text, host, often, first in zip(b["row"], b["text"], b["host"], b["often"], b["first"]):
+            t = _Text(text, host, often, titles, words)
+            rows += [(1, row, i, None, None, int(titled) + 2 * int(page)) for i, titled, page in t.special]
+            rows += [(2, row, i, joined, compound, int(soft)) for i, soft, joined, compound in t.breaks]
+            if first:
+                for w in t.words:
+                    counts.update(w)
+        if len(counts) >= HELD:
+            yield sums()
+        yield pd.DataFrame(rows, columns=names).astype({"a": object, "b": object, "n": "int64", "row": "int64", "pos": "int64", "kind": "int64"})
+    yield sums()
+
+
+def _second_pass(batches: Iterator[pd.DataFrame], tokens: np.ndarray, pairs: np.ndarray, support: bool) -> Iterator[pd.DataFrame]:
+    """kind 0: a word that may be misread, with the word before it; 1: a word of letters and the skeleton of the word
+    after it, with their count in the task; 2, where `support` is asked for: the word before a form, and the form."""
+    titles, words, known = {}, _Words(), {}
+    after, before = Counter(), Counter()
+
+    def marks(w: str) -> int:
+        """1: may be misread; 2: a form, or a word of letters that may be misread."""
+        m = known.get(w)
+        if m is None:
+            if len(known) >= HELD:
+                known.clear()
+            h = xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 42) % BITS
+            m = known[w] = int(tokens[h >> 6] >> np.uint64(h & 63) & np.uint64(1)) + 2 * int(pairs[h >> 6] >> np.uint64(h & 63) & np.uint64(1))
+        return m
+
+    def sums() -> pd.DataFrame:
+        keys = [(1, *k) for k in after] + [(2, *k) for k in before]
+        out = pd.DataFrame(keys, columns=["kind", "a", "b"]).assign(row=0, n=[*after.values(), *before.values()]).astype({"kind": "int64", "a": object, "b": object, "n": "int64"})
+        after.clear()
+        before.clear()
+        return out[["kind", "row", "a", "b", "n"]]
+
+    mask = lambda w: _DIGITS.sub("0", w)
+    for b in batches:
+        rows = []
+        for row, text, host, often, first in zip(b["row"], b["text"], b["host"], b["often"], b["first"]):
+            hits = {}
+            for line in _Text(text, host, often, titles, words).words:
+                for k, w in enumerate(line):
+                    m = marks(w)
+                    if not m:
+                        continue
+                    if m & 1:
+                        hits[w, mask(line[k - 1]) if k else None] = None
+                    if m & 2 and first:
+                        if k + 1 < len(line):
+                            after[w, skeleton_of(mask(line[k + 1]))] += 1
+                        if support and k:
+                            before[mask(line[k - 1]), w] += 1
+            rows += [(0, row, *h, 1) for h in hits]
+        if len(after) + len(before) >= HELD:
+            yield sums()
+        yield pd.DataFrame(rows, columns=["kind", "row", "a", "b", "n"]).astype({"kind": "int64", "row": "int64", "a": object, "b": object, "n": "int64"})
+    yield sums()
+
+
+def _bitmap(words: DataFrame) -> np.ndarray:
+    """The bits of a column of words, as BITS / 64 numbers at most."""
+    h = F.pmod(F.xxhash64("word"), F.lit(BITS))
+    rows = words.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")).collect()
+    out = np.zeros(BITS // 64, np.int64)
+    for r in rows:
+        out[r["at"]] = r["bits"]
+    return out.view(np.uint64)
+
+
+def _candidates(counts: DataFrame) -> DataFrame:
+    """(token, form, form_n): each rare token with the frequent forms of its skeleton."""
+    counts = counts.where(F.col("token").rlike(r"\p{L}") & (F.length("token") >= 2))
     counts = counts.select("token", "n", F.explode(F.array_distinct(F.array(skeleton(F.col("token")), F.concat(F.lit("2"), skeleton(F.col("token"), LATIN_DIGRAPHS_2))))).alias("skeleton"))
     forms = counts.where(F.col("token").rlike(r"^\p{L}[\p{L}'’-]*\p{L}$") & (F.col("n") >= 5))
     # forms that no other form of the skeleton outnumbers by far
     best = forms.groupBy("skeleton").agg(F.max("n").alias("most"))
     frequent = forms.join(best, "skeleton").where(F.col("n") * RATIO > F.col("most")).select("skeleton", "most", F.col("token").alias("form"), F.col("n").alias("form_n"))
-    found = counts.join(frequent, "skeleton").where((F.col("n") * RATIO <= F.col("most")) & (F.col("token") != F.col("form"))).select("token", "form", "form_n").distinct()
-    # a form of letters alone may be a word of its own: then the words after it do not stand after the other form
-    letters = found.where(F.col("token").rlike(r"^\p{L}+$"))
-    after = tokens.where("once and after is not null").groupBy("token", skeleton(F.col("after")).alias("after")).agg(F.count(F.lit(1)).alias("n"))
-    own = letters.join(after, "token")
+    return counts.join(frequent, "skeleton").where((F.col("n") * RATIO <= F.col("most")) & (F.col("token") != F.col("form"))).select("token", "form", "form_n").distinct()
+
+
+def _supported(found: DataFrame, after: DataFrame) -> DataFrame:
+    """The candidates but those of letters alone whose next words do not stand after the form: they may be words."""
+    own = found.where(F.col("token").rlike(r"^\p{L}+$")).join(after, "token")
     known = after.select(F.col("token").alias("form"), "after", F.lit(1).alias("known"))
     fits = own.join(known, ["form", "after"], "left").groupBy("token", "form").agg(((F.sum(F.coalesce("known", F.lit(0)) * F.col("n")) + 1) / (F.sum("n") + 1)).alias("fit"))
     return found.join(fits, ["token", "form"], "left").where((F.coalesce("fit", F.lit(1.0)) >= FIT)).select("token", "form", "form_n")
 
 
+def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines of each text that may be headers beside a page number."""
+    for b in batches:
+        rows = [(row, host, i, *m) for row, host, t in zip(b["row"], b["host"], b["text"]) for i, x in enumerate(_LINES.split(t)) if _DIGITS.search(x) and (m := masked(x))]
+        yield pd.DataFrame(rows, columns=["row", "host", "pos", "masked", "number"]).astype({"row": "int64", "pos": "int32", "host": object, "masked": object, "number": object})
+
+
 class Scans:
-    """The noise of a table, and its repair; the classified lines and their tokens are cut once for both."""
+    """The noise of a table, and its repair; the different texts are cut once for all passes."""
 
-    def __init__(self, df: DataFrame, key: str, text: str, host: str) -> None:
+    def __init__(self, df: DataFrame, key: str, text: str, host: str, support: bool = False) -> None:
         self.df, self.key, self.text, self.host = df, key, text, host
-        self.lines = cut(_lines(df, key, text, host), "lines")
-        kept = _broken(self.lines)
-        # one row for each different text
-        once = df.select(F.xxhash64(key, text, host).alias("row"), F.xxhash64(text).alias("text")).groupBy("text").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("first"))
-        self.tokens = cut(_tokens(kept.join(once, "row", "left").withColumn("once", F.coalesce("first", F.lit(False)))), "tokens")
+        spark = df.sparkSession
+        # copies are one row before they are shuffled
+        texts = df.select(F.col(text).alias("text"), F.col(host).alias("host")).where("text <> ''").distinct()
+        texts = cut(texts.select(F.xxhash64("text", "host").alias("row"), F.xxhash64("text").alias("same"), "text", "host"), "texts")
+        # lines that return beside page numbers in a file: their places, a few for each text that has any
+        near_number = rf"[|·—–-]\s*{_DIGIT}{{1,4}}\s*(?:\n|\r|$)|(?:^|\n)\s*{_DIGIT}{{1,4}}\s*[|·—–-]"
+        lines = texts.where(F.col("text").rlike(near_number)).select("row", "host", "text").mapInPandas(_headers, "row long, host string, pos int, masked string, number string")
+        lines = cut(lines, "headers")
+        often = lines.groupBy("host", "masked").agg(F.countDistinct("number").alias("n")).where(F.col("n") >= REPEATS).select(F.col("host").alias("h"), F.col("masked").alias("m"))
+        found = lines.join(often, F.col("host").eqNullSafe(F.col("h")) & (F.col("masked") == F.col("m"))).groupBy("row").agg(F.collect_set("pos").alias("often"))
+        found = cut(found.withColumnRenamed("row", "r"), "often")
+        # of one text in several files, one counts
+        again = cut(texts.groupBy("same").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("least")).where("n > 1").select(F.col("same").alias("s"), "least"), "again")
+        self.texts = texts.join(found, F.col("row") == F.col("r"), "left").join(again, F.col("same") == F.col("s"), "left")
+        self.texts = self.texts.select("row", "text", "host", "often", (F.coalesce("least", "row") == F.col("row")).alias("first"))
+        one = cut(self.texts.mapInPandas(_first_pass, "kind long, row long, pos long, a string, b string, n long"), "lines")
+        self.special = one.where("kind = 1").select("row", F.col("pos").cast("int").alias("pos"), (F.col("n") % 2 == 1).alias("titled"), (F.col("n") >= 2).alias("page"))
+        counts = cut(one.where("kind = 0").groupBy(F.col("a").alias("token")).agg(F.sum("n").alias("n")), "counts")
         # a plain hyphen may belong to a compound: whichever form is more frequent elsewhere decides
-        ends = kept.where("cut").select("key", "row", "pos", "soft", _token(F.concat("head", "rest")).alias("joined"), _token(F.concat("head", F.lit("-"), "rest")).alias("compound"))
-        counts = _counts(self.tokens)
+        ends = one.where("kind = 2").select("row", F.col("pos").cast("int").alias("pos"), (F.col("n") == 1).alias("soft"), F.col("a").alias("joined"), F.col("b").alias("compound"))
         hard = ends.where("not soft").join(counts.select(F.col("token").alias("joined"), F.col("n").alias("nj")), "joined", "left").join(counts.select(F.col("token").alias("compound"), F.col("n").alias("nc")), "compound", "left")
-        self.ends = cut(hard.select("key", "row", "pos", (F.coalesce("nc", F.lit(0)) <= F.coalesce("nj", F.lit(0))).alias("broken")).union(ends.where("soft").select("key", "row", "pos", F.lit(True))), "ends")
-        self.misread = cut(_misread(self.tokens), "misread")
-        self.kept = kept
+        self.ends = cut(hard.select("row", "pos", (F.coalesce("nc", F.lit(0)) <= F.coalesce("nj", F.lit(0))).alias("broken")).union(ends.where("soft").select("row", "pos", F.lit(True))), "ends")
+        candidates = cut(_candidates(counts), "candidates")
+        tokens = _bitmap(candidates.select(F.col("token").alias("word")))
+        pairs = _bitmap(candidates.where(F.lit(support) | F.col("token").rlike(r"^\p{L}+$")).select(F.explode(F.array("token", "form")).alias("word")))
+        sent = spark.sparkContext.broadcast((tokens, pairs))
+        two = cut(self.texts.mapInPandas(lambda it: _second_pass(it, *sent.value, support), "kind long, row long, a string, b string, n long"), "words")
+        after = cut(two.where("kind = 1").groupBy(F.col("a").alias("token"), F.col("b").alias("after")).agg(F.sum("n").alias("n")), "after")
+        self.misread = cut(_supported(candidates, after), "misread")
+        self.hits = two.where("kind = 0").select("row", F.col("a").alias("token"), F.col("b").alias("before"))
+        self.support = two.where("kind = 2").groupBy(F.col("a").alias("before"), F.col("b").alias("form")).agg(F.sum("n").alias("support"))
+
+    def _rows(self) -> DataFrame:
+        """(row, noise), each once."""
+        kind = lambda rows, name: rows.select("row", F.lit(name).alias("noise"))
+        words = self.hits.join(self.misread.select("token").distinct(), "token", "left_semi")
+        return kind(self.special.where("titled"), "running_header").union(kind(self.special.where("page"), "page_number")).union(kind(self.ends.where("broken"), "hyphenation")).union(kind(words, "misread")).distinct()
 
     def noise(self) -> DataFrame:
         """(key, noise), each once."""
-        kind = lambda rows, name: rows.select(F.col("key").alias(self.key), F.lit(name).alias("noise"))
-        words = self.tokens.join(self.misread.select("token").distinct(), "token", "left_semi")
-        return kind(self.lines.where("titled and header"), "running_header").union(kind(self.lines.where("page"), "page_number")).union(kind(self.ends.where("broken"), "hyphenation")).union(kind(words, "misread")).distinct()
+        rows = self.df.where(F.col(self.text) != "").select(F.col(self.key).alias("k"), F.xxhash64(self.text, self.host).alias("row"))
+        return rows.join(self._rows(), "row").select(F.col("k").alias(self.key), "noise").distinct()
 
     def repaired(self) -> DataFrame:
-        """`df` with `repaired_text`: no headers and page numbers, words whole and as read, one line a paragraph."""
-        hits = self.tokens.alias("t").join(self.misread.alias("m"), "token").select("row", "token", "before", "form", "form_n")
-        # how often the word before each hit stands before each form
-        pairs = self.tokens.where("once and before is not null").groupBy("before", F.col("token").alias("form")).agg(F.count(F.lit(1)).alias("support"))
-        chosen = hits.join(pairs, ["before", "form"], "left").groupBy("row", "token").agg(F.max_by("form", F.struct(F.coalesce("support", F.lit(0)), "form_n")).alias("form"))
+        """`df` with `repaired_text`: no headers and page numbers, words whole and as read, paragraphs continuous.
+
+        Only noisy texts are reflowed, and of these only lines of prose that break off inside a sentence or where the
+        next word had no room.
+        """
+        hits = self.hits.join(self.misread, "token").select("row", "token", "before", "form", "form_n")
+        chosen = hits.join(self.support, ["before", "form"], "left").groupBy("row", "token").agg(F.max_by("form", F.struct(F.coalesce("support", F.lit(0)), "form_n", "form")).alias("form"))
         repairs = chosen.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("token", "form"))).alias("repairs"))
-        w = W.partitionBy("row").orderBy("pos")
-        body = self.lines.where(~F.col("header") & ~F.col("page")).join(self.ends.select("row", "pos", "broken"), ["row", "pos"], "left")
-        blank = F.trim("line") == ""
-        block = F.col("line").rlike(r"^\s*(?:[|<#>\\`~]|[-*+]\s|\d+[.)]\s|\{\||!|={2,})")
-        body = body.withColumns({"blank": blank, "block": block, "paragraph": F.sum((blank | block | F.lag(block, 1, False).over(w)).cast("int")).over(w)}).where(~blank)
-        glue = F.when(F.coalesce("broken", F.lit(False)), F.regexp_replace(F.trim("line"), f"{_MARK}$", "")).otherwise(F.when(F.col("block"), F.rtrim("line")).otherwise(F.concat(F.trim("line"), F.lit(" "))))
-        paragraphs = body.select("row", "pos", "paragraph", glue.alias("piece")).groupBy("row", "paragraph").agg(F.min("pos").alias("pos"), F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]), "")).alias("text"))
-        texts = paragraphs.groupBy("row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n").alias("flat"))
+        noisy = self._rows().select("row").union(self.special.select("row")).distinct()
+        lines = self.texts.join(noisy, "row", "left_semi").select("row", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
+        lines = lines.join(self.special.select("row", "pos", F.lit(True).alias("gone")), ["row", "pos"], "left").join(self.ends, ["row", "pos"], "left")
+        flat = _reflowed(lines).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "gap", "piece", "fixed"))).alias("pieces"))
+        fixed = flat.join(repairs, "row", "left").select(F.col("row").alias("__row"), _repair("pieces", "repairs").alias("__repaired"))
         names = [c for c in self.df.columns if c != "repaired_text"]
-        rows = self.df.withColumn("__row", F.xxhash64(self.key, self.text, self.host))
-        done = rows.join(texts.withColumnRenamed("row", "__row"), "__row", "left").join(repairs.withColumnRenamed("row", "__row"), "__row", "left")
-        fixed = _repair(F.coalesce(F.col("flat"), F.col(self.text)), F.col("repairs"))
-        return done.select(*names, F.when(F.col(self.text).isNull(), None).otherwise(fixed).alias("repaired_text"))
+        rows = self.df.withColumn("__row", F.xxhash64(self.text, self.host))
+        done = rows.join(fixed, "__row", "left")
+        return done.select(*names, F.when(F.col(self.text).isNull(), None).otherwise(F.coalesce("__repaired", self.text)).alias("repaired_text"))
 
 
-@F.pandas_udf(T.StringType())
-def _repair(text: pd.Series, repairs: pd.Series) -> pd.Series:
-    import re
+def _reflowed(lines: DataFrame) -> DataFrame:
+    """(row, pos, gap, piece, fixed) of the lines that stay: what goes before each, and whether its words are fixed."""
+    w = W.partitionBy("row").orderBy("pos")
+    upto = w.rowsBetween(W.unboundedPreceding, 0)
+    line = F.col("line")
+    count = lambda p: F.regexp_count(line, F.lit(p))
+    fence = line.rlike(r"^\s*(?:```|~~~)").cast("int")
+    opens, closes = count(r"(?i)<(?:table|pre|code|ul|ol|dl)\b|\\begin\{|^\s*\{\||\\\[(?!\])"), count(r"(?i)</(?:table|pre|code|ul|ol|dl)>|\\end\{|^\s*\|\}|\\\]")
+    out = lines.withColumns({"f": fence, "o": opens, "c": closes, "d": count(r"\$\$")})
+    out = out.withColumns({"fs": F.sum("f").over(upto), "depth": F.sum(F.col("o") - F.col("c")).over(upto), "ds": F.sum("d").over(upto)})
+    inside = (F.col("f") > 0) | (F.col("fs") % 2 == 1) | (F.col("depth") > 0) | (F.col("o") + F.col("c") > 0) | (F.col("ds") % 2 == 1) | (F.col("d") > 0)
+    out = out.withColumn("fixed", inside)
+    out = out.where(~F.coalesce("gone", F.lit(False)) | F.col("fixed"))
+    out = out.withColumns({"n": F.row_number().over(w), "blank": F.trim(F.regexp_replace("line", r"[\t\x{00a0}]", " ")) == ""})
+    prose = ~F.col("fixed") & ~line.rlike(r"^\s*(?:[|<#>\\]|[-*+•]\s|[0-9٠-٩]{1,3}[.)]\s|!\[|={2,}|-{3,})|\|\s*$")
+    out = out.where(~F.col("blank") | F.col("fixed")).withColumns({"prose": prose, "chars": F.length(F.rtrim("line"))})
+    width = F.max(F.when(F.col("prose"), F.col("chars"))).over(W.partitionBy("row"))
+    lag = lambda c: F.lag(c).over(w)
+    out = out.withColumns({"width": width, "p_prose": lag("prose"), "p_fixed": lag("fixed"), "p_chars": lag("chars"), "p_line": lag(F.rtrim("line")), "p_n": lag("n"), "p_pos": lag("pos"), "p_broken": lag("broken")})
+    blanks = F.col("n") - F.col("p_n") - 1
+    removed = (F.col("pos") - F.col("p_pos") - 1) - blanks > 0
+    ended = F.col("p_line").rlike(r"[.!?؟۔:][\"'”»)\]]*$")
+    first = F.length(F.regexp_extract("line", r"^\s*(\S*)", 1))
+    full = F.col("p_chars") + 1 + first > F.col("width")
+    goes_on = ~ended & ((F.col("p_chars") >= 30) | line.rlike(r"^\s*\p{Ll}"))
+    wrapped = F.col("prose") & F.col("p_prose") & F.when(blanks == 0, full | goes_on).otherwise(removed & goes_on)
+    whole = F.col("p_broken").isNotNull() & ~F.col("fixed") & ~F.col("p_fixed")
+    gap = F.when(F.col("p_n").isNull(), "").when(whole, "").when(wrapped, " ").otherwise(F.repeat(F.lit("\n"), (F.when(removed, F.least(blanks, F.lit(1))).otherwise(blanks) + 1).cast("int")))
+    piece = F.when(F.col("broken") & ~F.col("fixed"), F.regexp_replace(F.rtrim("line"), f"{_MARK}$", "")).when(F.col("fixed"), line).otherwise(F.rtrim("line"))
+    piece = F.when(gap.isin("", " ") & F.col("p_n").isNotNull(), F.ltrim(piece)).otherwise(piece)
+    return out.select("row", "pos", gap.alias("gap"), piece.alias("piece"), "fixed")
 
+
+@F.pandas_udf(T.StringType())
+def _repair(pieces: pd.Series, repairs: pd.Series) -> pd.Series:
+    """The pieces of a text as one, with misread words of its prose as they should read."""
     edges = re.compile(r"^([^\w!@|]*)(.*?)([^\w@|]*)$", re.S)
 
-    def one(t, r):
-        if not isinstance(t, str) or not r:
-            return t
-        r = dict(r)
+    def one(parts, r):
+        r = dict(r) if r else {}
 
         def fix(m):
             a, w, z = edges.match(m[0]).groups()
             form = r.get(w.lower())
             return m[0] if form is None else a + (form[:1].upper() + form[1:] if w[:1].isupper() else form) + z
 
-        return re.sub(r"\S+", fix, t)
+        out, prose = [], []
+        for p in parts:
+            if p["fixed"]:
+                out += [re.sub(r"\S+", fix, "".join(prose)) if r else "".join(prose), p["gap"] + p["piece"]]
+                prose = []
+            else:
+                prose.append(p["gap"] + p["piece"])
+        return "".join([*out, re.sub(r"\S+", fix, "".join(prose)) if r else "".join(prose)])
 
-    return pd.Series([one(t, r) for t, r in zip(text, repairs)], index=text.index, dtype=object)
+    return pd.Series([one(p, r) for p, r in zip(pieces, repairs)], index=pieces.index, dtype=object)
