@@ -25,18 +25,18 @@ def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return _pieces(spark, folder).select("chunk_id", "source_file", "piece_index", "piece_start", "overlap_chars", "token_count", "is_oversized", "chunk_text")
 
 
-def _overlaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _overlaps(spark: SparkSession, folder: str, coverage: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     evaluation = table(spark, folder, "eval_split").select("eval_id", "source_file", *PAIR, "original_question", "original_answer")
     training = table(spark, folder, "train_split").where("is_eval_mirror is distinct from true").select("train_id", "source_file", *PAIR)
-    return split_overlap.overlaps(evaluation, training, "eval_id", "train_id", [PAIR, ["original_question", "original_answer"]], PAIR, threshold=0.7), evaluation, training
+    return split_overlap.overlaps(evaluation, training, "eval_id", "train_id", [PAIR, ["original_question", "original_answer"]], PAIR, threshold=0.7, coverage=coverage), evaluation, training
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _overlaps(spark, folder)[0].select("eval_id", "train_id").distinct()
+    return _overlaps(spark, folder, coverage=False)[0].select("eval_id", "train_id").distinct()
 
 
 def p2_report(spark: SparkSession, folder: str) -> DataFrame:
-    found, evaluation, training = _overlaps(spark, folder)
+    found, evaluation, training = _overlaps(spark, folder, coverage=True)
     return split_overlap.report(found, evaluation, training, "eval_id", "train_id", "source_file")
 
 
