@@ -1,21 +1,24 @@
 """Keyword-stuffed and link-list pages (problem 10).
 
-Each text is cut into blocks of about BLOCK characters, and every block is compressed on its own.  Spark takes the
-median ratio over all different blocks of the corpus by language and length, so that copies don't move it; a block well below it is redundant.  Texts with a
-redundant block are confirmed by the density of sentence punctuation: their lines and sentences are taken as prose
-(six words or more, closed by a sentence mark, mostly words that don't return as phrases), as stuffing (links, tags
-and phrases that return within a few lines), or as neither (tables, contents pages, lists of names).  A page is
-stuffed where stuffing makes up more than MOSTLY of it.  A sentence that is repeated as a whole counts once, so
-that notices with repeated warnings are no cases.
-
-Defined results: null, empty and blank texts are no cases; repeated rows are judged each.
+Each text is cut into blocks of about BLOCK characters, and every block is compressed on its own, with its digits
+masked and runs of one sign made short.  Spark takes the quartiles of the ratio over all different blocks of the corpus
+by language and length, so that copies don't move them.  A block is redundant where the logarithm of its ratio lies
+DEEP robust spreads below the median.  Redundant blocks are confirmed by the density of marks that close sentences: in
+prose it keeps within a range; lists of phrases, links and tags have fewer, and phrases made up as sentences have more.
+A page is stuffed where confirmed blocks make up MOSTLY of it or more.
+
+Sentences of SENTENCE words or more that are repeated as a whole come once before anything is measured, so that notices
+with repeated warnings are no cases; blocks that are mostly signs and digits, such as code and tables of numbers, are
+none either.
+
+Defined results: null, empty and blank texts are no cases; repeated rows are judged each; without any spread in a class
+of language and length, SPREAD is taken for it.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,18 +26,43 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of a block, and words within which a phrase must return.
-BLOCK, SPAN = 1200, 160
-#: A block is redundant below this part of the usual ratio of its language and length.
-REDUNDANT = 0.97
-#: Share of a page that is stuffing.
-MOSTLY = 0.65
-
-_WORD = re.compile(r"[^\W_]+")
-_LINK = re.compile(r"<a\b[^<>]*>|</a>|(?:https?://|www\.)[^\s<>\"')\]]+|\b[\w-]+(?:\.[\w-]+)*\.(?:com|net|org|info|biz|shop|online|site|sa|ae|io|co|example|test|invalid)\b[^\s<>\"')\]]*", re.I)
-_TAG = re.compile(r"(?<!\S)#[^\s#]{2,}")
+from quern.shared import cut
+
+#: Characters of a block.
+BLOCK = 1200
+#: A block is redundant this many spreads below the median of the logarithms of ratios; the least spread.
+DEEP, SPREAD = 3.5, 0.02
+#: Marks that close sentences, by word: prose has neither fewer nor more.  More counts only from MARKS marks on.
+FEWEST, GREATEST, MARKS = 0.02, 0.095, 5
+#: Share of letters in the signs of a block, at least.
+LETTERS = 0.64
+#: Words of a sentence that comes once.
+SENTENCE = 6
+#: Share of a page's characters in confirmed blocks.
+MOSTLY = 0.4
+
+_DIGIT = re.compile(r"\d")
+#: Leaders of contents pages and rules of tables, which any text may have.
+_RUN = re.compile(r"([^\w\s])\1{2,}")
 _UNIT = re.compile(r"(?<=[.!?؟۔।])\s+|\n+")
-_END = re.compile(r"[.!?؟۔।][\"'”»)\]]*\s*$")
+_CLOSED = re.compile(r"[.!?؟۔।][\"'”»)\]]*\s*$")
+_MARK = re.compile(r"[^\W\d_][\"'”»)\]]*[.!?؟۔।]+[\"'”»)\]]*(?=\s|$)|\d[.!?؟۔।]+(?=\s+[^\s\d]*[^\W\d_]|$)")
+_NUMBERED = re.compile(r"^\s*\d+[.)]\s", re.M)
+
+
+def once(text: str) -> str:
+    """The lines and sentences of a text; long sentences that are repeated as a whole come once."""
+    seen, out = set(), []
+    for u in _UNIT.split(text):
+        key = u.strip().lower()
+        if not key:
+            continue
+        if key.count(" ") >= SENTENCE - 1 and _CLOSED.search(key):
+            if key in seen:
+                continue
+            seen.add(key)
+        out.append(u)
+    return "\n".join(out)
 
 
 def blocks(text: str) -> list[str]:
@@ -49,115 +77,44 @@ def length_class(n: int) -> int:
     return int(2 * (n.bit_length() - 1)) + int(n * n * 2 >= 1 << 2 * n.bit_length()) if n > 0 else 0
 
 
-def hashed(block: str) -> int:
-    """A 64-bit hash of a block."""
-    return xxhash.xxh3_64_intdigest(block.encode("utf-8", "replace")) - (1 << 63)
-
-
-def measures(text: str | None) -> list[tuple[str, int, float]]:
-    """(language, length class, ratio) of each block."""
+def measures(text: str | None) -> list[dict]:
+    """What is measured of each block: its language as far as it matters here (one or more bytes for most letters),
+    length class, ratio, hash, characters, and whether its marks and letters let it be no prose."""
     if not text or not text.strip():
         return []
     out = []
-    for b in blocks(text):
-        raw = b.encode("utf-8", "replace")
-        # the language as far as it matters here: one or more bytes for most letters
-        out.append(("long" if 2 * len(raw) > 3 * len(b) else "short", length_class(len(b)), len(zlib.compress(raw, 6)) / len(raw)))
-    return out
-
-
-def _units(text: str) -> list[str]:
-    """Lines and sentences; long ones that are repeated as a whole come once."""
-    seen, out = set(), []
-    for s in _UNIT.split(text):
-        key = s.strip().lower()
-        if not key:
-            continue
-        if key.count(" ") >= 6 and _END.search(key):
-            if key in seen:
-                continue
-            seen.add(key)
-        out.append(s)
+    for b in blocks(once(text)):
+        low = _RUN.sub(r"\1", _DIGIT.sub("0", b.lower()))
+        raw = low.encode("utf-8", "replace")
+        words, marks = len(b.split()), len(_MARK.findall(_NUMBERED.sub("", b)))
+        letters, signs = sum(map(str.isalpha, b)), sum(not c.isspace() for c in b)
+        odd = marks < FEWEST * words or marks > GREATEST * words and marks >= MARKS
+        out.append({"wide": 2 * len(raw) > 3 * len(low), "length": length_class(len(low)), "ratio": len(zlib.compress(raw, 6)) / len(raw), "block": xxhash.xxh3_64_intdigest(raw) - (1 << 63), "chars": len(b), "odd": odd and letters > LETTERS * signs})
     return out
 
 
-def stuffed_share(text: str) -> float:
-    """The share of the text's characters that are stuffing."""
-    units = _units(text)
-    words: list[list[str]] = []
-    flat: list[tuple[str, int, int]] = []
-    fixed = []
-    n_tags = sum(len(_TAG.findall(u)) for u in units)
-    for i, u in enumerate(units):
-        link = sum(len(m[0]) for m in _LINK.finditer(u))
-        bare = _LINK.sub(" ", u)
-        tags = sum(len(m[0]) for m in _TAG.finditer(bare)) if n_tags >= 5 else 0
-        fixed.append((link, tags))
-        w = [x.lower() for x in _WORD.findall(_TAG.sub(" ", bare) if n_tags >= 5 else bare)]
-        w = [x[1:] if x[0] == "و" and len(x) >= 5 else x for x in w]
-        words.append(w)
-        flat += [(x, i, j) for j, x in enumerate(w)]
-    covered = [[False] * len(w) for w in words]
-    n = max(1, round(len(flat) / SPAN))
-    size = -(-len(flat) // n) if flat else 1
-    for a in range(0, len(flat), size):
-        part = flat[a : a + size]
-        pairs = Counter((x[0], y[0]) for x, y in zip(part, part[1:]))
-        single = Counter(x[0] for x in part)
-        for k, (x, i, j) in enumerate(part):
-            if k + 1 < len(part) and pairs[x, part[k + 1][0]] >= 3:
-                covered[i][j] = covered[part[k + 1][1]][part[k + 1][2]] = True
-            if len(x) >= 10 and single[x] >= 4:
-                covered[i][j] = True
-    stuffing = total = 0
-    for u, w, c, (link, tags) in zip(units, words, covered, fixed):
-        size = len("".join(u.split()))
-        total += size
-        letters = sum(map(len, w))
-        own = sum(len(x) for x, y in zip(w, c) if y)
-        share = own / letters if letters else 0.0
-        if link + tags > 0.25 * size:
-            stuffing += size
-        elif len(w) >= 6 and _END.search(u) and share < 0.5 and not (len(w) <= 10 and share >= 0.4):
-            continue
-        elif len(w) >= 11 and _END.search(u) and len({*zip(w, w[1:])}) == len(w) - 1:
-            continue  # a long sentence that repeats nothing within itself, though others are built like it
-        elif share >= 0.3 and 2 * sum(x.isalpha() for x in u) >= size:  # lines of code repeat signs rather than words
-            stuffing += size
-        else:
-            stuffing += link + tags
-    return stuffing / total if total else 0.0
-
-
-def found(df: DataFrame, key: str, text: str) -> DataFrame:
+def found(df: DataFrame, key: str, text: str, gate: bool = True) -> DataFrame:
     """(key): the rows whose text is mostly stuffing.
 
-    Each different block counts once, however often it is copied.  The usual ratios are one row for each of two languages and some forty lengths, whatever the size of the corpus.
+    Texts are read and compressed once, in `measured`; what is measured is cut and judged inside Spark.  The usual
+    ratios are one row for each of two languages and some forty lengths, whatever the size of the corpus.  Without
+    `gate` every block counts as redundant, to show what the ratio does.
     """
+    kind = df.schema[key].dataType.simpleString()
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(*m, hashed(x)) for t in b["t"] if isinstance(t, str) and t.strip() for x, m in zip(blocks(t), measures(t))]
-            yield pd.DataFrame(rows, columns=["language", "length", "ratio", "block"]).astype({"language": object, "length": int, "ratio": float, "block": int})
+            yield pd.DataFrame({"k": b["k"], "blocks": pd.Series([measures(t) if isinstance(t, str) else [] for t in b["t"]], index=b.index, dtype=object)})
 
     narrow = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null")
-    different = narrow.select("t").mapInPandas(measure, "language string, length int, ratio double, block long").groupBy("language", "length", "block").agg(F.first("ratio").alias("ratio"))
-    usual = different.groupBy("language", "length").agg(F.percentile_approx("ratio", 0.5, 1000).alias("usual"))
-    expected = {(r["language"], r["length"]): r["usual"] for r in usual.collect()}  # at most 2 languages x 64 lengths
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [i for i, t in enumerate(b["t"]) if redundant(t, expected) and stuffed_share(t) > MOSTLY]
-            yield pd.DataFrame({"k": b["k"].to_numpy()[rows]})
-
-    kind = df.schema[key].dataType.simpleString()
-    return narrow.mapInPandas(judge, f"k {kind}").select(F.col("k").alias(key))
-
-
-def redundant(text: str | None, expected: dict[tuple[str, int], float]) -> bool:
-    """Whether a block compresses better than usual, or links or tags make up much of it."""
-    if not isinstance(text, str) or not text.strip():
-        return False
-    if any(r < REDUNDANT * expected.get((lang, n), 1.0) for lang, n, r in measures(text)):
-        return True
-    return sum(len(m[0]) for m in _LINK.finditer(text)) + sum(len(m[0]) for m in _TAG.finditer(text)) > 0.2 * len(text)
+    rows = cut(narrow.mapInPandas(measured, f"k {kind}, blocks array<struct<wide:boolean,length:int,ratio:double,block:bigint,chars:int,odd:boolean>>"), "blocks")
+    different = rows.select(F.explode("blocks").alias("b")).select("b.*").groupBy("wide", "length", "block").agg(F.first("ratio").alias("ratio"))
+    quartiles = different.groupBy("wide", "length").agg(F.percentile_approx("ratio", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias("q"))
+    # ratios below these are redundant; at most 2 languages x 64 lengths
+    spread = F.greatest(F.lit(SPREAD), (F.log(F.col("q")[2]) - F.log(F.col("q")[0])) / 1.349)
+    limits = quartiles.select("wide", "length", F.exp(F.log(F.col("q")[1]) - DEEP * spread).alias("limit")).collect()
+    limit = F.create_map(*[F.lit(x) for r in limits for x in (int(r["length"]) * 2 + int(r["wide"]), r["limit"])]) if limits else F.lit(None).cast("map<int,double>")
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, b: s + b["chars"])
+    redundant = lambda b: b["ratio"] < F.coalesce(limit[b["length"] * 2 + b["wide"].cast("int")], F.lit(0.0)) if gate else F.lit(True)
+    stuffed = F.filter("blocks", lambda b: b["odd"] & redundant(b))
+    return rows.where((F.size("blocks") > 0) & (total(stuffed) >= MOSTLY * total(F.col("blocks")))).select(F.col("k").alias(key))
