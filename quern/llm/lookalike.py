@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata as ud
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -104,6 +105,8 @@ _ARABIC_CLASS = "ؠ-يً-ٟ٠-٩ٮ-ۓە-ۜۮ-ۿﭐ-﷯ﹰ-ﻼ"
 _TOKEN = re.compile(f"[{_class({*_LETTERS, *MARKS} | {k for k, v in SINGLES.items() if v and (v.isalpha() and ord(v[0]) < 0x590)})}{_INVISIBLE}]+|[{_ARABIC_CLASS}{_INVISIBLE}]+|.[{_class(MARKS)}]+|{_SINGLE_RUN}", re.S)
 _CLUSTER = re.compile(f".[{_class(MARKS)}]*", re.S)
 _SENTENCE_END = re.compile("[.!?؟\n]|(?<=۔)")
+_OTHER_SCRIPT = re.compile("[\u0370-\u03ff\u0400-\u052f\u1f00-\u1fff]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
 _JOINERS = "‌‍"
 _EMOJI = re.compile("[←-⯿\U0001f000-\U0001faff️]")
 _CJK = re.compile("[⺀-鿿가-힯]")
@@ -123,7 +126,37 @@ def _compose(word: str) -> str:
     return ud.normalize("NFC", word) if any(c in MARKS for c in word) else word
 
 
-def _word(word: str, text: str) -> str:
+class _Around:
+    """What letters depend on besides their word, found once a text: its script, and the language of each sentence."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self._latin: bool | None = None
+        self._spans: tuple[list[int], list[int]] | None = None
+        self._eastern: dict[int, bool] = {}
+
+    def latin(self) -> bool:
+        """Mostly Latin, without any word that can only be Greek or Cyrillic."""
+        if self._latin is None:
+            other = _OTHER_SCRIPT.findall(self.text)
+            self._latin = all(c in _FOREIGN_ALL for c in other) and len(_ASCII_LETTER.findall(self.text)) > 4 * len(other)
+        return self._latin
+
+    def eastern(self, at: int) -> bool:
+        """Whether the sentence around a place is Persian or Urdu."""
+        if self._spans is None:
+            found = [m.span() for m in _SENTENCE_END.finditer(self.text)]
+            self._spans = [a for a, _ in found], [b for _, b in found]
+        starts, ends = self._spans
+        k = bisect_right(ends, at)
+        if k not in self._eastern:
+            s = self.text[ends[k - 1] if k else 0 : starts[k] if k < len(starts) else None]
+            s = "".join(SINGLES.get(c, c) for c in s)
+            self._eastern[k] = any(c in EASTERN for c in s) and not any(c in WESTERN for c in s)
+        return self._eastern[k]
+
+
+def _word(word: str, around: _Around) -> str:
     """A word of Latin, Greek or Cyrillic in one script, where its foreign letters all have a look-alike."""
     word = "".join(SINGLES.get(c, c) for c in word)
     if word.isascii():
@@ -142,30 +175,11 @@ def _word(word: str, text: str) -> str:
             if len(foreign) >= len(latin) and all(c in other for c in latin):
                 return "".join(other.get(c, c) for c in word)
         return word
-    if all(c in _FOREIGN_ALL for c in foreign) and len(foreign) <= 3 and _latin_text(text):
+    if all(c in _FOREIGN_ALL for c in foreign) and len(foreign) <= 3 and around.latin():
         return "".join(_FOREIGN_ALL.get(c, c) for c in word)  # a short word all of look-alikes
     return word
 
 
-def _latin_text(text: str) -> bool:
-    """Mostly Latin, without any word that can only be Greek or Cyrillic."""
-    other = [c for c in text if _script(c) in ("greek", "cyrillic")]
-    return all(c in _FOREIGN_ALL for c in other) and sum(c.isascii() and c.isalpha() for c in text) > 4 * len(other)
-
-
-def _eastern(text: str, at: int) -> bool:
-    """Whether the sentence around is Persian or Urdu."""
-    start = end = None
-    for m in _SENTENCE_END.finditer(text):
-        if m.end() <= at:
-            start = m.end()
-        elif m.start() >= at:
-            end = m.start()
-            break
-    s = "".join(SINGLES.get(c, c) for c in text[start:end])
-    return any(c in EASTERN for c in s) and not any(c in WESTERN for c in s)
-
-
 def normalize(text: str | None) -> str | None:
     """The text in the one form; null for null."""
     if text is None or text.isascii() or _USUAL.issuperset(text) or not SUSPECT.search(text):
@@ -179,8 +193,7 @@ def changes(text: str | None) -> bool:
 
 
 def _pass(text: str) -> tuple[str, bool]:
-    case = False
-    eastern: dict[int, bool] = {}
+    case, around = False, _Around(text)
 
     def out(m: re.Match) -> str:
         nonlocal case
@@ -198,7 +211,7 @@ def _pass(text: str) -> tuple[str, bool]:
             case = True
             return SINGLES[x]
         if any("ؠ" <= c <= "ۿ" or "ﭐ" <= c <= "ﻼ" for c in x):
-            if any(c in ARABIC or c in _JOINERS for c in x) and _eastern(text, at):
+            if any(c in ARABIC or c in _JOINERS for c in x) and around.eastern(at):
                 y = "".join(c if c in _JOINERS else SINGLES.get(c, c) for c in x)
             elif any(c in EASTERN for c in x):
                 y = "".join(SINGLES.get(c, c) for c in x)
@@ -208,7 +221,7 @@ def _pass(text: str) -> tuple[str, bool]:
             case |= y != x or len(z) < len(y)
             return z
         if _script(head) or head in SINGLES or any(_script(c) for c in x):
-            y = _word(x, text)
+            y = _word(x, around)
         else:
             y = _compose(x)
         case |= y != x and (len(y) < len(x) or ud.normalize("NFC", x) != y)
