@@ -1,14 +1,15 @@
 """Markup residue in documents (problem 5): HTML, Markdown, wiki and LaTeX to clean text.
 
-Step 1 scores the containers of every text (length of its text against tags and links inside) under a generalised
-path of tags and classes.  Step 2 lets the texts of one host (a source file, a site) vote in Spark on each path:
-a path is dropped where most of its containers there hold no prose, such as scripts, menus and footers.  Step 3
-extracts again, leaving out the containers on dropped paths, and rewrites the rest: headings become `#` lines, lists
-`-` or numbered lines, tables pipe rows, code stays fenced and formulas stay between dollar signs.
-
-`kinds` names the languages with at least one construct.  A construct counts for one language: code and formulas are
-taken out before others are looked for.  Defined results: null stays null without kinds; the empty text stays empty;
-unclosed tags and fences end with the text; a null host is a host of its own.
+Step 1 scores the containers of every text under a generalised path of tags and classes: characters of text, less those
+inside links, less a cost for each tag inside.  Step 2 lets the texts of one host (a source file, a site) vote in Spark
+on each path: it wins where the scores of its containers there sum up to more than nothing, so that scripts, menus and
+footers lose.  Step 3 extracts again from the winning paths: the losing containers of each text are left out, and the
+rest is rewritten: headings become `#` lines, lists `-` or numbered lines, tables pipe rows, code stays fenced and
+formulas stay between dollar signs.
+
+`kinds` names the languages with at least one construct in what is extracted.  A construct counts for one language: code
+and formulas are taken out before others are looked for.  Defined results: null stays null without kinds; the empty
+text stays empty; unclosed tags and fences end with the text; a null host is a host of its own.
 """
 
 from __future__ import annotations
@@ -22,12 +23,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.shared import cut
+
 # Element names of HTML, and names of LaTeX commands that need no argument.
 ELEMENTS = frozenset("a abbr address article aside audio b blockquote body br button caption center cite code col colgroup dd del details dfn div dl dt em embed fieldset figcaption figure font footer form h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label legend li link main map mark meta nav noscript object ol option p pre q s samp script section select small source span strike strong style sub summary sup svg table tbody td template textarea tfoot th thead time title tr tt u ul var video wbr".split())
 COMMANDS = frozenset("item noindent par newpage clearpage hline toprule midrule bottomrule centering maketitle tableofcontents leq geq neq times cdot pm approx infty sum int alpha beta gamma delta epsilon theta lambda mu pi rho sigma tau phi omega Delta Gamma Theta Lambda Sigma Phi Omega ldots dots quad qquad left right medskip bigskip smallskip newline linebreak large Large small tiny bfseries itshape kilo watt volt ampere ohm".split())
 VOID = frozenset("area base br col embed hr img input link meta source wbr".split())
-#: Keys over which the texts of one host are spread.
-SALTS = 32
+#: Characters of text that a tag inside a container costs.
+TAG_COST = 2
+# Elements that parts of lists and tables need, which cost nothing and stay with their container.
+PARTS = frozenset("a tr td th li ul ol tbody thead tfoot table br".split())
+_NONE: frozenset[str] = frozenset()
 NO_PROSE = frozenset("script style template noscript iframe svg nav footer aside".split())
 
 _TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)(\s[^<>]*)?/?>")
@@ -62,7 +68,11 @@ _REF = re.compile(r"<(ref|nowiki|gallery|references)\b[^<>]*?(?:/>|>)", re.I)
 _DISPLAY = re.compile(r"\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\\((.+?)\\\)", re.S)
 _INLINE = re.compile(r"(?<![\\$\w])\$(?![\s]*\d+(?:[.,]\d+)?[^=^_\\$]*\$)(?=[^$\n]*(?:[\\^_={}]|^))([^$\n]{1,200})\$(?![\d])|(?<![\\$\w])\$([A-Za-z])\$")
 _COMMAND = re.compile(r"(?<![\w:\\])\\([a-zA-Z]+)\*?(?=(\s*[\[{])?)")
-_ENVIRONMENT = re.compile(r"\\begin\{(\w+\*?)\}(?:\[[^\]]*\])?(?:\{[^{}]*\})*(.*?)(?:\\end\{\1\}|\Z)", re.S)
+#: An environment without another one inside.
+_ENVIRONMENT = re.compile(r"\\begin\{(\w+\*?)\}(?:\[[^\]]*\])?(?:\{[^{}]*\})*((?:(?!\\begin\{).)*?)(?:\\end\{\1\}|\Z)", re.S)
+_ARGUMENT = re.compile(r"(?<![\w:\\])\\[a-zA-Z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}")
+#: Signs of prose such as "V < 18", which open no tag.
+_OPEN_SIGN = re.compile(r"<(?![a-zA-Z/!])|<(?=/?[a-zA-Z]\w*[^\w\s>/])")
 _ROW_END = re.compile(r"[^\n]&[^\n]*\\\\[ \t]*$", re.M)
 
 
@@ -89,8 +99,9 @@ def _blocks(text: str) -> bool:
     return False
 
 
-def kinds(text: str | None) -> list[str]:
-    """The languages of which the text holds a construct, in the order html, markdown, wiki, latex."""
+def kinds(text: str | None, dropped: frozenset[str] = frozenset()) -> list[str]:
+    """The languages of which the text holds a construct, in the order html, markdown, wiki, latex; those other than
+    HTML are looked for outside containers on dropped paths."""
     if not text or not re.search(r"[<&#*_`~\[{\\$|>=']|^\s*(?:[-+]|\d+[.)])\s|__|^[:;]|^-{2,}", text, re.M):
         return []
     found = set()
@@ -102,6 +113,11 @@ def kinds(text: str | None) -> list[str]:
         bare = re.sub(r"<(pre|code|script|style)\b[^<>]*>.*?</\1>", " ", text, flags=re.S | re.I)
         if _COMMENT.search(text) or any(_is_tag(m) for m in _TAG.finditer(text)) or any(_is_entity(m) for m in _ENTITY.finditer(text)):
             found.add("html")
+        if dropped:
+            p = _Plain(dropped)
+            p.feed(_OPEN_SIGN.sub("\2", bare))
+            p.close()
+            bare = "".join(p.out).replace("\2", "<")
         text = _TAG.sub(lambda m: " " if _is_tag(m) else m[0], _COMMENT.sub(" ", bare))
     if has("\\", "$") and (_DISPLAY.search(text) or _INLINE.search(text) or any(_is_command(m) for m in _COMMAND.finditer(text)) or _ROW_END.search(text) or "\\begin{" in text):
         found.add("latex")
@@ -127,7 +143,7 @@ def _general(tag: str, attrs: list[tuple[str, str | None]]) -> str:
 
 
 class _Containers(HTMLParser):
-    """Text, links and number of tags of every container, by generalised path."""
+    """Text, text in links and number of tags of every container, by generalised path."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -135,10 +151,11 @@ class _Containers(HTMLParser):
         self.done: list[tuple[str, int, int, int]] = []
 
     def handle_starttag(self, tag, attrs):
+        cost = int(tag not in PARTS)
         if tag not in VOID:
-            self.stack.append([tag, _general(tag, attrs), 0, 0, 1])
+            self.stack.append([tag, _general(tag, attrs), 0, 0, cost])
         elif self.stack:
-            self.stack[-1][4] += 1
+            self.stack[-1][4] += cost
 
     def handle_data(self, data):
         if self.stack:
@@ -153,9 +170,11 @@ class _Containers(HTMLParser):
         while self.stack:
             path = " ".join(s[1] for s in self.stack[-3:])
             t, _, text, link, tags = self.stack.pop()
-            self.done.append((path, 0 if t in NO_PROSE else text, link, tags))
+            if t in NO_PROSE:
+                text = link = 0
+            self.done.append((path, text, link, tags))
             if self.stack:
-                for i, x in ((2, text if t not in NO_PROSE else 0), (3, link), (4, tags)):
+                for i, x in ((2, text), (3, link), (4, tags)):
                     self.stack[-1][i] += x
             if t == tag:
                 break
@@ -167,13 +186,54 @@ class _Containers(HTMLParser):
 
 
 def containers(text: str | None) -> list[tuple[str, float]]:
-    """(generalised path, vote) of each container: +1 where it holds prose, -1 where it holds none or mostly links."""
+    """(generalised path, score) of each container: its text outside links, less a cost for each tag.
+
+    Up to a fifth of a container's text may stand in links for nothing, as prose has links too.
+    """
     if not text or "<" not in text:
         return []
     p = _Containers()
     p.feed(text)
     p.close()
-    return [(path, 1.0 if text_n > 0 and link <= 0.8 * text_n or path.rsplit(" ", 1)[-1].split(".")[0] in ("a", "tr", "td", "th", "li") else -1.0) for path, text_n, link, _ in p.done]
+    return [(path, text_n - 1.25 * link - TAG_COST * (tags - 1) if text_n else -1.0) for path, text_n, link, tags in p.done if path.rsplit(" ", 1)[-1].split(".")[0] not in PARTS]
+
+
+class _Plain(HTMLParser):
+    """The source of a text without the containers on dropped paths."""
+
+    def __init__(self, dropped: frozenset[str]) -> None:
+        super().__init__(convert_charrefs=False)
+        self.dropped, self.out, self.stack, self.skip = dropped, [], [], 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in VOID:
+            self.stack.append((tag, _general(tag, attrs)))
+            if self.skip or " ".join(s[1] for s in self.stack[-3:]) in self.dropped:
+                self.skip += 1
+        if not self.skip:
+            self.out.append(self.get_starttag_text() or "")
+
+    def handle_endtag(self, tag):
+        if any(s[0] == tag for s in self.stack):
+            while self.stack:
+                t, _ = self.stack.pop()
+                self.skip -= bool(self.skip)
+                if t == tag:
+                    break
+        if not self.skip:
+            self.out.append(f"</{tag}>")
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.out.append(data)
+
+    def handle_entityref(self, name):
+        if not self.skip:
+            self.out.append(f"&{name};")
+
+    def handle_charref(self, name):
+        if not self.skip:
+            self.out.append(f"&#{name};")
 
 
 class _Extract(HTMLParser):
@@ -299,6 +359,14 @@ def _environment(m: re.Match) -> str:
     return re.sub(r"[ \t]*\\item(?:\[[^\]]*\])?[ \t]*", lambda _: f"{next(n)}. " if name == "enumerate" else "- ", body)
 
 
+def _until(pattern: re.Pattern, by, text: str) -> str:
+    """Replaces matches, which have none inside, from the innermost outward until there is none."""
+    n = 1
+    while n:
+        text, n = pattern.subn(by, text)
+    return text
+
+
 def clean(text: str | None, dropped: frozenset[str] = frozenset()) -> str | None:
     """The text without markup, with headings, lists, tables, code and formulas kept as such."""
     if not text:
@@ -314,29 +382,27 @@ def clean(text: str | None, dropped: frozenset[str] = frozenset()) -> str | None
     text = re.sub(r"^[ ]{0,3}(```|~~~).*$", "", text, flags=re.M)
     text = _CODE.sub(lambda m: keep(m[2]), text)
     text = _COMMENT.sub("", text)
-    text = _ENVIRONMENT.sub(_environment, text)
+    text = _until(_ENVIRONMENT, _environment, text)
     text = _DISPLAY.sub(lambda m: keep(f"$$ {next(g for g in m.groups() if g is not None).strip()} $$"), text)
     text = _INLINE.sub(lambda m: keep(m[0]), text)
     if any(_is_tag(m) for m in _TAG.finditer(text)) or _ENTITY.search(text):
         # signs of prose such as "V < 18" must not open a tag
         p = _Extract(dropped)
-        p.feed(re.sub(r"<(?![a-zA-Z/!])|<(?=/?[a-zA-Z]\w*[^\w\s>/])", lambda m: keep("<"), text))
+        p.feed(_OPEN_SIGN.sub(lambda m: keep("<"), text))
         p.close()
         text = "".join(p.out)
     text = _WIKI_TABLE.sub(_wiki_table, text)
     text = re.sub(r"\[\[(?:File|Image|ملف|صورة):[^\[\]|]*(?:\|[^\[\]|]*)*?\|?([^\[\]|]*)\]\]", r"\1", text)
     text = re.sub(r"\[\[(?:Category|تصنيف):([^\[\]|]*)(?:\|[^\[\]]*)?\]\]", r"\1", text)
     text = _WIKI_LINK.sub(lambda m: m[2] or m[1], text)
-    for _ in range(3):
-        text = _TEMPLATE.sub(lambda m: "، ".join(x for x in m[1].split("|")[1:] if "=" not in x), text)
+    text = _until(_TEMPLATE, lambda m: "، ".join(x for x in m[1].split("|")[1:] if "=" not in x), text)
     text = _EXTERNAL.sub(r"\2", _REF.sub("", _MAGIC.sub("", text)))
     text = _QUOTES.sub(lambda m: next(g for g in m.groups() if g is not None), text)
     text = _WIKI_HEAD.sub(lambda m: keep("#" * len(m[1])) + " " + m[2], text)
     text = re.sub(r"\\(chapter|section|subsection|subsubsection|paragraph)\*?\{([^{}]*)\}", lambda m: "#" * (1 + ("chapter", "section", "subsection", "subsubsection", "paragraph").index(m[1])) + " " + m[2], text)
     text = re.sub(r"\\SI\{([^{}]*)\}\{([^{}]*)\}", lambda m: m[1] + " " + m[2].replace("\\", ""), text)
     text = re.sub(r"\\(?:ref|label|cite|eqref|pageref|includegraphics|usepackage|documentclass)(?:\[[^\]]*\])?\{[^{}]*\}", "", text)
-    for _ in range(3):
-        text = re.sub(r"(?<![\w:\\])\\[a-zA-Z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}", r"\1", text)
+    text = _until(_ARGUMENT, r"\1", text)
     text = _COMMAND.sub(lambda m: "" if _is_command(m) else m[0], text)
     text = re.sub(r"\\\\(?=\s|$)", "", re.sub(r"\\([%&#_${}])", r"\1", text))
     text = _SETEXT.sub(lambda m: ("# " if m[2][0] == "=" else "## ") + m[1].strip(), text)
@@ -359,32 +425,51 @@ def clean(text: str | None, dropped: frozenset[str] = frozenset()) -> str | None
     return text
 
 
-def cleaned(df: DataFrame, text: str, host: str) -> DataFrame:
-    """`df` with `clean_text` and `markup` (array of languages), by consensus of each host's paths.
+def _with_lost(df: DataFrame, text: str, host: str) -> DataFrame:
+    """`df` with `__lost`, the losing paths of each text, or null.
 
-    The votes are summed by host and path before they meet, so that a host of a third of all rows sends one row per
-    task and path.  Its dropped paths are one row, repeated SALTS times, and its texts are spread over as many keys.
+    Scores are summed by host and path inside each task before they meet; what comes back to a text are the paths that
+    it has itself, so that no list grows with its host, and a host of a third of all rows is split like any hot key.
     """
 
-    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(h, path, v) for h, t in zip(b["h"], b["t"]) if isinstance(t, str) for path, v in containers(t)]
-            yield pd.DataFrame(rows, columns=["h", "path", "vote"]).astype({"h": object, "path": object, "vote": float})
+            rows = [(r, h, path, v) for r, h, t in zip(b["r"], b["h"], b["t"]) for path, v in containers(t)]
+            yield pd.DataFrame(rows, columns=["r", "h", "path", "score"]).astype({"r": "int64", "h": object, "path": object, "score": float})
+
+    row = F.xxhash64(text, host)
+    texts = df.select(row.alias("r"), F.coalesce(F.col(host), F.lit("")).alias("h"), F.col(text).alias("t")).where(F.col("t").contains("<"))
+    scored = cut(texts.mapInPandas(score, "r long, h string, path string, score double"), "scores")
+    losing = scored.groupBy("h", "path").agg(F.sum("score").alias("score")).where("score <= 0").select("h", "path")
+    lost = cut(scored.select("r", "h", "path").distinct().join(losing, ["h", "path"]).groupBy("r").agg(F.collect_set("path").alias("__lost")), "lost")
+    return df.withColumn("__r", row).join(lost.withColumnRenamed("r", "__r"), "__r", "left").drop("__r")
+
 
-    votes = df.select(F.coalesce(F.col(host), F.lit("")).alias("h"), F.col(text).alias("t")).where(F.col("t").contains("<")).mapInPandas(vote, "h string, path string, vote double")
-    lost = votes.groupBy("h", "path").agg(F.sum("vote").alias("vote")).where("vote < 0").groupBy("h").agg(F.collect_list("path").alias("__dropped"))
+def named(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
+    """(key, markup): each language of which a text holds a construct in what is extracted from the winning paths."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, m) for k, t, d in zip(b["k"], b["t"], b["__lost"]) for m in kinds(t, _NONE if d is None else frozenset(d))]
+            yield pd.DataFrame({"k": pd.Series([r[0] for r in rows], dtype=b["k"].dtype), "markup": pd.Series([r[1] for r in rows], dtype=object)})
+
+    narrow = df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(host).alias("h")).where("t <> ''")
+    found = _with_lost(narrow, "t", "h").select("k", "t", "__lost").mapInPandas(run, f"k {df.schema[key].dataType.simpleString()}, markup string")
+    return found.select(F.col("k").alias(key), "markup").distinct()
+
+
+def cleaned(df: DataFrame, text: str, host: str) -> DataFrame:
+    """`df` with `clean_text` and `markup` (array of languages), by consensus of each host's paths."""
 
     @F.pandas_udf("clean_text string, markup array<string>")
     def extract(t: pd.Series, d: pd.Series) -> pd.DataFrame:
         out = []
         for x, p in zip(t, d):
-            found = kinds(x) if isinstance(x, str) else []
+            lost = _NONE if p is None else frozenset(p)
+            found = kinds(x, lost) if isinstance(x, str) else []
             # a text without any construct is clean as it is
-            out.append((clean(x, frozenset(p) if p is not None else frozenset()) if found else x if isinstance(x, str) else None, found))
+            out.append((clean(x, lost) if found else x if isinstance(x, str) else None, found))
         return pd.DataFrame(out, columns=["clean_text", "markup"]).astype(object)
 
     names = [c for c in df.columns if c not in ("clean_text", "markup")]
-    lost = lost.select(F.col("h").alias("__h"), "__dropped", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
-    keyed = df.withColumns({"__h": F.coalesce(F.col(host), F.lit("")), "__salt": F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int")})
-    joined = keyed.join(lost, ["__h", "__salt"], "left")
-    return joined.withColumn("__x", extract(F.col(text), F.col("__dropped"))).select(*names, "__x.clean_text", "__x.markup")
+    return _with_lost(df, text, host).withColumn("__x", extract(F.col(text), F.col("__lost"))).select(*names, "__x.clean_text", "__x.markup")

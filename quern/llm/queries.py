@@ -18,11 +18,11 @@ def _pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _pieces(spark, folder).where("is_oversized").select("chunk_id").distinct()
+    return _pieces(spark, folder).where("was_oversized").select("chunk_id").distinct()
 
 
 def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    return _pieces(spark, folder).select("chunk_id", "source_file", "piece_index", "piece_start", "overlap_chars", "token_count", "is_oversized", "chunk_text")
+    return _pieces(spark, folder).select("chunk_id", "source_file", "piece_index", "piece_start", "overlap_chars", "token_count", "is_oversized", "was_oversized", "chunk_text")
 
 
 def _overlaps(spark: SparkSession, folder: str, coverage: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -59,8 +59,7 @@ def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    out = markup.cleaned(table(spark, folder, "chunks").select("chunk_id", "chunk_text", "source_file"), "chunk_text", "source_file")
-    return out.select("chunk_id", F.explode("markup").alias("markup")).distinct()
+    return markup.named(table(spark, folder, "chunks"), "chunk_id", "chunk_text", "source_file")
 
 
 def p5_clean(spark: SparkSession, folder: str) -> DataFrame:
