@@ -76,12 +76,11 @@ class Mix:
                 return
             shift = BITS - LEVEL * (level + 1)
             bucket = F.shiftright("hash", shift)
-            inside = None
-            for s, p in prefix.items():
-                one = (F.col(self.source) == s) & (F.shiftright("hash", shift + LEVEL) == p)
-                inside = one if inside is None else inside | one
+            # at most MOST_SOURCES rows, whatever the size of the corpus
+            at = self.sizes.sparkSession.createDataFrame([*prefix.items()], "__source string, __prefix long")
+            inside = self.sizes.join(F.broadcast(at), (F.col(self.source) == F.col("__source")) & (F.shiftright("hash", shift + LEVEL) == F.col("__prefix")))
             sums: dict[str, list] = {}
-            for r in self.sizes.where(inside).groupBy(self.source, bucket.alias("bucket")).agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("rows")).collect():
+            for r in inside.groupBy(self.source, bucket.alias("bucket")).agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("rows")).collect():
                 sums.setdefault(r[0], []).append((r["bucket"], r["n"], r["rows"]))
             for p in plans:
                 if p.source not in left:
@@ -103,10 +102,11 @@ class Mix:
 
     def documents(self) -> DataFrame:
         """(key, source, n_tokens, copies): every document that is taken, and how often."""
-        copies = F.lit(0)
-        for p in self.plans:
-            copies = F.when(F.col(self.source) == p.source, p.passes + (F.col("hash") < p.threshold).cast("int")).otherwise(copies)
-        return self.sizes.withColumn("copies", copies.cast("int")).where("copies > 0").select(self.key, self.source, "n_tokens", "copies")
+        # at most MOST_SOURCES rows
+        plan = self.sizes.sparkSession.createDataFrame([(p.source, p.passes, p.threshold) for p in self.plans], "__source string, __passes int, __threshold long")
+        taken = self.sizes.join(F.broadcast(plan), F.col(self.source) == F.col("__source"))
+        copies = (F.col("__passes") + (F.col("hash") < F.col("__threshold")).cast("int")).alias("copies")
+        return taken.select(self.key, self.source, "n_tokens", copies).where("copies > 0")
 
     def shares(self) -> DataFrame:
         """(source, target_share, available_tokens, taken_tokens, actual_share, most_copies) of every target."""

@@ -14,9 +14,11 @@ rest gives the text back.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ _LINE = re.compile(r"\n+")
 _SENTENCE = re.compile(r"[.!?؟۔।][\"'”»)\]]*\s+|[;؛]\s+")
 _CLAUSE = re.compile(r"[,،:]\s+")
 _SPACE = re.compile(r"\s+")
-_CLUSTER = re.compile(r"(?s).[̀-ͯ҃-҉֑-ֽؐ-ًؚ-ٰٟۖ-ۭऀ-ःऺ-ॏ‍︀-️\U0001f3fb-\U0001f3ff]*")
+_CLUSTER = regex.compile(r"\X")
 
 Span = tuple[int, int]
 
@@ -48,8 +50,12 @@ def most_chars(limit: int) -> int:
 
 def _sections(text: str, a: int, b: int, level: int) -> list[Span]:
     """The part before the first heading of the level, and the section of each."""
-    at = [m.start() for m in _HEADING.finditer(text, a, b) if _level(m) == level and m.start() > a]
-    return _between(a, b, at)
+    heads = [m.start() for m in _HEADING.finditer(text, a, b) if _level(m) == level and m.start() > a]
+    if heads:  # a line of code that looks like a heading opens no section
+        whole = [m.span() for m in _WHOLE.finditer(text, a, b)]
+        ends = [y for _, y in whole]
+        heads = [h for h in heads if (k := bisect_right(ends, h)) == len(whole) or h < whole[k][0]]
+    return _between(a, b, heads)
 
 
 def _level(m: re.Match) -> int:
@@ -65,7 +71,11 @@ def _blocks(text: str, a: int, b: int) -> list[Span]:
     """Blocks between blank lines; fences, tables and environments are not cut inside, and stand alone."""
     whole = [m.span() for m in _WHOLE.finditer(text, a, b)]
     cuts = {p for s in whole for p in s if a < p < b}
-    cuts |= {m.end() for m in _BLANK.finditer(text, a, b) if a < m.end() < b and not any(x < m.end() < y for x, y in whole)}
+    ends = [y for _, y in whole]
+    for m in _BLANK.finditer(text, a, b):
+        k = bisect_right(ends, m.end())
+        if a < m.end() < b and (k == len(whole) or m.end() <= whole[k][0]):
+            cuts.add(m.end())
     return _between(a, b, sorted(cuts))
 
 
@@ -126,20 +136,20 @@ def measured(text: Column) -> Column:
 
 
 def split(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
-    """`df` with one row a piece: the text column holds the piece, `token_count` and `is_oversized` are measured anew
-    (is_oversized tells whether the whole text was over the limit), and `piece_index`, `piece_start` (code points),
-    `overlap_chars` are added.
+    """`df` with one row a piece: the text column holds the piece, `token_count` and `is_oversized` are measured anew on
+    the piece (so none is over the limit), `was_oversized` tells whether the whole text was, and `piece_index`,
+    `piece_start` (code points) and `overlap_chars` are added.
 
     Texts under the limit don't leave the JVM.
     """
-    added = {"token_count", "is_oversized", "piece_index", "piece_start", "overlap_chars"}
+    added = {"token_count", "is_oversized", "was_oversized", "piece_index", "piece_start", "overlap_chars"}
     rest = [c for c in df.columns if c not in added | {text}]
     rows = df.where(F.col(text).isNotNull()).withColumn("__tokens", measured(F.col(text)))
-    small = rows.where(F.col("__tokens") <= limit).select(*rest, F.col(text), F.col("__tokens").alias("token_count"), F.lit(False).alias("is_oversized"), F.lit(0).alias("piece_index"), F.lit(0).alias("piece_start"), F.lit(0).alias("overlap_chars"))
+    small = rows.where(F.col("__tokens") <= limit).select(*rest, F.col(text), F.col("__tokens").alias("token_count"), F.lit(False).alias("is_oversized"), F.lit(False).alias("was_oversized"), F.lit(0).alias("piece_index"), F.lit(0).alias("piece_start"), F.lit(0).alias("overlap_chars"))
 
     @F.pandas_udf("array<struct<piece:string,token_count:int,piece_index:int,piece_start:int,overlap_chars:int>>")
     def cut_up(s: pd.Series) -> pd.Series:
         return pd.Series([[{"piece": t[a:b], "token_count": tokens(b - a), "piece_index": i, "piece_start": a, "overlap_chars": o} for i, (a, b, o) in enumerate(pieces(t, limit, overlap))] for t in s], index=s.index, dtype=object)
 
-    large = rows.where(F.col("__tokens") > limit).select(*rest, F.explode(cut_up(F.col(text))).alias("__p")).select(*rest, F.col("__p.piece").alias(text), "__p.token_count", F.lit(True).alias("is_oversized"), "__p.piece_index", "__p.piece_start", "__p.overlap_chars")
+    large = rows.where(F.col("__tokens") > limit).select(*rest, F.explode(cut_up(F.col(text))).alias("__p")).select(*rest, F.col("__p.piece").alias(text), "__p.token_count", (F.col("__p.token_count") > limit).alias("is_oversized"), F.lit(True).alias("was_oversized"), "__p.piece_index", "__p.piece_start", "__p.overlap_chars")
     return small.unionByName(large)
