@@ -11,8 +11,8 @@ Sentences of SENTENCE words or more that are repeated as a whole come once befor
 with repeated warnings are no cases; blocks that are mostly signs and digits, such as code and tables of numbers, are
 none either.
 
-Defined results: null, empty and blank texts are no cases; repeated rows are judged each; without any spread in a class
-of language and length, SPREAD is taken for it.
+Defined results: null, empty and blank texts are no cases; repeated rows are judged each; a class of language and length
+with fewer than LEAST different blocks goes by the nearest one of the language that has more.
 """
 
 from __future__ import annotations
@@ -32,8 +32,14 @@ from quern.shared import cut
 BLOCK = 1200
 #: A block is redundant this many spreads below the median of the logarithms of ratios; the least spread.
 DEEP, SPREAD = 3.5, 0.02
+#: A ratio that is redundant in any language, however redundant the rest of the corpus is.
+EXTREME = 0.2
+#: Different blocks that a class of language and length needs to go by its own ratios.
+LEAST = 30
 #: Marks that close sentences, by word: prose has neither fewer nor more.  More counts only from MARKS marks on.
 FEWEST, GREATEST, MARKS = 0.02, 0.095, 5
+#: Words of a block, at least: a run of signs without spaces repeats no phrase.
+WORDS = 8
 #: Share of letters in the signs of a block, at least.
 LETTERS = 0.64
 #: Words of a sentence that comes once.
@@ -88,7 +94,7 @@ def measures(text: str | None) -> list[dict]:
         raw = low.encode("utf-8", "replace")
         words, marks = len(b.split()), len(_MARK.findall(_NUMBERED.sub("", b)))
         letters, signs = sum(map(str.isalpha, b)), sum(not c.isspace() for c in b)
-        odd = marks < FEWEST * words or marks > GREATEST * words and marks >= MARKS
+        odd = words >= WORDS and marks < FEWEST * words or marks > GREATEST * words and marks >= MARKS
         out.append({"wide": 2 * len(raw) > 3 * len(low), "length": length_class(len(low)), "ratio": len(zlib.compress(raw, 6)) / len(raw), "block": xxhash.xxh3_64_intdigest(raw) - (1 << 63), "chars": len(b), "odd": odd and letters > LETTERS * signs})
     return out
 
@@ -109,11 +115,16 @@ def found(df: DataFrame, key: str, text: str, gate: bool = True) -> DataFrame:
     narrow = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null")
     rows = cut(narrow.mapInPandas(measured, f"k {kind}, blocks array<struct<wide:boolean,length:int,ratio:double,block:bigint,chars:int,odd:boolean>>"), "blocks")
     different = rows.select(F.explode("blocks").alias("b")).select("b.*").groupBy("wide", "length", "block").agg(F.first("ratio").alias("ratio"))
-    quartiles = different.groupBy("wide", "length").agg(F.percentile_approx("ratio", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias("q"))
+    quartiles = different.groupBy("wide", "length").agg(F.percentile_approx("ratio", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias("q"), F.count(F.lit(1)).alias("n"))
     # ratios below these are redundant; at most 2 languages x 64 lengths
     spread = F.greatest(F.lit(SPREAD), (F.log(F.col("q")[2]) - F.log(F.col("q")[0])) / 1.349)
-    limits = quartiles.select("wide", "length", F.exp(F.log(F.col("q")[1]) - DEEP * spread).alias("limit")).collect()
-    limit = F.create_map(*[F.lit(x) for r in limits for x in (int(r["length"]) * 2 + int(r["wide"]), r["limit"])]) if limits else F.lit(None).cast("map<int,double>")
+    classes = quartiles.select("wide", "length", "n", F.exp(F.log(F.col("q")[1]) - DEEP * spread).alias("limit")).collect()
+    limits = []
+    for r in classes:  # a class of few blocks goes by the nearest one that has enough, or else the largest
+        own = [x for x in classes if x["wide"] == r["wide"]]
+        near = min(own, key=lambda x: (x["n"] < LEAST, abs(x["length"] - r["length"]) if x["n"] >= LEAST else -x["n"], x["length"]))
+        limits.append((int(r["length"]) * 2 + int(r["wide"]), max(near["limit"], EXTREME)))
+    limit = F.create_map(*[F.lit(x) for pair in limits for x in pair]) if limits else F.lit(None).cast("map<int,double>")
     total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, b: s + b["chars"])
     redundant = lambda b: b["ratio"] < F.coalesce(limit[b["length"] * 2 + b["wide"].cast("int")], F.lit(0.0)) if gate else F.lit(True)
     stuffed = F.filter("blocks", lambda b: b["odd"] & redundant(b))
