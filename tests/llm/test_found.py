@@ -264,3 +264,99 @@ def test_copies_of_a_scan_do_not_hide_its_misread_words(spark):
     s = scans.Scans(spark.createDataFrame(rows, "chunk_id string, chunk_text string, source_file string"), "chunk_id", "chunk_text", "source_file")
     assert {(r["chunk_id"], r["noise"]) for r in s.noise().collect()} == {(k, "misread") for k in ["m", *[f"n{i}" for i in range(40)]]}
     assert {r["repaired_text"] for r in s.repaired().where("chunk_id like 'n%'").collect()} == {clean}
+
+
+def test_redundancy_decides(spark):
+    contents = "\n".join(f"{w} {v} office" for w, v in zip(WORDS[:60], WORDS[100:]))
+    rng = random.Random(9)
+    stuffed = " ".join(rng.choice(["solar panel price", "cheap meter repair", "ev charger install"]) for _ in range(60))
+    prose = [" ".join(f"The {rng.choice(WORDS)} of number {i} should ask the {rng.choice(WORDS)} office about the {rng.choice(WORDS)}." for i in range(14))[:900] for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate([contents, stuffed, *prose])), "id long, t string")
+    assert {r["id"] for r in stuffing.found(df, "id", "t").collect()} == {1}
+    assert {r["id"] for r in stuffing.found(df, "id", "t", gate=False).collect()} == {0, 1}
+
+
+def test_noise_free_texts_and_blocks_stay_as_they_are(spark):
+    head = "Guide to Meters | 12\n"
+    code = "```python\nfor x in y:\n    print(x)\n\nif x: go()\n```"
+    table = "| a | b |\n|---|---|\n| 1 | 2 |"
+    form = "Name: A\nAge: 3"
+    rows = [("code", code), ("form", form), ("gaps", "One paragraph here.\n\n\nAnother one.\n"), ("noisy", f"{head}The tenant should inspect the meter cabinet and re-\nport the\nnetwork office before noon. It is late\n{head}in the day.\n\n{form}\n\n{code}\n{table}\n$$\nx = 1\ny\n$$")]
+    rows += [(f"d{i}", f"The tenant should report {i} to the office.") for i in range(3)]
+    df = spark.createDataFrame([(k, t, "Guide_to_Meters_000001.md") for k, t in rows], "k string, t string, h string")
+    got = {r["k"]: r["repaired_text"] for r in scans.Scans(df, "k", "t", "h", support=True).repaired().collect()}
+    assert all(got[k] == t for k, t in rows if k != "noisy")
+    assert got["noisy"] == f"The tenant should inspect the meter cabinet and report the network office before noon. It is late in the day.\n\n{form}\n\n{code}\n{table}\n$$\nx = 1\ny\n$$"
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    def seconds(text):
+        began = time.process_time()
+        lookalike.normalize(text)
+        return time.process_time() - began
+
+    for sentence in ("مرمت کی ٹیم سب سے پہلے ہے اور یہ پینل بند کرے۔ ", "The panel of the оld meter is here and it works fine. "):
+        small, large = seconds(sentence * 400), seconds(sentence * 6400)
+        assert large < 60 * max(small, 0.005)
+
+
+def test_suffix_arrays():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 40, 200):
+        x = rng.integers(0, 4, n)
+        order = split_overlap.suffix_array(x)
+        assert order.tolist() == sorted(range(n), key=lambda i: x[i:].tolist())
+        prefixes = split_overlap.common_prefixes(x, order)
+        for k in range(1, n):
+            a, b = x[order[k - 1] :], x[order[k] :]
+            m = min(len(a), len(b))
+            assert prefixes[k] == next((i for i in range(m) if a[i] != b[i]), m)
+
+
+def test_coverage_equals_brute_force():
+    rng = random.Random(11)
+    for _ in range(150):
+        a = [rng.randrange(12) for _ in range(rng.randint(1, 40))]
+        b = (a[: rng.randint(0, 20)] + [rng.randrange(12) for _ in range(rng.randint(0, 20))]) or [1]
+        spans = {tuple(b[i : i + split_overlap.SPAN]) for i in range(len(b))}
+        want = {j for i in range(len(a) - split_overlap.SPAN + 1) if tuple(a[i : i + split_overlap.SPAN]) in spans for j in range(i, i + split_overlap.SPAN)}
+        assert split_overlap.covered(np.array(a), np.array(b)) == len(want)
+
+
+def test_canonical_suffixes_lose_no_pair():
+    rng = np.random.default_rng(12)
+    counts = rng.integers(0, 1000, split_overlap.BUCKETS)
+    met = 0
+    for t in (0.5, 0.7, 0.8):
+        for _ in range(1500):
+            n = int(rng.integers(1, 60))
+            a = rng.integers(1, 2**63, n, dtype=np.uint64)
+            b = np.concatenate([a[rng.random(n) < rng.uniform(t, 1)], rng.integers(1, 2**63, int(rng.integers(0, 2 + n // 5)), dtype=np.uint64)])
+            a, b = np.unique(a), np.unique(b)
+            if len(b) and len(np.intersect1d(a, b)) >= t * len(np.union1d(a, b)):
+                met += 1
+                assert np.intersect1d(split_overlap.starts(a.view(np.int64), counts, t)[0], split_overlap.starts(b.view(np.int64), counts, t)[0]).size
+    assert met > 500
+
+
+def test_mix_of_many_sources(spark):
+    targets = spark.range(1000).selectExpr("concat('s', id) as source", "0.001D as target_share", "2 as max_repeats")
+    docs = spark.range(6000).selectExpr("id as doc_id", "concat('s', id % 1000) as source", "repeat('word ', cast(id % 7 + 1 as int)) as text")
+    mix = mixing.Mix(docs, targets)
+    assert mix.documents().where("copies > 2").count() == 0 and mix.shares().count() == 1000
+
+
+def test_fences_and_clusters_stay_whole():
+    text = "Intro text here. " * 120 + "\n\n```python\n" + "# comment line of code\nx = 1\n" * 55 + "```\n\n# Next\n" + "More words. " * 100
+    a, b = text.index("```python"), text.index("```\n\n#") + 3
+    assert any(x + o <= a and b <= y for x, y, o in splitting.pieces(text))
+    assert all(y % 2 == 0 for _, y, _ in splitting.pieces("🇸🇦" * 3000))
+
+
+def test_nested_markup():
+    nested = r"\begin{center}\begin{tabular}{l}a & b \\ c & d\end{tabular}\end{center} \emph{\textbf{\underline{\texttt{x}}}}"
+    assert "| a | b |\n| c | d |" in markup.clean(nested) and markup.clean(nested).endswith("x")
+    assert markup.clean("{{a|{{b|{{c|{{d|{{e|deep}}}}}}}}}}") == "deep"
+    assert markup.kinds("<div class='menu'>[[a]] text</div>", frozenset({"div.menu"})) == ["html"]
