@@ -55,6 +55,13 @@ def question_items(text: pd.Series) -> pd.Series:
     return text.map(lambda t: [json.dumps(x, ensure_ascii=False) for x in items(t)] if isinstance(t, str) else [])
 
 
+def field_of(text: Column, field: str | None) -> Column:
+    """A field of a reply that is a JSON object, as text, without any repair; the whole object for no field.  Null for
+    bad JSON, other values and a missing field."""
+    whole = F.when(F.try_parse_json(text).isNotNull() & text.rlike(r"^\s*\{"), text)
+    return whole if field is None else F.get_json_object(whole, f"$.{field}")
+
+
 def verdict(text: Column, field: str, default: str) -> Column:
     """A field of a judge's JSON reply without any repair; `default` for failed calls, bad JSON or a missing field."""
-    return F.coalesce(F.get_json_object(text, f"$.{field}"), F.lit(default))
+    return F.coalesce(field_of(text, field), F.lit(default))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 
@@ -47,7 +48,7 @@ def tokens_by_ratio(text: Column, chars_per_token: float = 3.5) -> Column:
 
 def truncated_to_tokens(text: Column, count: Column, most: int) -> Column:
     """The head of a text whose `count` tokens are more than `most`, in proportion of its code points."""
-    keep = F.floor(F.length(text) * F.lit(most) / count).cast("int")
+    keep = F.floor(F.length(text) * (F.lit(float(most)) / count)).cast("int")
     return F.when(count > most, F.substring(text, F.lit(1), keep)).otherwise(text)
 
 
@@ -73,6 +74,13 @@ def listed(questions: Column, form: str = "bullet") -> Column:
     return F.array_join(F.transform(questions, lambda q: F.concat(F.lit("- "), q)), "\n")
 
 
+def listed_of(questions: list[str], form: str = "bullet") -> str:
+    """`listed` of Python strings."""
+    if form == "json_list":
+        return json.dumps(questions, ensure_ascii=False)
+    return "\n".join(f"{i}. {q}" if form == "numbered_list" else f"- {q}" for i, q in enumerate(questions, 1))
+
+
 def markers_in(text: Column, markers: list[str]) -> Column:
     """How many entries of the list occur in the text; overlapping entries count each, repeats don't."""
     return F.size(F.filter(F.array(*[F.lit(m) for m in markers]), lambda m: F.contains(F.coalesce(text, F.lit("")), m))) if markers else F.lit(0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,8 @@ class Chunking:
     min_table_rows: int = 3
     abbreviations: tuple[str, ...] = tuple(ABBREVIATIONS)
     arabic_endings: bool = True
+    #: Counts the tokens of a text where given, else code points by chars_per_token; sent to tasks.
+    counter: Callable[[str], int] | None = None
 
 
 def ratio_counter(chars_per_token: float) -> Callable[[str], int]:
@@ -39,6 +42,27 @@ def ratio_counter(chars_per_token: float) -> Callable[[str], int]:
     return lambda text: int(len(text) / chars_per_token)
 
 
+class BpeCounter:
+    """Tokens by a byte-pair vocabulary: a file of base64 tokens and their ranks, read once by the driver and sent
+    with the counter; the encoder is made once a worker."""
+
+    _made: dict[int, object] = {}
+
+    def __init__(self, path: str, pattern: str) -> None:
+        self.pattern = pattern
+        with open(path, "rb") as f:
+            self.lines = f.read()
+
+    def __call__(self, text: str) -> int:
+        key = hash((self.lines, self.pattern))
+        if key not in self._made:
+            import tiktoken
+
+            ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in self.lines.splitlines() if x.strip())}
+            self._made[key] = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
+        return len(self._made[key].encode_ordinary(text))
+
+
 def fold(rows: list[tuple[str, int | None, str]], settings: Chunking, count: Callable[[str], int]) -> list[tuple[str, str, int]]:
     """(text, path, tokens) of the text chunks of one document, from its (sentence, heading level, path) in order.
 
@@ -85,7 +109,7 @@ def assembled(found_tables: DataFrame, parts: DataFrame, settings: Chunking = Ch
 
     A document is one row before it is cut into lines, so the rows of one document are bounded by its text.
     """
-    count = ratio_counter(settings.chars_per_token)
+    count = settings.counter or ratio_counter(settings.chars_per_token)
     rows = found_tables.select("doc", F.lit(0).alias("part"), F.col("start_line").alias("line_no"), F.lit(0).alias("at"), "text", F.lit(None).cast("int").alias("level"), F.regexp_replace("preceding_heading", r"^#+\s*", "").alias("path")).union(
         parts.select("doc", F.lit(1), "line_no", "at", "sentence", "heading_level", "heading_path")
     )

@@ -7,10 +7,15 @@ loser goes, and a record that loses goes on comparing.  Whether a record starts
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from quern.functions.similarity import indel_similarity
+from quern.functions.similarity import common_subsequences, indel_similarity
 from quern.functions.text import normalized
 from quern.shared import cut
 
@@ -18,8 +23,8 @@ from quern.shared import cut
 def exact(df: DataFrame, order: str, text: str, normalize: bool = True) -> DataFrame:
     """With `duplicate_of`: the first record in order with the same text, null for that record itself.
 
-    The least order of each text is summed up before the shuffle and joined back by the text's hash and the text, so
-    that a text of a third of all rows is split like any skewed join.  A null text is a text of its own.
+    The least order of each text is summed up before the shuffle and joined back by the text, so that a text of a third
+    of all rows is split like any skewed join.  A null text is a text of its own.
     """
     keyed = df.withColumn("__key", normalized(F.col(text)) if normalize else F.col(text))
     first = keyed.groupBy("__key").agg(F.min(order).alias("__first"))
@@ -75,43 +80,75 @@ def greedy(edges: DataFrame, weights: DataFrame, keep: str = "heavier") -> DataF
     return lost.union(beaten.select("node")).union(lost_at_turn).distinct()
 
 
-def bag(text: str = "text"):
-    """How often characters of each of 48 hash classes occur; the sum of lesser counts bounds the common subsequence."""
-    classes = F.transform(F.split(F.col(text), ""), lambda c: F.pmod(F.hash(c), F.lit(48)))
-    return F.transform(F.sequence(F.lit(0), F.lit(47)), lambda k: F.size(F.filter(classes, lambda c: c == k)))
+#: Texts of a block, and hash bins of pairs of characters.
+BLOCK, BINS = 1024, 512
+
+
+def _pairs_of_characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(counts, presence) of each text's pairs of neighbouring characters by hash bin."""
+    counts = np.zeros((len(texts), BINS), np.float32)
+    for row, t in enumerate(texts):
+        x = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        h = (x[:-1] * np.uint64(0x9E3779B97F4A7C15) + x[1:] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(40)
+        counts[row] = np.bincount((h % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+    return counts, (counts > 0).astype(np.float32)
 
 
 def similar_strings(df: DataFrame, order: str, text: str, threshold: float) -> DataFrame:
     """(i, j, ratio), i < j: all pairs of different texts whose Indel similarity is at least `threshold`.
 
-    Lossless candidate search: the common subsequence is no longer than the common bag of characters, so similar
-    texts share threshold / (2 - threshold) of the characters of each, repeats counted; both then have one of their
-    rarest characters, as many as they may miss, in common.  Rarity comes from counts of 65536 hash buckets.  Lengths
-    are checked in the join, bags in classes after it, and the exact similarity last.  Null and empty texts have no
-    partner; a threshold of 0 or less is an error.
+    Lossless candidate search.  The lengths of similar texts differ by the factor (2 - threshold) / threshold at most,
+    so texts meet by length class and, where the threshold allows it, by script: a text of mostly ASCII characters is
+    not similar to one of mostly others.  Cells are cut into blocks of BLOCK texts by hash, so that a hot one is many
+    tasks, and blocks meet by their numbers.  Inside a pair of blocks, texts of lengths a and b with a common
+    subsequence of c have at least 3c - a - b - 1 pairs of neighbouring characters in common; one matrix product of
+    hashed pairs bounds them for all texts at once, and what is left is compared exactly, many pairs at a time.
+
+    Cost still grows with the square of a cell, at some 30 ns a pair.  Null and empty texts have no partner; a
+    threshold of 0 or less is an error.
     """
     if threshold <= 0:
         raise ValueError("the threshold must be greater than 0")
-    rows = df.select(F.col(order).alias("id"), F.col(text).alias("text")).where("text <> ''").withColumn("n", F.length("text"))
-    chars = rows.select("id", "n", F.posexplode(F.split("text", "")).alias("at", "char")).where("char <> ''")
-    chars = chars.withColumn("nth", F.row_number().over(W.partitionBy("id", "char").orderBy("at")))
-    chars = chars.select("id", "n", F.concat("char", F.col("nth").cast("string")).alias("element"))
-    bucket = F.pmod(F.xxhash64("element"), F.lit(65536)).cast("int")
-    rarity = chars.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
-    ranked = chars.withColumn("bucket", bucket).join(F.broadcast(rarity), "bucket")  # 65536 rows at most
-    ranked = ranked.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("count", "element")))
-    least = F.ceil(F.col("n") * (threshold / (2 - threshold)) - 1e-9)
-    prefix = cut(ranked.where(F.col("rank") <= F.col("n") - least + 1).select("id", "n", "element"), "prefix")
-    a, b = prefix.alias("a"), prefix.alias("b")
-    fits = 2 * F.least("a.n", "b.n") >= threshold * (F.col("a.n") + F.col("b.n")) - 1e-9
-    pairs = a.join(b, (F.col("a.element") == F.col("b.element")) & (F.col("a.id") < F.col("b.id")) & fits).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
-    bags = cut(rows.select("id", "n", bag().alias("bag")), "bags")
-    bag_of = lambda s: bags.select(F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("bag").alias(f"b{s}"))
-    text_of = lambda s: rows.select(F.col("id").alias(s), F.col("text").alias(f"t{s}"))
-    common = F.aggregate(F.zip_with("bi", "bj", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
-    pairs = cut(pairs.join(bag_of("i"), "i").join(bag_of("j"), "j").where(2 * common >= threshold * (F.col("ni") + F.col("nj"))).select("i", "j"), "pairs")
-    both = pairs.join(text_of("i"), "i").join(text_of("j"), "j")
-    return both.where(F.col("ti") != F.col("tj")).withColumn("ratio", indel_similarity("ti", "tj")).where(F.col("ratio") >= threshold).select("i", "j", "ratio")
+    t = threshold
+    rows = df.select(F.col(order).cast("long").alias("id"), F.col(text).alias("text")).where("text <> ''").withColumn("n", F.length("text"))
+    factor = (2 - t) / t
+    size = F.floor(F.log("n") / F.lit(math.log(factor)) + 1e-9).cast("int") if factor > 1.0001 else F.col("n")
+    other = F.length(F.regexp_replace("text", r"[\x00-\x7f]", "")) / F.col("n")
+    apart = (t - 0.2) / factor > 1.2 - t  # texts of under a fifth and over four fifths of other characters can't meet
+    script = F.when(other < 0.2, 0).when(other > 0.8, 2).otherwise(1) if apart else F.lit(1)
+    placed = cut(rows.select("id", "text", size.alias("size"), script.cast("int").alias("script")), "placed")
+    beside = F.when(F.col("script") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("script") == 2, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1), F.lit(2)))
+    visits = placed.select("id", "text", F.col("script"), F.explode(F.array(F.col("size"), F.col("size") - 1)).alias("cell"), F.col("size").alias("own"), beside.alias("met")).select("id", "text", "cell", (F.col("own") == F.col("cell")).alias("same"), F.explode("met").alias("met"))
+
+    def packed(side: DataFrame, keys: list[str], name: str) -> DataFrame:
+        sizes = side.groupBy(*keys).count().select(*keys, F.ceil(F.col("count") / BLOCK).alias("parts"))
+        cut_up = side.join(sizes, keys).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+        return cut_up.groupBy(*keys, "part").agg(F.collect_list("id").alias(f"{name}_ids"), F.collect_list("text").alias(f"{name}_texts")).drop("part")
+
+    x = packed(placed.select("id", "text", F.col("size").alias("cell"), F.col("script").alias("met")), ["cell", "met"], "x")
+    y = packed(visits, ["cell", "met", "same"], "y")
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for xi, xt, yi, yt, same in zip(b["x_ids"], b["x_texts"], b["y_ids"], b["y_texts"], b["same"]):
+                xi, yi, xt, yt = np.asarray(xi), np.asarray(yi), list(xt), list(yt)
+                n, m = np.array([len(v) for v in xt]), np.array([len(v) for v in yt])
+                cx, px = _pairs_of_characters(xt)
+                cy, py = _pairs_of_characters(yt)
+                total = n[:, None] + m[None]
+                least = np.ceil(t * total / 2 - 1e-9)
+                ok = (np.minimum(cx @ py.T, px @ cy.T) >= 3 * least - total - 1) & (np.minimum(n[:, None], m[None]) >= least)
+                if same:
+                    ok &= xi[:, None] < yi[None]
+                i, j = np.nonzero(ok)
+                ratio = 2.0 * common_subsequences(xt, yt, i, j) / total[i, j]
+                good = ratio >= t
+                i, j, ratio = i[good], j[good], ratio[good]
+                other = np.array([xt[a] != yt[c] for a, c in zip(i, j)], bool)
+                i, j, ratio = i[other], j[other], ratio[other]
+                yield pd.DataFrame({"i": np.minimum(xi[i], yi[j]), "j": np.maximum(xi[i], yi[j]), "ratio": ratio})
+
+    return x.join(y, ["cell", "met"]).select("x_ids", "x_texts", "y_ids", "y_texts", "same").mapInPandas(meet, "i long, j long, ratio double")
 
 
 def fuzzy(df: DataFrame, order: str, text: str, weight: str, threshold: float = 0.85, keep: str = "heavier") -> DataFrame:

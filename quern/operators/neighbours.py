@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 from quern.shared import cut
 
-#: Vectors of a block, and pivots of the join, which are a sample of this size at most.
-BLOCK, PIVOTS = 2048, 64
+#: Vectors of a block.
+BLOCK = 2048
 
 
 def _blocks(df: DataFrame, id_name: str, vec: str, prefix: str) -> DataFrame:
@@ -61,44 +62,41 @@ def similar_vectors(df: DataFrame, id_name: str, vec: str, threshold: float) ->
     """(i, j, score), both directions and (i, i): all pairs of unit vectors with an inner product of `threshold` or
     more, exact.
 
-    A metric join: each vector belongs to the cell of its nearest pivot and visits every cell whose border may lie
-    within the distance of the threshold; pairs meet in the cell that one of them belongs to.  Cells over BLOCK
-    vectors meet in blocks, so that a hot cell is many tasks.
+    Vectors are cut into blocks by hash, each pair of blocks is one matrix product of one task, and no vector is
+    compared twice: a block goes to the pairs it belongs to, by the numbers of both.  Only what passes leaves the task.
     """
     rows = df.select(F.col(id_name).cast("long").alias("id"), F.col(vec).alias("vec")).where("id is not null and vec is not null")
-    pivots = np.array([r["vec"] for r in rows.orderBy(F.xxhash64(F.lit(3), "id")).limit(PIVOTS).collect()], dtype=np.float64)
-    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    if not len(pivots):
-        return rows.select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit(1.0).alias("score"))
+    parts = max(1, math.ceil(rows.count() / BLOCK))
+    part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    blocks = cut(rows.groupBy(part.alias("part")).agg(F.collect_list("id").alias("ids"), F.collect_list("vec").alias("vecs")), "blocks")
+    x = blocks.select(F.col("part").alias("a"), F.explode(F.sequence("part", F.lit(parts - 1))).alias("b"), F.col("ids").alias("xi"), F.col("vecs").alias("x"))
+    y = blocks.select(F.col("part").alias("b"), F.explode(F.sequence(F.lit(0), "part")).alias("a"), F.col("ids").alias("yi"), F.col("vecs").alias("y"))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if not len(b):
-                continue
-            x = np.array([np.asarray(v, np.float64) for v in b["vec"]])
-            d = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (pivots**2).sum(1)[None] - 2 * x @ pivots.T, 0.0))
-            home = d.argmin(axis=1)
-            # a vector of cell c within reach has distance to c at most that to its other pivots, so c is visited
-            # where the distances differ by no more than twice the reach
-            r, c = np.nonzero(d <= d.min(axis=1)[:, None] + 2 * reach + 1e-9)
-            ids = b["id"].to_numpy()
-            yield pd.DataFrame({"cell": c, "home": home[r] == c, "id": ids[r], "vec": [b["vec"].iloc[i] for i in r]})
-
-    placed = cut(rows.mapInPandas(place, "cell int, home boolean, id long, vec array<double>"), "cells")
-
-    def packed(side: DataFrame, p: str) -> DataFrame:
-        # blocks of a cell, by hash of the id: as many as the cell's size asks for
-        sizes = side.groupBy("cell").count().select("cell", F.ceil(F.col("count") / BLOCK).alias("parts"))
-        cut_up = side.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))  # PIVOTS rows
-        return cut_up.groupBy("cell", "part").agg(F.collect_list(F.struct("id", "vec")).alias(p)).select("cell", p)
+            for one, xi, x, yi, y in zip(b["a"] == b["b"], b["xi"], b["x"], b["yi"], b["y"]):
+                xi, yi = np.asarray(xi), np.asarray(yi)
+                s = np.array([*x], dtype=np.float64) @ np.array([*y], dtype=np.float64).T
+                r, c = np.nonzero(s >= threshold)
+                yield pd.DataFrame({"i": xi[r], "j": yi[c], "score": s[r, c]})
+                if not one:
+                    yield pd.DataFrame({"i": yi[c], "j": xi[r], "score": s[r, c]})
 
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return x.join(y, ["a", "b"]).mapInPandas(meet, "i long, j long, score double")
+
+
+def similarity_bins(queries: DataFrame, data: DataFrame, id_name: str, vec: str, bins: int, low: float, high: float) -> DataFrame:
+    """(bin, count) of the inner products of every query with every other vector, counted inside the pairs of blocks:
+    no pair leaves its task.  Products outside go into the first and the last bin."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = np.zeros(bins, np.int64)
         for b in batches:
-            for x, y in zip(b["x"], b["y"]):
-                xi, yi = np.array([r["id"] for r in x]), np.array([r["id"] for r in y])
-                s = np.array([r["vec"] for r in x], dtype=np.float64) @ np.array([r["vec"] for r in y], dtype=np.float64).T
-                a, c = np.nonzero(s >= threshold)
-                yield pd.DataFrame({"i": xi[a], "j": yi[c], "score": s[a, c]})
-
-    found = packed(placed.where("home"), "x").join(packed(placed, "y"), "cell").mapInPandas(meet, "i long, j long, score double")
-    return found.groupBy("i", "j").agg(F.max("score").alias("score"))
+            for qi, qf, di, dflat in zip(b["q_ids"], b["q_flat"], b["d_ids"], b["d_flat"]):
+                s = np.asarray(qf).reshape(len(qi), -1) @ np.asarray(dflat).reshape(len(di), -1).T
+                s = s[np.asarray(qi)[:, None] != np.asarray(di)[None]]
+                out += np.bincount(np.clip(np.floor((s - low) / (high - low) * bins).astype(np.int64), 0, bins - 1), minlength=bins)
+        yield pd.DataFrame({"bin": np.flatnonzero(out).astype(np.int32), "n": out[out > 0]})
+
+    found = _blocks(queries, id_name, vec, "q").crossJoin(_blocks(data, id_name, vec, "d")).mapInPandas(count, "bin int, n long")
+    return found.groupBy("bin").agg(F.sum("n").alias("count"))

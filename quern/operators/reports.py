@@ -30,6 +30,20 @@ def split_report(train: DataFrame, evaluation: DataFrame) -> DataFrame:
     return a.crossJoin(b).crossJoin(c).select((F.col("train_items") + F.col("eval_items")).alias("total_items"), "train_items", "eval_items", "eval_mirrors", "rephrase_failures", "clusters_found")
 
 
+def split_distributions(train: DataFrame, evaluation: DataFrame, fields: tuple[str, ...] = ("cluster_id", "difficulty", "category")) -> DataFrame:
+    """(field, value, train, eval): `split_counts` of each field, the nested part of the split report."""
+    parts = [split_counts(train, evaluation, c).select(F.lit(c).alias("field"), "value", "train", "eval") for c in fields]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+def cluster_stats(labels: DataFrame, label: str = "cluster_id") -> DataFrame:
+    """One row: the number of noise points (-1) and of clusters without noise."""
+    return labels.agg(F.count_if(F.col(label) == -1).alias("noise_points"), F.countDistinct(F.when(F.col(label) != -1, F.col(label))).alias("clusters"))
+
+
 def cleaning_report(marked: DataFrame, stage: str, stages: list[str]) -> DataFrame:
     """(step, remaining, discarded): records left after each stage, from the column that names where each went out."""
     n = marked.agg(F.count(F.lit(1)).alias("all"), *[F.count_if(F.col(stage) == s).alias(f"s{i}") for i, s in enumerate(stages)])
@@ -69,13 +83,3 @@ def latest_tags(tags: Column, merged: dict[str, str]) -> Column:
         return tags
     pairs = F.create_map(*[F.lit(x) for kv in merged.items() for x in kv])
     return F.transform(tags, lambda t: F.coalesce(pairs[t], t))
-
-
-def merge_map(counts: list[tuple[str, int]], similar: list[tuple[int, int]]) -> dict[str, str]:
-    """tag -> tag for pairs (i < j) of similar tags, numbered by first appearance: the more frequent stands for the
-    other, the tie keeps i; later pairs overwrite."""
-    out = {}
-    for i, j in sorted(similar):
-        (a, n), (b, m) = counts[i], counts[j]
-        out[b if n >= m else a] = a if n >= m else b
-    return out

@@ -12,7 +12,7 @@ REQUIRED = ["question", "answer", "evaluation_criteria", "category", "difficulty
 CATEGORIES = ["factual", "procedural", "reasoning", "troubleshooting", "conceptual", "comparative"]
 DIFFICULTIES = ["easy", "medium", "hard"]
 QUESTION, ANSWER, CRITERIA = (15, 500), (30, 2000), (30, 1000)
-MARKERS = "وش ايش إيش ليش ابي أبي ابغى أبغى اقدر أقدر وين يعني كذا حق عشان علشان زي كيف مره واجد حيل ذحين الحين توه يبي تبي نبي طيب اوكي مو ماهو لازم المفروض قاعد يقدر تقدر حقي حقك عندي عندك".split()
+MARKERS = ["وش", "ايش", "إيش", "ليش", "ابي", "أبي", "ابغى", "أبغى", "اقدر", "أقدر", "وين", "يعني", "كذا", "حق", "عشان", "علشان", "زي", "كيف", "مره", "واجد", "حيل", "ذحين", "الحين", "توه", "يبي", "تبي", "نبي", "طيب", "اوكي", "مو", "ماهو", "لازم", "المفروض", "قاعد", "يقدر", "تقدر", "حقي", "حقك", "عندي", "عندك"]
 FORMAL = ["لذلك", "ينبغي", "يتوجب", "نظراً", "بالتالي", "علاوة على ذلك", "إذ أن", "من ثم", "حيث أن", "فضلاً عن", "يتعين", "على صعيد", "تجدر الإشارة"]
 
 
@@ -36,11 +36,12 @@ def structural_reason(required: list[str] = REQUIRED, question: tuple[int, int]
 
 
 def with_dialect(df: DataFrame, markers: list[str] = MARKERS, formal: list[str] = FORMAL, question_least: int = 1, answer_least: int = 2, formal_most: int = 3) -> DataFrame:
-    """With `dialect_marker_count` (question and answer), `msa_flagged` (more formal markers in the answer than
-    allowed; null otherwise, never a reason) and `dialect_reason`, null where both counts suffice."""
+    """With `dialect_marker_count` (question and answer), `dialect_reason`, null where both counts suffice, and, of
+    those alone, `msa_flagged`: true where the answer has more formal markers than allowed, else null, never a reason."""
     q, a = markers_in(F.col("question"), markers), markers_in(F.col("answer"), markers)
-    reason = F.when(q < question_least, F.concat(F.lit("dialect_question_markers: "), q.cast("string"))).when(a < answer_least, F.concat(F.lit("dialect_answer_markers: "), a.cast("string")))
-    return df.withColumns({"dialect_marker_count": q + a, "msa_flagged": F.when(markers_in(F.col("answer"), formal) > formal_most, F.lit(True)), "dialect_reason": reason})
+    told = F.concat(F.lit("insufficient_dialect_markers: q="), q.cast("string"), F.lit(f"<{question_least} or a="), a.cast("string"), F.lit(f"<{answer_least}"))
+    few = (q < question_least) | (a < answer_least)
+    return df.withColumns({"dialect_marker_count": q + a, "msa_flagged": F.when(~few & (markers_in(F.col("answer"), formal) > formal_most), F.lit(True)), "dialect_reason": F.when(few, told)})
 
 
 def by_reason(df: DataFrame, reason: Column, name: str = "discard_reason") -> tuple[DataFrame, DataFrame]:

@@ -19,8 +19,19 @@ OVERRIDES = {
 }
 
 
+#: Variables of each kind of provider and the settings of a role's section that they replace.
+SWITCHES = {
+    "ollama": {"OLLAMA_MODE": "mode", "OLLAMA_HOST": "host", "OLLAMA_MODEL": "model", "OLLAMA_API_KEY": "api_key"},
+    "gemini": {"GEMINI_MODE": "mode", "GOOGLE_API_KEY": "api_key", "GOOGLE_CLOUD_PROJECT": "project", "GOOGLE_CLOUD_LOCATION": "location"},
+}
+
+
 def overridden(config: dict, environment: dict[str, str] | None = None, overrides: dict[str, tuple[str, ...]] = OVERRIDES) -> dict:
-    """`config` with the settings that the environment names; empty values are ignored."""
+    """`config` with the settings that the environment names; empty values are ignored.
+
+    GENERATION_PROVIDER chooses the kind of the generating role, whose variables then apply; one that is switched to
+    ollama takes its thinking and its time limit from the judge.  The judge's variables are those of its own kind.
+    """
     env = os.environ if environment is None else environment
     out = {k: dict(v) if isinstance(v, dict) else v for k, v in config.items()}
     for name, keys in overrides.items():
@@ -28,7 +39,16 @@ def overridden(config: dict, environment: dict[str, str] | None = None, override
             at = out
             for k in keys[:-1]:
                 at = at.setdefault(k, {})
-            at[keys[-1]] = env[name]
+            at[keys[-1]] = env[name].lower() if name.endswith("_PROVIDER") else env[name]
+    maker, judge = out.get("generation_llm", {}), out.get("judge_llm", {})
+    for section in (maker, judge):
+        for name, key in SWITCHES.get(section.get("provider", ""), {}).items():
+            if env.get(name):
+                section[key] = env[name]
+    if env.get("GENERATION_PROVIDER", "").lower() == "ollama":
+        maker.setdefault("mode", "local")
+        maker["model"] = env.get("OLLAMA_GENERATION_MODEL") or env.get("OLLAMA_MODEL") or maker.get("model", "qwen3")
+        maker |= {"think": judge.get("think", False), "timeout_seconds": judge.get("timeout_seconds", 600)}
     return out
 
 

@@ -14,6 +14,7 @@ import time
 from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,8 @@ from pyspark.sql import types as T
 
 REPLY = "text string, prompt_tokens int, completion_tokens int, model string, latency_ms double, success boolean, error string"
 ROLES = ("generation", "judge")
+# What errors of a service that is busy say, in lower case.
+BUSY = ("429", "resource_exhausted", "too many")
 
 
 @dataclass
@@ -73,7 +76,7 @@ def retried(call: Callable[[], Reply], retries: int = 5, delay: float = 8.0, sle
             error = str(e)
             if n < retries:
                 wait = delay * 2**n
-                sleep((max(wait, 10.0) if "429" in error else wait) * jitter())
+                sleep((max(wait, 10.0) if any(x in error.lower() for x in BUSY) else wait) * jitter())
     return Reply(success=False, error=error)
 
 
@@ -98,6 +101,123 @@ class Stub:
         return Reply(text, int(len(prompt) / 3.5), int(len(text) / 3.5), self.model, 0.0, True, None)
 
 
+class Adapter:
+    """A service behind the provider's interface: a limiter and retries around `send`, which a kind of service defines.
+
+    `client` is the service's own client, made on first use in the task unless given; so adapters can be sent to tasks
+    before any connection exists.
+    """
+
+    def __init__(self, settings: dict, client: object | None = None, sleep: Callable[[float], None] = time.sleep) -> None:
+        self.settings, self._client, self.sleep = settings, client, sleep
+        self.model = settings.get("model", "")
+        self.limiter = RateLimiter(settings.get("requests_per_minute", 60), sleep=sleep)
+
+    def connect(self) -> object:
+        raise NotImplementedError
+
+    def send(self, messages: list[dict], temperature: float, max_tokens: int, json_mode: bool) -> Reply:
+        raise NotImplementedError
+
+    @property
+    def client(self) -> object:
+        if self._client is None:
+            self._client = self.connect()
+        return self._client
+
+    def call(self, role: str, messages: list[dict], temperature: float = 0.7, max_tokens: int = 4096, json_mode: bool = False) -> Reply:
+        def once() -> Reply:
+            self.limiter.acquire()
+            began = time.monotonic()
+            reply = self.send(messages, temperature, max_tokens, json_mode)
+            reply.latency_ms, reply.model = (time.monotonic() - began) * 1000, self.model
+            return reply
+
+        reply = retried(once, self.settings.get("max_retries", 3), self.settings.get("retry_delay_seconds", 5), self.sleep)
+        reply.model = self.model
+        return reply
+
+
+class Gemini(Adapter):
+    """Google's Gemini, with a key (mode ai_studio) or through a project (mode vertex_ai); needs the package
+    google-genai.  System messages are instructions, the others one text with a blank line between."""
+
+    def connect(self) -> object:
+        from google import genai
+
+        mode, key = self.settings.get("mode", "vertex_ai"), self.settings.get("api_key")
+        if mode == "ai_studio":
+            if not key:
+                raise ValueError("mode ai_studio needs an api_key")
+            return genai.Client(api_key=key)
+        if mode != "vertex_ai":
+            raise ValueError(f"unknown mode {mode!r}")
+        if key:
+            return genai.Client(vertexai=True, api_key=key)
+        place = {"project": self.settings.get("project"), "location": self.settings.get("location", "global")}
+        return genai.Client(vertexai=True, **{k: v for k, v in place.items() if v})
+
+    def send(self, messages, temperature, max_tokens, json_mode):
+        config = {"temperature": temperature, "max_output_tokens": max_tokens}
+        if system := [m["content"] for m in messages if m["role"] == "system"]:
+            config["system_instruction"] = system
+        if json_mode:
+            config["response_mime_type"] = "application/json"
+        if level := self.settings.get("thinking_level"):
+            config["thinking_config"] = {"thinking_level": level}
+        got = self.client.models.generate_content(model=self.model, contents="\n\n".join(m["content"] for m in messages if m["role"] != "system"), config=config)
+        used = getattr(got, "usage_metadata", None)
+        return Reply(got.text or "", getattr(used, "prompt_token_count", 0) or 0, getattr(used, "candidates_token_count", 0) or 0)
+
+
+class Ollama(Adapter):
+    """A local or hosted Ollama service; needs the package ollama.  Thinking gets a larger budget and is taken out of
+    the reply."""
+
+    def connect(self) -> object:
+        import ollama
+
+        mode, wait = self.settings.get("mode", "local"), self.settings.get("timeout_seconds", 300)
+        if mode == "local":
+            return ollama.Client(host=self.settings.get("host", "http://localhost:11434"), timeout=wait)
+        if mode != "cloud":
+            raise ValueError(f"unknown mode {mode!r}")
+        if not (key := self.settings.get("api_key")):
+            raise ValueError("mode cloud needs an api_key")
+        return ollama.Client(host="https://ollama.com", headers={"Authorization": f"Bearer {key}"}, timeout=wait)
+
+    def send(self, messages, temperature, max_tokens, json_mode):
+        think = bool(self.settings.get("think", False))
+        options = {"temperature": temperature, "num_predict": max(max_tokens + 8192, 16384) if think else max_tokens}
+        got = self.client.chat(model=self.model, messages=messages, format="json" if json_mode else None, options=options, think=think)
+        text = re.sub(r"<think>.*?</think>\s*", "", (got.get("message") or {}).get("content") or "", flags=re.S)
+        return Reply(text, got.get("prompt_eval_count") or 0, got.get("eval_count") or 0)
+
+
+KINDS = {"gemini": Gemini, "ollama": Ollama}
+
+
+class Router:
+    """One interface over a provider for each role; replies of metered kinds with tokens are added to `usage`."""
+
+    def __init__(self, by_role: dict[str, object], metered: tuple[type, ...] = (Gemini,)) -> None:
+        self.by_role, self.metered, self.usage = by_role, metered, []
+
+    @classmethod
+    def of(cls, config: dict) -> Router:
+        """From settings with the sections generation_llm and judge_llm, each with its provider's kind."""
+        found = {role: config.get(f"{role}_llm", {}) for role in ROLES}
+        return cls({role: KINDS[s["provider"]](s) for role, s in found.items() if s.get("provider") in KINDS})
+
+    def call(self, role: str, messages: list[dict], **options) -> Reply:
+        if role not in self.by_role:
+            raise ValueError(f"no provider for role {role!r}; there are {sorted(self.by_role)}")
+        reply = self.by_role[role].call(role, messages, **options)
+        if reply.success and isinstance(self.by_role[role], self.metered) and reply.prompt_tokens + reply.completion_tokens > 0:
+            self.usage.append((reply.model, reply.prompt_tokens, reply.completion_tokens))
+        return reply
+
+
 def mapped(df: DataFrame, prompt: str, provider_of: Callable[[], object], role: str = "judge", system: str | None = None, per_minute: float | None = None, retries: int = 0) -> DataFrame:
     """`df` with `reply` (REPLY), one call for each row with a prompt; a null prompt gives a failed reply.
 
@@ -156,22 +276,48 @@ def generate(chunk: dict, ask: Callable[[str, list[str]], Reply], most_iteration
     return kept, last + 1
 
 
-GENERATED = "chunk_id string, source_file string, section_hierarchy string, context string, item string, total_iterations int, total_questions int"
+GENERATED = "chunk_id string, source_file string, section_hierarchy string, context string, place int, item string, generation_model string, total_iterations int, total_questions int, timestamp string, error string"
+
 
+def generated(chunks: DataFrame, provider_of: Callable[[], object], prompt_of: Callable[[dict, str, list[str]], str], system: str | None = None, per_minute: float | None = None, retries: int = 0, delay: float = 8.0, skip_failed: bool = True, columns: tuple[str, ...] = (), **settings) -> DataFrame:
+    """(GENERATED) one row for each generated item (JSON text) of each chunk; a chunk whose calls all fail gives none.
 
-def generated(chunks: DataFrame, provider_of: Callable[[], object], prompt_of: Callable[[dict, str, list[str]], str], **settings) -> DataFrame:
-    """(GENERATED) one row for each generated item (JSON text) of each chunk; a chunk whose calls all fail gives none."""
+    Calls of a task go through one limiter, with retries.  A chunk that raises gives one row without an item that
+    tells the error, or ends the job where `skip_failed` is off.  `columns` are further ones that prompts need.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        provider = provider_of()
+        provider, limiter = provider_of(), RateLimiter(per_minute) if per_minute else None
         for b in batches:
             rows = []
             for chunk in b.to_dict("records"):
-                found, turns = generate(chunk, lambda kind, so_far, c=chunk: provider.call("generation", [{"role": "user", "content": prompt_of(c, kind, so_far)}]), **settings)
-                rows += [(chunk["chunk_id"], chunk["source_file"], chunk["section_hierarchy"], chunk["chunk_text"], json.dumps(x, ensure_ascii=False), turns, len(found)) for x in found]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in GENERATED.split(", ")]).astype({"total_iterations": int, "total_questions": int})
+                models: list[str] = []
+
+                def ask(kind: str, so_far: list[str], c: dict = chunk) -> Reply:
+                    messages = ([{"role": "system", "content": system}] if system else []) + [{"role": "user", "content": prompt_of(c, kind, so_far)}]
+
+                    def once() -> Reply:
+                        if limiter:
+                            limiter.acquire()
+                        return provider.call("generation", messages)
+
+                    reply = retried(once, retries, delay)
+                    models.append(reply.model)
+                    return reply
+
+                head = (chunk["chunk_id"], chunk["source_file"], chunk["section_hierarchy"], chunk["chunk_text"])
+                try:
+                    found, turns = generate(chunk, ask, **settings)
+                except Exception as e:  # noqa: BLE001
+                    if not skip_failed:
+                        raise
+                    rows.append((*head, 0, None, None, 0, 0, None, str(e)))
+                    continue
+                now = datetime.now(timezone.utc).isoformat()
+                rows += [(*head, k, json.dumps(x, ensure_ascii=False), next((m for m in models if m), None), turns, len(found), now, None) for k, x in enumerate(found)]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in GENERATED.split(", ")]).astype({"place": int, "total_iterations": int, "total_questions": int})
 
-    return chunks.select("chunk_id", "source_file", "section_hierarchy", "chunk_text").mapInPandas(run, GENERATED)
+    return chunks.select("chunk_id", "source_file", "section_hierarchy", "chunk_text", *columns).mapInPandas(run, GENERATED)
 
 
 def hashed_embedding(text: str | None, size: int = 64) -> list[float] | None:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.queries import documents, records, vectors
+from quern.queries import documents, models, records, vectors
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**documents.QUERIES, **records.QUERIES, **vectors.QUERIES}
-SQL: dict[str, str] = {**documents.SQL, **records.SQL, **vectors.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**documents.QUERIES, **records.QUERIES, **models.QUERIES, **vectors.QUERIES}
+SQL: dict[str, str] = {**documents.SQL, **records.SQL, **models.SQL, **vectors.SQL}

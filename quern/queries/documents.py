@@ -155,7 +155,7 @@ g AS (SELECT *, line_no - row_number() OVER (PARTITION BY doc, row ORDER BY line
 SELECT doc, min(line_no) AS start_line, count(*) AS rows FROM g WHERE row GROUP BY doc, g HAVING count(*) >= 3 AND bool_or(regexp_matches(key, '^\|[\s\-:]+\|'))""",
     "sentence_split": _SENTENCE_SQL,
     "token_counts": "SELECT DISTINCT chunk_id, CAST(floor(length(chunk_text) / 3.5) AS INT) AS measured, coalesce(token_count, -1) <> CAST(floor(length(chunk_text) / 3.5) AS INT) AS stale FROM chunks",
-    "summary_input": "WITH t AS (SELECT doc_id, length(text) AS n, CAST(floor(length(text) / 3.5) AS INT) AS k FROM documents WHERE text IS NOT NULL) SELECT doc_id, CAST(CASE WHEN k > 200 THEN floor(n * 200 / k) ELSE n END AS INT) AS chars FROM t",
+    "summary_input": "WITH t AS (SELECT doc_id, length(text) AS n, CAST(floor(length(text) / 3.5) AS INT) AS k FROM documents WHERE text IS NOT NULL) SELECT doc_id, CAST(CASE WHEN k > 200 THEN floor(n * (200.0::DOUBLE / k)) ELSE n END AS INT) AS chars FROM t",
     "summary_lookup": "SELECT DISTINCT c.chunk_id, coalesce(nullif(s.summary, ''), 'No summary available.') AS document_summary FROM chunks c LEFT JOIN summaries s USING (source_file)",
     "pending_chunks": "SELECT DISTINCT chunk_id, source_file FROM chunks c WHERE NOT EXISTS (SELECT 1 FROM qa_raw q WHERE q.chunk_id = c.chunk_id)",
     "prompts": "SELECT DISTINCT chunk_id, md5('File: ' || coalesce(source_file, '') || chr(10) || 'Section: ' || coalesce(section_hierarchy, '') || chr(10) || 'Text: ' || coalesce(chunk_text, '') || ' {other}') AS digest FROM chunks",

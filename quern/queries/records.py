@@ -197,7 +197,7 @@ QUERIES = {
 SQL = {
     "structural_reasons": f"SELECT item_seq, {_REASON} AS discard_reason FROM qa_raw",
     "structural_split": f"SELECT CASE WHEN r IS NULL THEN 'valid' ELSE split_part(r, ':', 1) END AS kind, count(*) AS items FROM (SELECT {_REASON} AS r FROM qa_raw) GROUP BY 1",
-    "dialect_markers": f"WITH m AS (SELECT item_seq, {_marks('question', validation.MARKERS)} AS q, {_marks('answer', validation.MARKERS)} AS a, {_marks('answer', validation.FORMAL)} AS f FROM qa_raw) SELECT item_seq, CAST(q + a AS INT) AS dialect_marker_count, f > 3 AS msa_flagged, CASE WHEN q < 1 THEN 'dialect_question_markers: ' || q WHEN a < 2 THEN 'dialect_answer_markers: ' || a END AS dialect_reason FROM m",
+    "dialect_markers": f"WITH m AS (SELECT item_seq, {_marks('question', validation.MARKERS)} AS q, {_marks('answer', validation.MARKERS)} AS a, {_marks('answer', validation.FORMAL)} AS f FROM qa_raw) SELECT item_seq, CAST(q + a AS INT) AS dialect_marker_count, f > 3 AND q >= 1 AND a >= 2 AS msa_flagged, CASE WHEN q < 1 OR a < 2 THEN 'insufficient_dialect_markers: q=' || q || '<1 or a=' || a || '<2' END AS dialect_reason FROM m",
     "grounding_actions": "SELECT grounding_classification, CASE WHEN grounding_classification = 'not_supported' THEN 'discard' ELSE 'keep' END AS action, count(*) AS items FROM eval_split GROUP BY 1, 2",
     "exact_duplicates": f"SELECT item_seq, min(item_seq) OVER (PARTITION BY {_NORMAL}) AS first_item FROM qa_raw",
     "cleaning_report": f"""WITH m AS (SELECT {_REASON} AS r, min(item_seq) OVER (PARTITION BY {_NORMAL}) <> item_seq AS d FROM qa_raw),

@@ -61,8 +61,7 @@ def plane_coordinates(spark, folder):
 
 def similarity_histogram(spark, folder):
     rows = _rows(spark, folder)
-    scores = neighbours.nearest(rows.where("vec_id % 20 = 0"), rows, "vec_id", "vec", 1_000_000).where("query <> neighbour")
-    return reports.histogram(scores, "score", 20, -1.0, 1.0)
+    return neighbours.similarity_bins(rows.where("vec_id % 20 = 0"), rows, "vec_id", "vec", 20, -1.0, 1.0)
 
 
 def label_numbers(spark, folder):

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from quern.functions.text import unix_lines
 
 
-def _there(spark: SparkSession, path: str) -> bool:
+def there(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on any file system that Spark knows."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -26,7 +26,7 @@ def read_documents(spark: SparkSession, folder: str, pattern: str = "*.md") -> D
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Records of a JSON-lines file or folder; a missing one gives no rows, blank lines are skipped, a bad line fails."""
-    if not _there(spark, path):
+    if not there(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
@@ -48,6 +48,14 @@ def write_report(report: dict, path: str) -> None:
     Path(path).write_text(json.dumps(report, ensure_ascii=False, indent=2), encoding="utf-8")
 
 
+def save_report(spark: SparkSession, report: dict, path: str) -> None:
+    """The same on any file system that Spark knows."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(json.dumps(report, ensure_ascii=False, indent=2).encode()))
+    out.close()
+
+
 def save_embeddings(df: DataFrame, path: str, order: str = "item_seq", vec: str = "vec") -> None:
     """Writes vectors keyed by their record."""
     df.select(F.col(order).alias("item_seq"), F.col(vec).cast("array<float>").alias("vec")).write.mode("overwrite").parquet(path)
@@ -55,7 +63,7 @@ def save_embeddings(df: DataFrame, path: str, order: str = "item_seq", vec: str
 
 def load_embeddings(spark: SparkSession, path: str) -> DataFrame | None:
     """(item_seq, vec), or None where there is no such file."""
-    return spark.read.parquet(path) if _there(spark, path) else None
+    return spark.read.parquet(path) if there(spark, path) else None
 
 
 def load_yaml(path: str) -> dict:
