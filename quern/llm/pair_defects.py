@@ -7,6 +7,10 @@ sample's own defects, which are then left out of the negatives of the second.  T
 made rows.  The label `empty` needs no model: a null, or a text without letters and digits or that only says that
 there is nothing.
 
+Only the gradient fit and the thresholds come from the sample.  How often the words before an ending without a mark
+stand at all, and how often they close a sentence, is counted over all rows: the contexts of such endings are taken
+first, a bitmap of fixed size tells them from the others while every text is counted, and the sums are joined back.
+
 `flag` gives one row for each defective row and field.  Defined results: a null question counts as empty; a table
 without any usable sample gives only `empty`; repeated rows are flagged each; of several
 labels one counts: empty, wrong_language, copied_question, refusal, truncated.
@@ -16,16 +20,17 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.lookalike import normalize
+from quern.shared import cut
 
 #: Rows of the labelled sample, at most.
 SAMPLE = 2500
@@ -60,15 +65,14 @@ LEADS = {"en": ["You will need:", "The steps are:", "As follows:", "For example,
 OTHER_WORDS = {"ar": "في من على إلى عن هذا هذه كان قبل بعد مع كل أو ثم التي الذي عند حتى لم قد".split(), "eastern": "کے کی میں سے ہے کو پر یہ اور نہیں ہیں تھا ایک کا لیے بعد پہلے گا کرتا ہوں".split()}
 
 _WORD = re.compile(r"[^\W_]+")
-_VOCABULARY = (1 << 20) - 1
 _STOPS = frozenset(".!?؟۔।")
 _MASK = np.uint64((1 << BITS) - 1)
 _DIGITS = re.compile(r"\d+")
 _LETTER = re.compile(r"[^\W\d_]")
-_EASTERN = re.compile("[ٹپچڈگژڑںےھہکی]")
-_ARABIC = re.compile("[ء-ي]")
-_LATIN = re.compile("[A-Za-zÀ-ɏ]")
-_OTHER = re.compile("[Ѐ-ӿऀ-ॿ฀-๿぀-ヿ一-鿿가-힯Ͱ-Ͽ֐-׿]")
+_EASTERN = re.compile("[ٹپچڈگژڑںےھہکی]+")
+_ARABIC = re.compile("[ء-ي]+")
+_LATIN = re.compile("[A-Za-zÀ-ɏ]+")
+_OTHER = re.compile("[Ѐ-ӿऀ-ॿ฀-๿぀-ヿ一-鿿가-힯Ͱ-Ͽ֐-׿]+")
 _END_TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 _BARE_ITEM = re.compile(r"(^|\n)\s*(\d{1,2}[.)]|[-*•])$")
 _SENTENCE = re.compile(r"(?<=[.!?؟۔।])\s+")
@@ -83,33 +87,43 @@ def is_empty(text: str | None) -> bool:
     return not w or len(w) <= 3 and " ".join(w).casefold() in NOTHING
 
 
+#: Each function word with the languages that have it, English first.
+_HAVE: dict[str, tuple[str, ...]] = {w: tuple(k for k, v in _FUNCTION.items() if w in v) for v in _FUNCTION.values() for w in v}
+
+
 def language(text: str) -> str:
     """ar, an eastern language in Arabic letters, a language in Latin letters, another script, or nothing."""
-    a, lat, o = len(_ARABIC.findall(text)), len(_LATIN.findall(text)), len(_OTHER.findall(text))
-    e = len(_EASTERN.findall(text)) if a or not lat else 0
+    lat = sum(map(len, _LATIN.findall(text)))
+    a = o = e = 0
+    if not text.isascii():
+        a, o = sum(map(len, _ARABIC.findall(text))), sum(map(len, _OTHER.findall(text)))
+        e = sum(map(len, _EASTERN.findall(text))) if a or not lat else 0
     if a + e + lat + o < 4:
         return ""
     if o > max(a + e, lat):
         return "other"
     if a + e > lat:
         return "eastern" if e > 0.08 * (a + e) else "ar"
-    w = [x.lower() for x in _WORD.findall(text) if not x[0].isdigit()]
-    score = {k: sum(x in v for x in w) for k, v in _FUNCTION.items()}
+    w = [x for x in _WORD.findall(text.lower()) if not x[0].isdigit()]
+    score = dict.fromkeys(_FUNCTION, 0)
+    for x in w:
+        for k in _HAVE.get(x, ()):
+            score[k] += 1
     best = max(score, key=score.get)
     if score["en"] >= score[best]:
         return "en" if score["en"] > 0 or len(w) < 6 else "latin"
     return best
 
 
-_ids: dict[str, int] = {}
+_word_ids: dict[str, int] = {}
 
 
 def _word_id(w: str) -> int:
-    h = _ids.get(w)
+    h = _word_ids.get(w)
     if h is None:
-        if len(_ids) > 300_000:
-            _ids.clear()
-        h = _ids[w] = zlib.crc32((w if not w[0].isdigit() else _DIGITS.sub("0", w)).encode()) | 1 << 32
+        if len(_word_ids) > _REMEMBERED:
+            _word_ids.clear()
+        h = _word_ids[w] = zlib.crc32((w if not w[0].isdigit() else _DIGITS.sub("0", w)).encode()) | 1 << 32
     return h
 
 
@@ -129,101 +143,142 @@ class Features:
 DENSE = 31
 
 
-@dataclass
-class Seen:
-    """What the sample has: its hashed words, its common tokens, and how often each hashed context of a token stands
-    at all and at the end of a sentence."""
+#: Contexts of an ending, the most telling first, and those of its last two tokens alone; bits of the map of contexts.
+LEVELS, CONTEXTS, MAP = 4, 6, 1 << 24
+#: Tokens a worker remembers.
+_REMEMBERED = 300_000
+_token_ids: dict[str, int] = {}
 
-    words: np.ndarray
-    common: frozenset[str]
-    runs: np.ndarray
-    ends: np.ndarray
 
-    @staticmethod
-    def of(base: list[tuple[int, str, str]]) -> Seen:
-        words, counts = np.zeros(_VOCABULARY + 1, bool), Counter()
-        sentences = []
-        for _, q, t in base:
-            for w in _WORD.findall(q.lower()) + _WORD.findall(t.lower()):
-                words[_word_id(w) & _VOCABULARY] = True
-            tokens = _tokens(t)
-            counts.update(set(tokens))
-            sentences.append(tokens)
-        seen = Seen(words, frozenset(w for w, n in counts.items() if n >= 0.03 * len(base)), np.zeros(_VOCABULARY + 1, np.uint16), np.zeros(_VOCABULARY + 1, np.uint16))
-        for tokens in sentences:
-            closed = any(x in _STOPS for x in tokens)
-            start = 0
-            for i, x in enumerate(tokens):
-                if x in _STOPS:
-                    start = i + 1
-                    continue
-                if i + 1 == len(tokens) and closed:
-                    continue  # an ending without a mark, in a text with marks, tells nothing
-                end = i + 1 == len(tokens) or tokens[i + 1] in _STOPS
-                for h in seen.contexts(tokens[start : i + 1]):
-                    if seen.runs[h] < 65535:
-                        seen.runs[h] += 1
-                        seen.ends[h] += end
-        return seen
-
-    def contexts(self, s: list[str]) -> list[int]:
-        """Hashed contexts of the last token of a begun sentence, the most telling first: its first tokens with its
-        last ones, also with rare tokens masked, then its last tokens alone."""
-        star = [x if x in self.common else "*" for x in s[-4:]]
-        head = s[:2]
-        keys = [("a", *head, *s[-3:]), ("b", *head, *s[-2:]), ("c", *[x if x in self.common else "*" for x in head], *star), ("d", *star), ("e", *s[-3:]), ("f", *s[-2:])]
-        return [zlib.crc32("\x01".join(k).encode()) & _VOCABULARY for k in keys]
-
-    def ending(self, tokens: list[str], own: int | None) -> tuple[float, float]:
-        """(known, share): of the first context of the ending that is known, the share that ends a sentence; `own`
-        (0 or 1) leaves out the text's own occurrence, of which it tells whether it is an end."""
-        start = max((i + 1 for i, x in enumerate(tokens) if x in _STOPS), default=0)
-        if start == len(tokens):
-            return 0.0, 0.5
-        for h in self.contexts(tokens[start:]):
-            n, e = int(self.runs[h]), int(self.ends[h])
-            if own is not None:
-                n, e = n - 1, e - own
-            if n >= 3:
-                return 1.0, min(1.0, max(0.0, e / n))
-        return 0.0, 0.5
-
-
-def _tokens(text: str) -> list[str]:
-    return [_DIGITS.sub("0", x) for x in _END_TOKEN.findall(text.lower())]
-
-
-def _pair(question: str, qwords: list[str], qlang: str, text: str, words: list[str], seen: Seen | None, place: int | None) -> list[float]:
-    """Features of the pair, besides the n-grams."""
-    own, asked = set(words), set(qwords)
-    extra = sum(w not in asked for w in words)
-    both = len(own & asked)
+def _token_id(x: str) -> int:
+    h = _token_ids.get(x)
+    if h is None:
+        if len(_token_ids) > _REMEMBERED:
+            _token_ids.clear()
+        h = _token_ids[x] = (xxhash.xxh3_64_intdigest(_DIGITS.sub("0", x)) | 2) & ~1 if x not in _STOPS else 1
+    return h
+
+
+def _ids(text: str) -> list[int]:
+    """The tokens of a text as numbers; 1 for a mark that closes a sentence."""
+    return [_token_id(x) for x in _END_TOKEN.findall(text.lower())]
+
+
+def _keys(h1: np.ndarray, h2: np.ndarray, t2: np.ndarray, t1: np.ndarray, t0: np.ndarray) -> np.ndarray:
+    """The contexts of the last token of a begun sentence, by its first two and last three tokens (0 for none): first
+    and last three, first and last two, last three, last two, the last token, and the one before it."""
+
+    def mixed(kind: int, *parts: np.ndarray) -> np.ndarray:
+        x = np.full(len(t0), kind * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, np.uint64)
+        for p in parts:
+            x = (x ^ p) * np.uint64(0xBF58476D1CE4E5B9)
+            x ^= x >> np.uint64(29)
+        return x
+
+    return np.stack([mixed(1, h1, h2, t2, t1, t0), mixed(2, h1, h2, t1, t0), mixed(3, t2, t1, t0), mixed(4, t1, t0), mixed(5, t0), mixed(5, t1)], axis=1)
+
+
+def open_endings(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(contexts, closed): the contexts of each text's ending, zeros where it ends with a sign or a mark, and whether
+    the text has any mark, so that its own ending is not counted."""
+    rows, at, closed = [], [], np.zeros(len(texts), bool)
+    for i, t in enumerate(texts):
+        t = t.rstrip()
+        last = max(t.rfind(c) for c in _STOPS)
+        closed[i] = last >= 0
+        if not t or not t[-1].isalnum():
+            continue
+        x = _ids(t[last + 1 :])
+        if x:
+            at.append(i)
+            rows.append((x[0], x[1] if len(x) > 1 else 0, x[-3] if len(x) > 2 else 0, x[-2] if len(x) > 1 else 0, x[-1]))
+    out = np.zeros((len(texts), CONTEXTS), np.uint64)
+    if rows:
+        out[at] = _keys(*np.array(rows, dtype=np.uint64).T)
+    return out, closed
+
+
+def _counted(texts: list[str], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, runs, ends) of the contexts in the map: how often each stands in these texts, and closes a sentence.
+
+    An ending without a mark, in a text with marks, tells nothing and is left out.
+    """
+    tokens = [_ids(t) for t in texts]
+    lens = np.array([len(x) for x in tokens], np.int64)
+    x = np.array([h for t in tokens for h in t], dtype=np.uint64)
+    if not len(x):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(texts)), lens)
+    stop = x == 1
+    first = np.concatenate([[True], owner[1:] != owner[:-1]])
+    begins = first | np.concatenate([[True], stop[:-1]])
+    start = np.maximum.accumulate(np.where(begins, np.arange(len(x)), 0))
+    place = np.arange(len(x)) - start
+    back = lambda n: np.where(place >= n, x[np.maximum(np.arange(len(x)) - n, 0)], np.uint64(0))
+    second = np.where(place >= 1, x[np.minimum(start + 1, len(x) - 1)], np.uint64(0))
+    last = np.concatenate([first[1:], [True]])
+    marks = np.bincount(owner, stop, len(texts)) > 0
+    end = np.where(last, ~marks[owner], np.concatenate([stop[1:], [False]]))
+    ok = np.flatnonzero(~stop & ~(last & marks[owner]))
+    keys = _keys(x[start[ok]], second[ok], back(2)[ok], back(1)[ok], x[ok])[:, : CONTEXTS - 1]
+    ends = np.broadcast_to(end[ok][:, None], keys.shape)
+    at = keys % np.uint64(MAP)
+    hit = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    hit[:, LEVELS] &= ~last[ok]  # a single token counts where something follows it: a word cut short never does
+    found, inverse = np.unique(keys[hit], return_inverse=True)
+    return found, np.bincount(inverse, minlength=len(found)).astype(np.int64), np.bincount(inverse, ends[hit], len(found)).astype(np.int64)
+
+
+def ending_features(runs: np.ndarray, ends: np.ndarray, own: np.ndarray, at_end: np.ndarray, followed: np.ndarray) -> np.ndarray:
+    """(known, share, last token new, token before it new) from the sums of CONTEXTS contexts by row.
+
+    own tells whether the row's own ending is among the sums, at_end whether there as an end, followed whether its last
+    token was followed by something there.  The first context that stands three times or more otherwise tells the share
+    of it that closes a sentence; a token that is followed by something less often elsewhere is new.
+    """
+    n = runs[:, :LEVELS] - own[:, None]
+    e = np.clip(ends[:, :LEVELS] - (own & at_end)[:, None], 0, None)
+    enough = n >= 3
+    level = enough.argmax(axis=1)
+    rows = np.arange(len(n))
+    known = enough[rows, level]
+    share = np.where(known, np.minimum(1.0, e[rows, level] / np.maximum(n[rows, level], 1)), 0.5)
+    return np.stack([known.astype(float), share, (runs[:, 4] - followed < 3).astype(float), (runs[:, 5] - 1 < 3).astype(float)], axis=1)
+
+
+def _pair(qlang: str, qset: set[str], text: str, words: list[str], ending: list[float]) -> list[float]:
+    """Features of the pair, besides the n-grams; ending: see `ending_features`."""
+    own = set(words)
+    extra = sum(w not in qset for w in words)
+    both = len(own & qset)
     lang = language(text)
     tail = text[-1:] if text else " "
     n = len(words)
-    new = [seen is not None and not seen.words[_word_id(x) & _VOCABULARY] for x in words[-2:]]
-    known, share = (0.0, 0.5) if seen is None or not tail.isalnum() else seen.ending(_tokens(text), place)
+    open_ = text.count("(") > text.count(")")
+    known, share, new, new_before = ending if tail.isalnum() else (0.0, 0.5, 0.0, 0.0)
     return [
         1.0, float(bool(qlang and lang and qlang != lang)), float(bool(qlang and lang and qlang == lang)), float(not lang),
-        extra / (n + 1), min(extra, 12) / 4, both / (len(asked) + 1), both / (len(own) + 1), float(extra <= 3 and both >= 0.8 * len(asked)),
+        extra / (n + 1), min(extra, 12) / 4, both / (len(qset) + 1), both / (len(own) + 1), float(extra <= 3 and both >= 0.8 * len(qset)),
         float(tail in ".!?؟۔।"), float(tail.isdigit()), float(tail == ":"), float(tail in ",،;؛"), float(tail in "([{«\"-"), float(tail.isalpha()), float(tail in ")]}»"),
-        float(bool(_BARE_ITEM.search(text))), float(text.endswith("...") or text.endswith("…")), min(n, 40) / 40, float(n < 15), float(text.count("(") > text.count(")")), float(extra == 0), float(tail in "?؟"), float(text.count('"') % 2),
-        float(bool(new) and new[-1] and tail.isalpha()), float(len(new) > 1 and new[0]), float(text.count("(") > text.count(")") and "(" in text[-30:]),
+        float(bool(_BARE_ITEM.search(text[-12:]))), float(text.endswith("...") or text.endswith("…")), min(n, 40) / 40, float(n < 15), float(open_), float(extra == 0), float(tail in "?؟"), float(text.count('"') % 2),
+        float(new and tail.isalpha()), float(n > 1 and new_before), float(open_ and "(" in text[-30:]),
         known * share, known * (1 - share), float(known > 0 and share > 0.85), float(known > 0 and share < 0.15),
     ]
 
 
-def featurize(questions: list[str], texts: list[str], tag: int, seen: Seen | None = None, own: list[int | None] | None = None) -> Features:
+def featurize(questions: list[str], texts: list[str], tag: int, endings: np.ndarray) -> Features:
     """Whole-text word n-grams (1 and 2), n-grams of the ending, and pair features; `tag` tells the fields apart."""
     flat: list[int] = []
     lens, dense, ends = [], [], []
-    for i, (q, t) in enumerate(zip(questions, texts)):
+    asked: dict[str, tuple[str, set[str]]] = {}
+    for q, t, own in zip(questions, texts, endings.tolist()):
         t = t.rstrip()
-        qw = _WORD.findall(q.lower())
+        if q not in asked:
+            asked[q] = language(q), set(_WORD.findall(q.lower()))
         w = _WORD.findall(t.lower())
         flat += [_word_id(x) for x in w]
         lens.append(len(w))
-        dense.append(_pair(q, qw, language(q), t, w, seen, own[i] if own else None))
+        dense.append(_pair(*asked[q], t, w, own))
         # the ending, without a closing full stop, as tokens with signs
         e = _END_TOKEN.findall(t[-120:].rstrip(".").lower())[-4:]
         e = [_DIGITS.sub("0", x) for x in e]
@@ -294,7 +349,6 @@ class Model:
     index: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
-    seen: Seen
     size: int = SIZE
     dense: np.ndarray | None = field(default=None, repr=False)
 
@@ -346,30 +400,98 @@ def _made(rng: np.random.Generator, q: str, t: str, other: str | None) -> list[t
     return out
 
 
-def train(questions: list[str], fields: list[list[str | None]], seed: int = 7) -> Model | None:
-    """The classifier from a sample of questions and their responses (one list for each field)."""
+@dataclass
+class Sums:
+    """The sums of contexts, by key in order."""
+
+    keys: np.ndarray
+    runs: np.ndarray
+    ends: np.ndarray
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(runs, ends) of an array of contexts; 0 where there is none."""
+        if not len(self.keys):
+            return np.zeros(keys.shape, np.int64), np.zeros(keys.shape, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = (self.keys[at] == keys) & (keys != 0)
+        return np.where(hit, self.runs[at], 0), np.where(hit, self.ends[at], 0)
+
+
+#: A row of the training set: field, question, text, label (-1 for a whole text), whether it is made.
+Row = tuple[int, str, str, int, bool]
+
+
+def prepared(questions: list[str], fields: list[list[str | None]], seed: int = 7) -> list[list[Row]]:
+    """The rows of each usable response of a sample: itself, and what is made of it; none for a sample too small."""
     rng = np.random.default_rng(seed)
     qs = [normalize(q) or "" for q in questions]
     base: list[tuple[int, str, str]] = []
     for tag, texts in enumerate(fields):
         base += [(tag, q, normalize(t)) for q, t in zip(qs, texts) if not is_empty(t) and q]
     if len(base) < 50:
+        return []
+    by_lang: dict[tuple[int, str], list[str]] = {}
+    for tag, q, t in base:
+        by_lang.setdefault((tag, language(t)), []).append(t)
+    langs = {tag: [k[1] for k, v in by_lang.items() if k[0] == tag and k[1] and len(v) >= 3] for tag in range(len(fields))}
+    out = []
+    for tag, q, t in base:
+        own = language(q)
+        others = [x for x in langs[tag] if x != own]
+        other = None
+        if others and own:
+            pool = by_lang[tag, others[int(rng.integers(len(others)))]]
+            other = pool[int(rng.integers(len(pool)))]
+        if not other or rng.random() < 0.2:
+            other = _foreign(rng, own)
+        out.append([(tag, q, t, -1, False), *[(tag, q, x, k, True) for x, k in _made(rng, q, t, other)]])
+    return out
+
+
+def endings_of(rows: list[Row], sums: Sums) -> np.ndarray:
+    """`ending_features` of training rows: a text cut short was counted at that place before it was cut, inside a
+    sentence, and a text that only lacks its mark as an end."""
+    keys, closed = open_endings([r[2] for r in rows])
+    runs, ends = sums.of(keys)
+    made, label = np.array([r[4] for r in rows], bool), np.array([r[3] for r in rows])
+    own = (keys[:, 0] != 0) & np.where(made, label <= 0, ~closed)
+    return ending_features(runs, ends, own, label < 0, made & (label <= 0))
+
+
+def train(questions: list[str], fields: list[list[str | None]], seed: int = 7, sums: Sums | None = None, made: list[list[Row]] | None = None) -> Model | None:
+    """The classifier from a sample of questions and their responses (one list for each field); contexts are counted
+    over the sample itself unless the sums over a whole table are given."""
+    rng = np.random.default_rng(seed)
+    groups = made if made is not None else prepared(questions, fields, seed)
+    if not groups:
         return None
+    rows = [r for g in groups for r in g]
+    if sums is None:
+        keys = np.unique(open_endings([r[2] for r in rows])[0])
+        sums = Sums(*_counted([g[0][2] for g in groups], map_of(keys)))
+    n_fields = 1 + max(r[0] for r in rows)
+    owner = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+    order = np.argsort([r[0] for r in rows], kind="stable")
+    rows, owner = [rows[i] for i in order], owner[order]
+    endings = endings_of(rows, sums)
+    tags = np.array([r[0] for r in rows])
+    parts = [featurize([r[1] for r in rows if r[0] == t], [r[2] for r in rows if r[0] == t], t, endings[tags == t]) for t in range(n_fields)]
+    shift = np.cumsum([0, *[f.starts[-1] for f in parts]])
+    f = Features(np.concatenate([x.ids for x in parts]), np.concatenate([x.values for x in parts]), np.concatenate([parts[0].starts, *[x.starts[1:] + s for x, s in zip(parts[1:], shift[1:])]]))
+    y = np.stack([(np.array([r[3] for r in rows]) == k).astype(float) for k in range(len(LABELS))], axis=1)
+    whole = np.array([not r[4] for r in rows])
     # Each half is cleaned by a model of the other half, which has not seen its defects as negatives.
-    half = rng.random(len(base)) < 0.5
-    kept: list[tuple[int, str, str]] = []
+    half = (rng.random(len(groups)) < 0.5)[owner]
+    sound = np.zeros(len(groups), bool)
     for side in (False, True):
-        f, y, _, seen, _ = _rows([b for b, h in zip(base, half) if h == side], len(fields), rng)
-        w = fit(f, y, np.ones_like(y), epochs=2)
-        for tag in range(len(fields)):
-            own = [b for b, h in zip(base, half) if h != side and b[0] == tag]
-            z = scores(featurize([b[1] for b in own], [b[2] for b in own], tag, seen), w)
-            kept += [b for b, row in zip(own, z) if (row < -1).all()]
-    f, y, held, seen, _ = _rows(kept, len(fields), rng)
-    train_rows = np.flatnonzero(~held)
-    weights = fit(_subset(f, train_rows), y[train_rows], np.ones_like(y[train_rows]), epochs=4)
-    hs = held
-    test = np.flatnonzero(np.array(hs))
+        used = np.flatnonzero(half == side)
+        w = fit(_subset(f, used), y[used], np.ones_like(y[used]), epochs=2)
+        judged = np.flatnonzero((half != side) & whole)
+        sound[owner[judged[(scores(_subset(f, judged), w) < -1).all(axis=1)]]] = True
+    kept = np.flatnonzero(sound[owner])
+    held = rng.random(len(kept)) < 0.15
+    used, test = kept[~held], kept[held]
+    weights = fit(_subset(f, used), y[used], np.ones_like(y[used]), epochs=4)
     z = scores(_subset(f, test), weights)
     limits = []
     for k in range(len(LABELS)):
@@ -386,7 +508,15 @@ def train(questions: list[str], fields: list[list[str | None]], seed: int = 7) -
         below = s[s < low]
         limits.append(float(top + (below.max() if len(below) else low - 2)) / 2)
     used = np.flatnonzero(np.abs(weights).max(axis=1) > 1e-3)
-    return Model(used, weights[used], np.array(limits), seen)
+    return Model(used, weights[used], np.array(limits))
+
+
+def map_of(keys: np.ndarray) -> np.ndarray:
+    """The map of contexts."""
+    out = np.zeros(MAP // 64, np.uint64)
+    at = keys % np.uint64(MAP)
+    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return out
 
 
 def _foreign(rng: np.random.Generator, lang: str) -> str | None:
@@ -398,69 +528,98 @@ def _foreign(rng: np.random.Generator, lang: str) -> str | None:
     return " ".join(pool[int(i)] for i in rng.integers(len(pool), size=int(rng.integers(6, 40)))) + "."
 
 
-def _rows(base: list[tuple[int, str, str]], n_fields: int, rng: np.random.Generator) -> tuple[Features, np.ndarray, np.ndarray, Seen, list]:
-    """Features and labels of untouched and made rows, which are held out, and what the untouched rows have."""
-    seen = Seen.of(base)
-    by_lang: dict[tuple[int, str], list[str]] = {}
-    for tag, q, t in base:
-        by_lang.setdefault((tag, language(t)), []).append(t)
-    langs = {tag: [k[1] for k, v in by_lang.items() if k[0] == tag and k[1] and len(v) >= 3] for tag in range(n_fields)}
-    rows: list[tuple[int, str, str, int]] = []
-    for tag, q, t in base:
-        rows.append((tag, q, t, -1))
-        others = [x for x in langs[tag] if x != language(q)]
-        other = None
-        if others and language(q):
-            pool = by_lang[tag, others[int(rng.integers(len(others)))]]
-            other = pool[int(rng.integers(len(pool)))]
-        if not other or rng.random() < 0.2:
-            other = _foreign(rng, language(q))
-        rows += [(tag, q, x, k) for x, k in _made(rng, q, t, other)]
-    rows.sort(key=lambda r: r[0])
-    own = lambda r: 0 if r[3] == 0 else 1 if r[3] == -1 else None
-    feats = [featurize([r[1] for r in rows if r[0] == tag], [r[2] for r in rows if r[0] == tag], tag, seen, [own(r) for r in rows if r[0] == tag]) for tag in range(n_fields)]
-    shift = np.cumsum([0, *[f.starts[-1] for f in feats]])
-    f = Features(np.concatenate([x.ids for x in feats]), np.concatenate([x.values for x in feats]), np.concatenate([feats[0].starts, *[x.starts[1:] + s for x, s in zip(feats[1:], shift[1:])]]))
-    y = np.stack([(np.array([r[3] for r in rows]) == k).astype(float) for k in range(len(LABELS))], axis=1)
-    return f, y, rng.random(len(rows)) < 0.15, seen, rows
-
-
 def _subset(f: Features, rows: np.ndarray) -> Features:
     take = np.concatenate([np.arange(f.starts[r], f.starts[r + 1]) for r in rows]) if len(rows) else np.zeros(0, np.int64)
     return Features(f.ids[take], f.values[take], np.concatenate([[0], np.cumsum(f.starts[rows + 1] - f.starts[rows])]).astype(np.int64))
 
 
-def judge(model: Model | None, questions: list[str | None], texts: list[str | None], tag: int) -> list[str | None]:
-    """The defect of each response, or None."""
+def judge(model: Model | None, questions: list[str | None], texts: list[str | None], tag: int, endings: np.ndarray | None = None) -> list[str | None]:
+    """The defect of each response, or None; endings: `ending_features` of the responses, nothing known without."""
     out: list[str | None] = ["empty" if is_empty(t) else None for t in texts]
     rows = [i for i, x in enumerate(out) if x is None]
     if model is None or not rows:
         return out
-    z = scores(featurize([normalize(questions[i]) or "" for i in rows], [normalize(texts[i]) for i in rows], tag, model.seen), model.table()) - model.thresholds
+    told = np.tile([0.0, 0.5, 0.0, 0.0], (len(rows), 1)) if endings is None else endings[rows]
+    z = scores(featurize([normalize(questions[i]) or "" for i in rows], [normalize(texts[i]) for i in rows], tag, told), model.table()) - model.thresholds
     for i, row in zip(rows, z):
         out[i] = next((LABELS[k] for k in ORDER if row[k] > 0), None)
     return out
 
 
-def fit_sample(df: DataFrame, key: str, question: str, fields: list[str], sample: int = SAMPLE) -> Model | None:
-    """The classifier from the `sample` rows of the least hashed keys."""
-    rows = df.select(question, *fields).where(F.col(question).isNotNull()).orderBy(F.xxhash64(F.lit(7), df[key])).limit(sample).toPandas()
-    return train(rows[question].tolist(), [[None if pd.isna(x) else x for x in rows[c]] for c in fields])
-
-
-def flag(df: DataFrame, key: str, question: str, fields: list[str], model: Model | None = None, sample: int = SAMPLE) -> DataFrame:
-    """(key, field, defect) for each defective row and field, by a model fitted on a sample of `df` unless given."""
-    model = model or fit_sample(df, key, question, fields, sample)
-    sent = df.sparkSession.sparkContext.broadcast(model)
+def _strings(s: pd.Series) -> list[str | None]:
+    return [x if isinstance(x, str) else None for x in s]
+
+
+def _take_endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows, with the contexts of the ending of each response that has an open one."""
+    for b in batches:
+        keys, closed = open_endings([normalize(t) or "" if isinstance(t, str) else "" for t in b["t"]])
+        yield b.assign(keys=[k.view(np.int64) if k[0] else None for k in keys], closed=closed)
+
+
+def _count_contexts(batches: Iterator[pd.DataFrame], bits: np.ndarray, columns: list[str]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        texts = [normalize(t) for c in columns for t in b[c] if isinstance(t, str)]
+        keys, runs, ends = _counted(texts, bits)
+        yield pd.DataFrame({"key": keys.view(np.int64), "runs": runs, "ends": ends})
+
+
+def flag(df: DataFrame, key: str, question: str, fields: list[str], sample: int = SAMPLE) -> DataFrame:
+    """(key, field, defect) for each defective row and field, by a model fitted on at most `sample` rows of `df`, those
+    of the least hashed keys, and the contexts of all rows."""
+    spark, context = df.sparkSession, df.sparkSession.sparkContext
+    names = [f"f{i}" for i in range(len(fields))]
+    narrow = df.select(F.col(key).alias("k"), F.col(question).alias("q"), *[F.col(c).alias(n) for c, n in zip(fields, names)])
+    # some more than the sample pass the first filter, so that no task sends many
+    lot = F.shiftrightunsigned(F.xxhash64(F.lit(7), "k"), 24)
+    total = max(1, narrow.count())
+    some = narrow.where("q is not null").where(lot < F.lit(int(min(1.0, (1.5 * sample + 200) / total) * (1 << 40)))).orderBy(lot, "k", "q", *names).limit(sample)
+    rows = some.toPandas()
+    made = prepared(rows["q"].tolist(), [_strings(rows[n]) for n in names])
+    # one row a response: those with an open ending, with its contexts, and the others
+    parts = F.explode(F.array(*[F.struct(F.lit(i).alias("tag"), F.col(n).alias("t")) for i, n in enumerate(names)]))
+    schema = f"k {df.schema[key].dataType.simpleString()}, q string, tag int, t string"
+    long = narrow.select("k", "q", parts.alias("x")).select("k", "q", "x.tag", "x.t")
+    ends_open = F.col("t").isNotNull() & ~F.col("t").rlike(r"[.!?؟۔।][\s]*$")
+    taken = cut(long.where(ends_open).mapInPandas(_take_endings, f"{schema}, keys array<long>, closed boolean").withColumn("id", F.monotonically_increasing_id()), "endings")
+    keys = taken.select("id", "closed", F.posexplode("keys").alias("level", "key"))
+    own = np.unique(open_endings([r[2] for g in made for r in g])[0])
+    bits = _bits(keys) | map_of(own[own != 0])
+    sent = context.broadcast(bits)
+    counted = narrow.select(*names).mapInPandas(lambda it: _count_contexts(it, sent.value, names), "key long, runs long, ends long")
+    sums = cut(counted.groupBy("key").agg(F.sum("runs").alias("runs"), F.sum("ends").alias("ends")), "contexts")
+    # the sample's own contexts come to the driver, a few for each of its rows
+    wanted = spark.createDataFrame(pd.DataFrame({"key": own.view(np.int64)}), "key long")
+    told = sums.join(wanted, "key", "left_semi").toPandas() if len(own) else pd.DataFrame({"key": [], "runs": [], "ends": []})
+    order = np.argsort(told["key"].to_numpy(np.int64).view(np.uint64))
+    model = train([], [], sums=Sums(told["key"].to_numpy(np.int64).view(np.uint64)[order], told["runs"].to_numpy(np.int64)[order], told["ends"].to_numpy(np.int64)[order]), made=made)
+    fitted = context.broadcast(model)
+    by_row = keys.join(sums, "key").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("level", F.struct("runs", "ends")))).alias("sums"))
+    known = taken.drop("keys").join(by_row, "id", "left").select("k", "q", "tag", "t", "closed", *[F.coalesce(F.element_at("sums", F.lit(i))[c], F.lit(0)).alias(f"{c}{i}") for c in ("runs", "ends") for i in range(CONTEXTS)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            q = [None if pd.isna(x) else x for x in b["q"]]
             for tag, name in enumerate(fields):
-                found = judge(sent.value, q, [None if pd.isna(x) else x for x in b[f"f{tag}"]], tag)
-                rows = [i for i, x in enumerate(found) if x]
-                yield pd.DataFrame({"k": b["k"].to_numpy()[rows], "field": pd.Series([name] * len(rows), dtype=object), "defect": pd.Series([found[i] for i in rows], dtype=object)})
-
-    kind = df.schema[key].dataType.simpleString()
-    narrow = df.select(F.col(key).alias("k"), F.col(question).alias("q"), *[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)])
-    return narrow.mapInPandas(run, f"k {kind}, field string, defect string").select(F.col("k").alias(key), "field", "defect")
+                part = b[b["tag"] == tag]
+                endings = None
+                if "closed" in part:
+                    runs, ends = (part[[f"{c}{i}" for i in range(CONTEXTS)]].to_numpy(np.int64) for c in ("runs", "ends"))
+                    counted_too = ~part["closed"].to_numpy(bool)
+                    endings = ending_features(runs, ends, counted_too, counted_too, np.zeros(len(part), bool))
+                found = judge(fitted.value, _strings(part["q"]), _strings(part["t"]), tag, endings)
+                hit = [i for i, x in enumerate(found) if x]
+                yield pd.DataFrame({"k": part["k"].to_numpy()[hit], "field": pd.Series([name] * len(hit), dtype=object), "defect": pd.Series([found[i] for i in hit], dtype=object)})
+
+    out = f"{schema.split(', ')[0]}, field string, defect string"
+    rest = long.where(~F.coalesce(ends_open, F.lit(False))).mapInPandas(run, out)
+    return known.mapInPandas(run, out).union(rest).select(F.col("k").alias(key), "field", "defect")
+
+
+def _bits(keys: DataFrame) -> np.ndarray:
+    """The map of a column of contexts: MAP / 64 rows at most come to the driver."""
+    # keys are unsigned; their remainder by a power of two is that of their lowest bits
+    h = F.col("key").bitwiseAND(F.lit(MAP - 1)).cast("int")
+    rows = keys.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, h & 63)")).alias("bits")).toPandas()
+    out = np.zeros(MAP // 64, np.int64)
+    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return out.view(np.uint64)

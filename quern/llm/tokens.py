@@ -38,12 +38,11 @@ _PLAIN = re.compile(r"[ \n]?[A-Za-z0-9ء-غف-ي.,;:!?،؟()\"/+=#%*&@<>\[\]{}|_
 class Encoder:
     """Encodes texts with one vocabulary."""
 
-    def __init__(self, folder: str = FOLDER, vocabulary: str = VOCABULARY) -> None:
+    def __init__(self, lines: bytes) -> None:
         import regex
         import tiktoken
 
-        with open(f"{folder}/{vocabulary}", "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line.strip())}
         #: Whether a pair of bytes stands inside any token.
         self.inside = np.zeros((256, 256), bool)
         for token in self.ranks:
@@ -111,17 +110,29 @@ class Encoder:
         return ids
 
 
+def read(folder: str = FOLDER, vocabulary: str = VOCABULARY) -> bytes:
+    """The vocabulary file, as the driver has it; executors get it with the job and need no such folder."""
+    with open(f"{folder}/{vocabulary}", "rb") as f:
+        return f.read()
+
+
 @lru_cache(maxsize=4)
+def encoder_of(lines: bytes) -> Encoder:
+    """The worker's encoder of a vocabulary."""
+    return Encoder(lines)
+
+
 def encoder(folder: str = FOLDER, vocabulary: str = VOCABULARY) -> Encoder:
-    """The worker's encoder."""
-    return Encoder(folder, vocabulary)
+    """The encoder of a vocabulary file."""
+    return encoder_of(read(folder, vocabulary))
 
 
 def encoded(df: DataFrame, key: str, text: str, folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, ids) of every row."""
+    sent = df.sparkSession.sparkContext.broadcast(read(folder, vocabulary))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = encoder(folder, vocabulary)
+        e = encoder_of(sent.value)
         for b in batches:
             for i in range(0, len(b), ROWS):
                 part = b.iloc[i : i + ROWS]
@@ -133,9 +144,10 @@ def encoded(df: DataFrame, key: str, text: str, folder: str = FOLDER, vocabulary
 
 def counted(df: DataFrame, columns: list[str], text: str, folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:
     """The columns and `n_tokens`, the number of ids of the text."""
+    sent = df.sparkSession.sparkContext.broadcast(read(folder, vocabulary))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = encoder(folder, vocabulary)
+        e = encoder_of(sent.value)
         for b in batches:
             yield b.drop(columns="__text").assign(n_tokens=[len(e.encode(t)) if isinstance(t, str) else 0 for t in b["__text"]])
 
