@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.operators.neighbours import nearest
+from quern.shared import cut
 
 #: Points that the density clustering takes; it holds a tree of all points in one task.  Beyond, use `kmeans`.
 MOST_POINTS = 50_000
@@ -149,23 +150,117 @@ def with_noise_assigned(labels: DataFrame, df: DataFrame, id_name: str, vec: str
     return labels.join(named, id_name, "left").withColumn(label, F.coalesce("__label", F.col(label))).select(*labels.columns)
 
 
-def kmeans(df: DataFrame, id_name: str, vec: str, least: int = 3, most: int = 30, seed: int = 42) -> DataFrame:
-    """(id, cluster_id) for the number of clusters with the greatest silhouette; the least of equals."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    from pyspark.ml.functions import array_to_vector
+#: Rows, at most, from which the first centres are drawn.
+FIRST = 10_000
 
-    rows = df.select(id_name, array_to_vector(F.transform(vec, lambda x: x.cast("double"))).alias("features")).cache()
+
+def _first_centres(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k different rows, each drawn by its squared distance to the nearest one before."""
+    chosen = [x[int(rng.integers(len(x)))]]
+    near = ((x - chosen[0]) ** 2).sum(1)
+    for _ in range(1, k):
+        total = near.sum()
+        at = int(rng.choice(len(x), p=near / total)) if total > 0 else int(rng.integers(len(x)))
+        chosen.append(x[at])
+        near = np.minimum(near, ((x - x[at]) ** 2).sum(1))
+    return np.array(chosen)
+
+
+def _nearest_centres(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    d = np.maximum((x**2).sum(1)[:, None] + (centres**2).sum(1)[None] - 2 * x @ centres.T, 0.0)
+    return d.argmin(1), d.min(1)
+
+
+def _silhouette(x: np.ndarray, own: np.ndarray, sums: np.ndarray, squares: np.ndarray, n: np.ndarray) -> float:
+    """The sum of the rows' silhouettes by mean squared distances to the rows of each cluster."""
+    there = np.flatnonzero(n > 0)
+    means = sums[there] / n[there, None]
+    d = (x**2).sum(1)[:, None] - 2 * x @ means.T + (squares[there] / n[there])[None]  # mean over the whole cluster
+    at = np.searchsorted(there, own)
+    rows = np.arange(len(x))
+    m = n[own]
+    a = np.where(m > 1, d[rows, at] * m / np.maximum(m - 1, 1), 0.0)  # without the row itself
+    d[rows, at] = np.inf
+    b = d.min(1)
+    return float(np.where(m > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-12), 0.0).sum())
+
+
+def kmeans(df: DataFrame, id_name: str, vec: str, least: int = 3, most: int = 30, starts: int = 10, turns: int = 50, seed: int = 42) -> DataFrame:
+    """(id, cluster_id) for the number of clusters with the greatest mean silhouette; the least of equals.
+
+    Every number from `least` to `most` is tried from `starts` first centres, and the start with the least squared
+    distances stands for it.  All models take their turns together: one pass over the vectors adds up the sums of every
+    cluster of every model inside the tasks, so a sweep costs as many passes as the slowest model has turns, and only
+    centres come to the driver, at most sum(k) * starts rows.  The silhouette is by squared Euclidean distances, which
+    sums of clusters give without comparing pairs.  Too few rows for `least` + 1 clusters are one cluster.
+    """
+    rows = df.select(F.col(id_name).cast("long").alias("id"), F.transform(vec, lambda x: x.cast("double")).alias("vec")).where("id is not null and vec is not null")
+    rows = cut(rows, "vectors")
     n = rows.count()
-    best, model = -2.0, None
-    for k in range(least, min(most + 1, n)):
-        m = KMeans(k=k, seed=seed, maxIter=50).fit(rows)
-        score = ClusteringEvaluator().evaluate(m.transform(rows))
-        if score > best:
-            best, model = score, m
-    if model is None:
+    sizes = range(least, min(most + 1, n))
+    if not len(sizes):
         return df.select(id_name, F.lit(0).alias("cluster_id"))
-    return model.transform(rows).select(id_name, F.col("prediction").alias("cluster_id"))
+    some = np.array([np.asarray(r["vec"]) for r in rows.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(FIRST).collect()])
+    rng = np.random.default_rng(seed)
+    centres = {(k, s): _first_centres(some, k, rng) for k in sizes for s in range(starts)}
+    context = df.sparkSession.sparkContext
+
+    def sums(models: dict, silhouettes: dict | None = None) -> dict:
+        """model -> (sums, squares, counts, inertia) of its clusters, or its summed silhouette."""
+        sent = context.broadcast((models, silhouettes))
+
+        def add(batches):
+            given, known = sent.value
+            out: dict = {}
+            for b in batches:
+                if not len(b):
+                    continue
+                x = np.array([np.asarray(v) for v in b["vec"]])
+                for m, c in given.items():
+                    own, d = _nearest_centres(x, c)
+                    if known is not None:
+                        out[m] = out.get(m, 0.0) + _silhouette(x, own, *known[m][:3])
+                        continue
+                    total = np.zeros_like(c)
+                    np.add.at(total, own, x)
+                    got = [total, np.bincount(own, (x**2).sum(1), len(c)), np.bincount(own, minlength=len(c)).astype(float), d.sum()]
+                    out[m] = [p + q for p, q in zip(out[m], got)] if m in out else got
+            for (k, s), v in out.items():
+                flat = [float(v)] if known is not None else np.concatenate([np.ravel(p) for p in v]).tolist()
+                yield pd.DataFrame({"k": [k], "s": [s], "v": [flat]})
+
+        def whole(part: pd.DataFrame) -> pd.DataFrame:
+            return part.iloc[:1].assign(v=[np.sum([np.asarray(p) for p in part["v"]], axis=0)])
+
+        found: dict = {}
+        for r in rows.mapInPandas(add, "k int, s int, v array<double>").groupBy("k", "s").applyInPandas(whole, "k int, s int, v array<double>").collect():
+            v = np.asarray(r["v"])
+            k, dim = r["k"], some.shape[1]
+            found[k, r["s"]] = float(v[0]) if silhouettes is not None else (v[: k * dim].reshape(k, dim), v[k * dim : k * dim + k], v[k * dim + k : k * dim + 2 * k], float(v[-1]))
+        return found
+
+    moving = dict(centres)
+    for _ in range(turns):
+        for m, (total, _, count, _) in sums(moving).items():
+            new = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], moving[m])
+            if np.abs(new - moving[m]).max() < 1e-4:
+                del moving[m]
+            centres[m] = new
+        moving = {m: centres[m] for m in moving}
+        if not moving:
+            break
+    final = sums(centres)
+    best = {k: min((m for m in final if m[0] == k), key=lambda m: (final[m][3], m[1])) for k in sizes}
+    told = sums({m: centres[m] for m in best.values()}, {m: final[m] for m in best.values()})
+    winner = centres[max(best.values(), key=lambda m: (round(told[m] / n, 12), -m[0]))]
+    chosen = context.broadcast(winner)
+
+    def label(batches):
+        for b in batches:
+            x = np.array([np.asarray(v) for v in b["vec"]]).reshape(len(b), -1)
+            yield pd.DataFrame({"id": b["id"], "cluster_id": (_nearest_centres(x, chosen.value)[0] if len(b) else np.zeros(0)).astype(np.int32)})
+
+    return rows.mapInPandas(label, "id long, cluster_id int").withColumnRenamed("id", id_name)
 
 
 def plane(df: DataFrame, id_name: str, vec: str) -> DataFrame:

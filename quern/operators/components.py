@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.shared import cut
+from quern.shared import cut, forget
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -29,6 +29,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         linked = large.join(low, "u")
         small = cut(linked.select(F.col("v").alias("u"), F.col("m").alias("v")).union(linked.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "small")
         same = small.exceptAll(e).isEmpty() and e.exceptAll(small).isEmpty()
+        forget(e, large)
         e = small
         if same:
             break

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.similarity import common_subsequences, indel_similarity
 from quern.functions.text import normalized
-from quern.shared import cut
+from quern.shared import cut, forget
 
 
 def exact(df: DataFrame, order: str, text: str, normalize: bool = True) -> DataFrame:
@@ -45,8 +45,10 @@ def survivors_of(nodes: DataFrame, before: DataFrame, blocked: DataFrame | None
         told = before.join(state.select(F.col("node").alias("first"), F.col("alive").alias("first_alive")), "first")
         votes = told.groupBy(F.col("then").alias("node")).agg(F.bool_or(F.coalesce("first_alive", F.lit(False))).alias("loses"), F.bool_or(F.col("first_alive").isNull()).alias("open"))
         decided = F.when(F.col("alive").isNotNull(), F.col("alive")).when(F.coalesce("loses", F.lit(False)), False).when(~F.coalesce("open", F.lit(False)), True)
-        state = cut(state.join(votes, "node", "left").select("node", decided.alias("alive")), "state")
+        old, state = state, cut(state.join(votes, "node", "left").select("node", decided.alias("alive")), "state")
+        forget(old)
         if state.where("alive is null").isEmpty():
+            forget(before)
             return state.where("alive").select("node")
 
 

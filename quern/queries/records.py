@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +27,7 @@ def structural_reasons(spark, folder):
 
 def structural_split(spark, folder):
     valid, discarded = validation.by_reason(_raw(spark, folder), validation.structural_reason())
-    kind = F.substring_index("discard_reason", ":", 1).alias("kind")
-    return valid.groupBy(F.lit("valid").alias("kind")).agg(F.count(F.lit(1)).alias("items")).union(discarded.groupBy(kind).agg(F.count(F.lit(1)).alias("items")))
+    return valid.select("item_seq", F.lit(None).cast("string").alias("discard_reason")).union(discarded.select("item_seq", "discard_reason")).select("item_seq", F.coalesce(F.substring_index("discard_reason", ":", 1), F.lit("valid")).alias("kind"))
 
 
 def dialect_markers(spark, folder):
@@ -86,11 +88,17 @@ def normalized_questions(spark, folder):
 
 def generated_items(spark, folder):
     def provider() -> providers.Stub:
-        answer = lambda m: "[]" if m.startswith("followup 2") else '[{"question": "' + m.split("|")[1] + '", "answer": "A"}]'
+        # the first question, then another one twice, of which the second time is a repeat; then nothing
+        def answer(m: str) -> str:
+            kind, chunk = m.split("|", 1)
+            said = hashlib.md5(f"{'1' if kind == 'initial 0' else '2'}{chunk}".encode()).hexdigest()
+            return "[]" if kind == "followup 9" else json.dumps([{"question": said, "answer": "A"}])
+
         return providers.Stub(answers=[(".", answer)])
 
     chunks = table(spark, folder, "chunks").select("chunk_id", "source_file", "section_hierarchy", "chunk_text").dropDuplicates(["chunk_id"])
-    return providers.generated(chunks, provider, lambda c, kind, so_far: f"{kind} {len(so_far)}|{'first ' if kind == 'initial' else 'quite another '}{c['chunk_id']}").select("chunk_id", "item", "total_iterations", "total_questions")
+    made = providers.generated(chunks, provider, lambda c, kind, so_far: f"{kind} {len(so_far)}|{c['chunk_id']}")
+    return made.select("chunk_id", "place", "item", "generation_model", "total_iterations", "total_questions")
 
 
 def judged_records(spark, folder):
@@ -141,7 +149,7 @@ def stratified_split(spark, folder):
 
 def train_remainder(spark, folder):
     train, evaluation = sampling.split(table(spark, folder, "train_split"), "train_id", "difficulty")
-    return train.select("train_id", F.lit("train").alias("split")).union(evaluation.select("train_id", F.lit("eval").alias("split"))).groupBy("split").agg(F.count(F.lit(1)).alias("items"))
+    return train.select("train_id", F.lit("train").alias("split")).union(evaluation.select("train_id", F.lit("eval").alias("split")))
 
 
 def eval_mirror(spark, folder):
@@ -153,7 +161,7 @@ def eval_mirror(spark, folder):
 def final_train(spark, folder):
     m = table(spark, folder, "mirror_split").withColumnRenamed("eval_id", "train_id")
     out = sampling.final_train(table(spark, folder, "train_split").drop("is_eval_mirror"), m)
-    return out.groupBy("is_eval_mirror").agg(F.count(F.lit(1)).alias("items"), F.countDistinct("train_id").alias("ids"))
+    return out.select("train_id", "is_eval_mirror", F.md5("question").alias("question"), F.md5("answer").alias("answer"))
 
 
 _BAD = "concat_ws(', ', CASE WHEN answer IS NULL THEN 'answer' END, CASE WHEN category IS NULL THEN 'category' END, CASE WHEN difficulty IS NULL THEN 'difficulty' END, CASE WHEN evaluation_criteria IS NULL THEN 'evaluation_criteria' END, CASE WHEN question IS NULL THEN 'question' END)"
@@ -196,7 +204,7 @@ QUERIES = {
 }
 SQL = {
     "structural_reasons": f"SELECT item_seq, {_REASON} AS discard_reason FROM qa_raw",
-    "structural_split": f"SELECT CASE WHEN r IS NULL THEN 'valid' ELSE split_part(r, ':', 1) END AS kind, count(*) AS items FROM (SELECT {_REASON} AS r FROM qa_raw) GROUP BY 1",
+    "structural_split": f"SELECT item_seq, CASE WHEN r IS NULL THEN 'valid' ELSE split_part(r, ':', 1) END AS kind FROM (SELECT item_seq, {_REASON} AS r FROM qa_raw)",
     "dialect_markers": f"WITH m AS (SELECT item_seq, {_marks('question', validation.MARKERS)} AS q, {_marks('answer', validation.MARKERS)} AS a, {_marks('answer', validation.FORMAL)} AS f FROM qa_raw) SELECT item_seq, CAST(q + a AS INT) AS dialect_marker_count, f > 3 AND q >= 1 AND a >= 2 AS msa_flagged, CASE WHEN q < 1 OR a < 2 THEN 'insufficient_dialect_markers: q=' || q || '<1 or a=' || a || '<2' END AS dialect_reason FROM m",
     "grounding_actions": "SELECT grounding_classification, CASE WHEN grounding_classification = 'not_supported' THEN 'discard' ELSE 'keep' END AS action, count(*) AS items FROM eval_split GROUP BY 1, 2",
     "exact_duplicates": f"SELECT item_seq, min(item_seq) OVER (PARTITION BY {_NORMAL}) AS first_item FROM qa_raw",
@@ -208,6 +216,8 @@ SELECT 0 AS step_no, 'input' AS step, n AS remaining, CAST(0 AS BIGINT) AS disca
     "repaired_replies": "SELECT item_seq, question, answer FROM qa_raw",
     "event_verdicts": "SELECT coalesce(CAST(json_extract_string(props, '$.k') AS VARCHAR), 'none') AS verdict, event_type, count(*) AS events FROM events GROUP BY 1, 2",
     "normalized_questions": f"SELECT item_seq, md5({_NORMAL}) AS digest FROM qa_raw",
+    "generated_items": """WITH c AS (SELECT DISTINCT chunk_id FROM chunks), p AS (SELECT unnest([0, 1]) AS place)
+SELECT chunk_id, CAST(place AS INT) AS place, '{"question": "' || md5((place + 1) || chunk_id) || '", "answer": "A"}' AS item, 'stub-1' AS generation_model, CAST(4 AS INT) AS total_iterations, CAST(2 AS INT) AS total_questions FROM c, p""",
     "judged_records": "SELECT item_seq, CASE WHEN contains(concat_ws(chr(10), question, answer), 'SCADA') THEN 'not_supported' ELSE 'fully_supported' END AS classification, CAST(floor(length(concat_ws(chr(10), question, answer)) / 3.5) AS INT) AS prompt_tokens FROM qa_raw",
     "usage_report": """SELECT generation_model AS model, count(*) AS calls, CAST(sum(length(context)) AS BIGINT) AS prompt_tokens, CAST(sum(length(answer)) AS BIGINT) AS completion_tokens,
 round((sum(length(context)) * CASE WHEN contains(coalesce(generation_model, ''), 'flash-lite') THEN 0.1::DOUBLE WHEN contains(coalesce(generation_model, ''), 'flash') THEN 0.3::DOUBLE WHEN contains(coalesce(generation_model, ''), 'pro') THEN 1.25::DOUBLE ELSE 0.25::DOUBLE END
@@ -223,7 +233,7 @@ SELECT t + e AS total_items, t AS train_items, e AS eval_items, m AS eval_mirror
     "sampled_items": "SELECT item_seq FROM qa_raw QUALIFY row_number() OVER (ORDER BY md5('42:' || CAST(item_seq AS VARCHAR)), item_seq) <= greatest(1, (SELECT count(*) FROM qa_raw) * 15 // 100)",
     "allocations": f"WITH {_ALLOCATED} SELECT cluster_id, size, allocated FROM n",
     "stratified_split": f"WITH {_PICKED} SELECT train_id FROM u WHERE k <= allocated",
-    "train_remainder": f"WITH {_PICKED} SELECT CASE WHEN k <= allocated THEN 'eval' ELSE 'train' END AS split, count(*) AS items FROM u GROUP BY 1",
+    "train_remainder": f"WITH {_PICKED} SELECT train_id, CASE WHEN k <= allocated THEN 'eval' ELSE 'train' END AS split FROM u",
     "eval_mirror": "SELECT eval_id, md5(original_question) AS q, md5(question) AS rq, md5(answer) AS ra FROM eval_split",
-    "final_train": "SELECT false AS is_eval_mirror, count(*) AS items, count(DISTINCT train_id) AS ids FROM train_split UNION ALL SELECT true, count(*), count(DISTINCT eval_id) FROM mirror_split",
+    "final_train": "SELECT train_id, false AS is_eval_mirror, md5(question) AS question, md5(answer) AS answer FROM train_split UNION ALL SELECT eval_id, true, md5(question), md5(answer) FROM mirror_split",
 }

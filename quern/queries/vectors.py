@@ -17,7 +17,8 @@ def _rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def unit_vectors(spark, folder):
     v = table(spark, folder, "embeddings")
-    return v.select("vec_id", F.round(V.norm(V.unit(F.transform("embedding", lambda x: (x * 3).cast("float")))), 3).alias("norm"))
+    unit = V.unit(F.transform("embedding", lambda x: (x * 3).cast("float")))
+    return v.select("vec_id", F.round(V.norm(unit), 3).alias("norm"), *[F.round(unit[i].cast("double"), 3).alias(f"x{i}") for i in (0, 31, 63)])
 
 
 def neighbours_of_queries(spark, folder):
@@ -52,7 +53,7 @@ def density_clusters(spark, folder):
 
 
 def kmeans_clusters(spark, folder):
-    return clustering.kmeans(_rows(spark, folder), "vec_id", "vec", most=12)
+    return clustering.kmeans(_rows(spark, folder), "vec_id", "vec")
 
 
 def plane_coordinates(spark, folder):
@@ -71,9 +72,19 @@ def label_numbers(spark, folder):
 _DOT = "list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[]))"
 QUERIES = {f.__name__: f for f in (unit_vectors, neighbours_of_queries, similar_pairs, semantic_duplicates, similarity_components, noise_assigned, density_clusters, kmeans_clusters, plane_coordinates, similarity_histogram, label_numbers)}
 SQL = {
-    "unit_vectors": "SELECT vec_id, CASE WHEN list_sum(list_transform(embedding, lambda x: abs(x))) = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS norm FROM embeddings",
+    "unit_vectors": """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: 3 * CAST(x AS DOUBLE)) AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM e),
+u AS (SELECT vec_id, list_transform(v, lambda x: CASE WHEN n = 0 THEN 0 ELSE x / n END) AS u FROM n)
+SELECT vec_id, round(sqrt(list_sum(list_transform(u, lambda x: x * x))), 3) AS norm, round(u[1], 3) AS x0, round(u[32], 3) AS x31, round(u[64], 3) AS x63 FROM u""",
     "neighbours_of_queries": f"SELECT q.vec_id AS query, d.vec_id AS neighbour, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY {_DOT} DESC, d.vec_id) AS INT) AS rank FROM embeddings q, embeddings d WHERE q.vec_id % 20 = 0 QUALIFY rank <= 20",
     "similar_pairs": f"SELECT q.vec_id AS i, d.vec_id AS j, round({_DOT}, 6) AS score FROM embeddings q JOIN embeddings d ON q.vec_id < d.vec_id WHERE {_DOT} >= 0.4",
+    "semantic_duplicates": f"""WITH RECURSIVE s AS (SELECT q.vec_id AS i, d.vec_id AS j, {_DOT} AS score FROM embeddings q JOIN embeddings d ON {_DOT} >= 0.4),
+k AS (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rank FROM s),
+n AS (SELECT row_number() OVER (ORDER BY i) AS k, i, any_value(a.label) AS wi, list({{'j': j, 'w': b.label}}) AS nb FROM k JOIN embeddings a ON a.vec_id = i JOIN embeddings b ON b.vec_id = j WHERE rank > 1 AND rank <= 20 AND i <> j GROUP BY i),
+r AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS gone UNION ALL
+SELECT n.k, CASE WHEN list_contains(r.gone, n.i) THEN r.gone ELSE list_concat(list_concat(r.gone, list_transform(list_filter(n.nb, lambda x: NOT list_contains(r.gone, x.j) AND n.wi >= x.w), lambda x: x.j)), CASE WHEN len(list_filter(n.nb, lambda x: NOT list_contains(r.gone, x.j) AND n.wi < x.w)) > 0 THEN [n.i] ELSE CAST([] AS BIGINT[]) END) END FROM r JOIN n ON n.k = r.k + 1)
+SELECT DISTINCT unnest(gone) AS vec_id FROM r WHERE k = (SELECT max(k) FROM r)""",
+    "similarity_components": f"""WITH RECURSIVE p AS (SELECT q.vec_id AS i, d.vec_id AS j FROM embeddings q JOIN embeddings d ON q.vec_id <> d.vec_id WHERE {_DOT} >= 0.4),
+r AS (SELECT DISTINCT i AS node, i AS seen FROM p UNION SELECT r.node, p.j FROM r JOIN p ON r.seen = p.i) SELECT node, min(seen) AS component FROM r GROUP BY node""",
     "noise_assigned": f"""WITH n AS (SELECT q.vec_id, arg_min(d.label, {{'d': list_distance(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])), 'i': d.vec_id}}) AS l FROM embeddings q, embeddings d WHERE q.label = 0 AND d.label <> 0 GROUP BY 1)
 SELECT vec_id, CAST(coalesce(n.l, e.label) AS INT) AS cluster_id FROM embeddings e LEFT JOIN n USING (vec_id)""",
     "similarity_histogram": f"SELECT CAST(least(19, greatest(0, floor(({_DOT} + 1) / 2 * 20))) AS INT) AS bin, count(*) AS count FROM embeddings q, embeddings d WHERE q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id GROUP BY 1",

@@ -37,7 +37,17 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quern_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Removes tables that were cut and that nothing reads any more, such as those of earlier rounds."""
+    for df in tables:
+        if path := getattr(df, "_quern_path", None):
+            p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def ship(spark: SparkSession) -> None:

@@ -35,7 +35,7 @@ def test_matches_duckdb(spark, duck, name):
     assert _rows(got) == _rows(want)
 
 
-@pytest.mark.parametrize("name", sorted({*CORE.QUERIES} - {*CORE.SQL} - {"kmeans_clusters"}))
+@pytest.mark.parametrize("name", sorted({*CORE.QUERIES} - {*CORE.SQL}))
 def test_runs(spark, name):
     assert CORE.QUERIES[name](spark, FOLDER).count() >= 0
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.functions import replies
-from quern.functions.similarity import common_subsequence, indel_ratio
+from quern.functions.similarity import common_subsequence, common_subsequences, indel_ratio
 from quern.operators import chunking, clustering, components, dedup, lines, neighbours, sampling, sentences
 
 
@@ -236,6 +236,23 @@ def test_density():
     assert (labels[180:] == -1).mean() > 0.5 and set(clustering.density_labels(x[:5])) == {-1}
 
 
+def test_kmeans(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(5, 6)) * 20
+    x = np.concatenate([c + rng.normal(size=(30, 6)) for c in centres])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>").repartition(3)
+    got = {r["id"]: r["cluster_id"] for r in clustering.kmeans(df, "id", "vec", most=8, starts=4).collect()}
+    assert len(got) == 150 and len(set(got.values())) == 5 and all(len({got[30 * k + i] for i in range(30)}) == 1 for k in range(5))
+    assert {r["cluster_id"] for r in clustering.kmeans(df.limit(2), "id", "vec").collect()} == {0} and clustering.kmeans(df.limit(0), "id", "vec").count() == 0
+
+
+def test_common_subsequences_of_many_pairs():
+    rng = random.Random(6)
+    left, right = (["".join(rng.choice("abcde ف") for _ in range(rng.choice([0, 1, 63, 64, 65, 130, 200, 520]))) for _ in range(24)] for _ in range(2))
+    i, j = (a.ravel() for a in np.meshgrid(np.arange(24), np.arange(24)))
+    assert common_subsequences(left, right, i, j, step=50).tolist() == [common_subsequence(left[a], right[b]) for a, b in zip(i, j)]
+
+
 def test_allocations(spark):
     sizes = spark.createDataFrame([(0, 1), (1, 2), (2, 97)], "cluster_id int, size long")
     assert {r["cluster_id"]: r["allocated"] for r in sampling.allocations(sizes).collect()} == {0: 2, 1: 2, 2: 9}

@@ -1,6 +1,6 @@
 import os
 
-from quern.shared import _own_folder, clear, cut, ship
+from quern.shared import _own_folder, clear, cut, forget, ship
 
 
 def test_cut_and_clear(spark):
@@ -16,3 +16,9 @@ def test_ship_once(spark):
     ship(spark)
     ship(spark)
     assert spark.sparkContext._quern_shipped
+
+
+def test_forget(spark):
+    df, other = cut(spark.range(3), "gone"), cut(spark.range(4), "kept")
+    forget(df, spark.range(1))
+    assert other.count() == 4 and not os.path.exists(df._quern_path.removeprefix("file:"))
