@@ -94,6 +94,7 @@ _SUSPECTS = {*SINGLES, *MARKS, *CYRILLIC, *GREEK, *LATIN_EXTRA, *ARABIC}
 SUSPECT = re.compile(f"[{_class(_SUSPECTS)}]")
 #: Characters outside a few ranges without suspects: a cheap first test, here and inside Spark.
 UNUSUAL = "[^\\x00-\\x7f،؛؟ء-غف-ي٠-٩]"
+_UNUSUAL = re.compile(UNUSUAL)
 _USUAL = frozenset(c for c in map(chr, range(0x700)) if not re.match(UNUSUAL, c))
 if _USUAL & (_SUSPECTS - {";"}):
     raise ValueError("a suspect character is taken for usual")
@@ -182,14 +183,14 @@ def _word(word: str, around: _Around) -> str:
 
 def normalize(text: str | None) -> str | None:
     """The text in the one form; null for null."""
-    if text is None or text.isascii() or _USUAL.issuperset(text) or not SUSPECT.search(text):
+    if text is None or text.isascii() or not _UNUSUAL.search(text) or not SUSPECT.search(text):
         return text
     return _pass(text)[0]
 
 
 def changes(text: str | None) -> bool:
     """Whether the text holds a case of problem 3; false for null."""
-    return text is not None and not text.isascii() and not _USUAL.issuperset(text) and bool(SUSPECT.search(text)) and _pass(text)[1]
+    return text is not None and not text.isascii() and bool(_UNUSUAL.search(text)) and bool(SUSPECT.search(text)) and _pass(text)[1]
 
 
 def _pass(text: str) -> tuple[str, bool]:
@@ -238,7 +239,7 @@ _ASCII_WORDS = re.compile(r"[a-z0-9]+")
 
 def folded(text: str) -> str:
     """One form, case folded, without combining marks."""
-    if _USUAL.issuperset(text):
+    if not _UNUSUAL.search(text):
         return _COMMON_MARKS.sub("", ud.normalize("NFD", text.casefold()))
     return _MARK_CLASS.sub("", ud.normalize("NFD", normalize(text).casefold()))
 

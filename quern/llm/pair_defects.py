@@ -83,6 +83,8 @@ def is_empty(text: str | None) -> bool:
     """Whether a text has no content; true for null."""
     if text is None:
         return True
+    if len(text) > 60 and _WORD.search(text):
+        return False
     w = _WORD.findall(text)
     return not w or len(w) <= 3 and " ".join(w).casefold() in NOTHING
 
@@ -91,40 +93,60 @@ def is_empty(text: str | None) -> bool:
 _HAVE: dict[str, tuple[str, ...]] = {w: tuple(k for k, v in _FUNCTION.items() if w in v) for v in _FUNCTION.values() for w in v}
 
 
-def language(text: str) -> str:
-    """ar, an eastern language in Arabic letters, a language in Latin letters, another script, or nothing."""
-    lat = sum(map(len, _LATIN.findall(text)))
-    a = o = e = 0
-    if not text.isascii():
-        a, o = sum(map(len, _ARABIC.findall(text))), sum(map(len, _OTHER.findall(text)))
-        e = sum(map(len, _EASTERN.findall(text))) if a or not lat else 0
-    if a + e + lat + o < 4:
-        return ""
-    if o > max(a + e, lat):
-        return "other"
-    if a + e > lat:
+def language(text: str, words: list[str] | None = None) -> str:
+    """ar, an eastern language in Arabic letters, a language in Latin letters, another script, or nothing; words: those
+    of the text in lower case, where they are known."""
+    words = _WORD.findall(text.lower()) if words is None else words
+    if text.isascii():
+        words = [x for x in words if x[0] > "9"]
+        if sum(map(len, words)) < 4:
+            return ""
+    else:
+        a = sum(map(len, _ARABIC.findall(text)))
+        e = sum(map(len, _EASTERN.findall(text))) if a else 0
+        if a < 4 or 4 * a < 3 * sum(map(len, words)):  # not clearly Arabic letters
+            lat, o = sum(map(len, _LATIN.findall(text))), sum(map(len, _OTHER.findall(text)))
+            if not a and not lat:
+                e = sum(map(len, _EASTERN.findall(text)))
+            if a + e + lat + o < 4:
+                return ""
+            if o > max(a + e, lat):
+                return "other"
+            if a + e <= lat:
+                return _latin_language([x for x in words if not x[0].isdigit()])
         return "eastern" if e > 0.08 * (a + e) else "ar"
-    w = [x for x in _WORD.findall(text.lower()) if not x[0].isdigit()]
+    return _latin_language(words)
+
+
+def _latin_language(words: list[str]) -> str:
     score = dict.fromkeys(_FUNCTION, 0)
-    for x in w:
-        for k in _HAVE.get(x, ()):
-            score[k] += 1
+    for x in words:
+        if x in _HAVE:
+            for k in _HAVE[x]:
+                score[k] += 1
     best = max(score, key=score.get)
     if score["en"] >= score[best]:
-        return "en" if score["en"] > 0 or len(w) < 6 else "latin"
+        return "en" if score["en"] > 0 or len(words) < 6 else "latin"
     return best
 
 
-_word_ids: dict[str, int] = {}
+class _Remembered(dict):
+    """Numbers of words, remembered within bounds."""
+
+    def __init__(self, number) -> None:
+        super().__init__()
+        self.number = number
+
+    def __missing__(self, x: str) -> int:
+        if len(self) > _REMEMBERED:
+            self.clear()
+        h = self[x] = self.number(x)
+        return h
 
 
-def _word_id(w: str) -> int:
-    h = _word_ids.get(w)
-    if h is None:
-        if len(_word_ids) > _REMEMBERED:
-            _word_ids.clear()
-        h = _word_ids[w] = zlib.crc32((w if not w[0].isdigit() else _DIGITS.sub("0", w)).encode()) | 1 << 32
-    return h
+#: Words or tokens a worker remembers.
+_REMEMBERED = 300_000
+_word_ids = _Remembered(lambda w: zlib.crc32((w if not w[0].isdigit() else _DIGITS.sub("0", w)).encode()) | 1 << 32)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -145,23 +167,12 @@ DENSE = 31
 
 #: Contexts of an ending, the most telling first, and those of its last two tokens alone; bits of the map of contexts.
 LEVELS, CONTEXTS, MAP = 4, 6, 1 << 24
-#: Tokens a worker remembers.
-_REMEMBERED = 300_000
-_token_ids: dict[str, int] = {}
-
-
-def _token_id(x: str) -> int:
-    h = _token_ids.get(x)
-    if h is None:
-        if len(_token_ids) > _REMEMBERED:
-            _token_ids.clear()
-        h = _token_ids[x] = (xxhash.xxh3_64_intdigest(_DIGITS.sub("0", x)) | 2) & ~1 if x not in _STOPS else 1
-    return h
+_token_ids = _Remembered(lambda x: (xxhash.xxh3_64_intdigest(_DIGITS.sub("0", x)) | 2) & ~1 if x not in _STOPS else 1)
 
 
 def _ids(text: str) -> list[int]:
     """The tokens of a text as numbers; 1 for a mark that closes a sentence."""
-    return [_token_id(x) for x in _END_TOKEN.findall(text.lower())]
+    return [_token_ids[x] for x in _END_TOKEN.findall(text.lower())]
 
 
 def _keys(h1: np.ndarray, h2: np.ndarray, t2: np.ndarray, t1: np.ndarray, t0: np.ndarray) -> np.ndarray:
@@ -249,9 +260,9 @@ def ending_features(runs: np.ndarray, ends: np.ndarray, own: np.ndarray, at_end:
 def _pair(qlang: str, qset: set[str], text: str, words: list[str], ending: list[float]) -> list[float]:
     """Features of the pair, besides the n-grams; ending: see `ending_features`."""
     own = set(words)
-    extra = sum(w not in qset for w in words)
+    extra = len([1 for w in words if w not in qset])
     both = len(own & qset)
-    lang = language(text)
+    lang = language(text, words)
     tail = text[-1:] if text else " "
     n = len(words)
     open_ = text.count("(") > text.count(")")
@@ -274,9 +285,10 @@ def featurize(questions: list[str], texts: list[str], tag: int, endings: np.ndar
     for q, t, own in zip(questions, texts, endings.tolist()):
         t = t.rstrip()
         if q not in asked:
-            asked[q] = language(q), set(_WORD.findall(q.lower()))
+            qw = _WORD.findall(q.lower())
+            asked[q] = language(q, qw), set(qw)
         w = _WORD.findall(t.lower())
-        flat += [_word_id(x) for x in w]
+        flat += [_word_ids[x] for x in w]
         lens.append(len(w))
         dense.append(_pair(*asked[q], t, w, own))
         # the ending, without a closing full stop, as tokens with signs
