@@ -74,7 +74,7 @@ QUERIES = {f.__name__: f for f in (unit_vectors, neighbours_of_queries, similar_
 SQL = {
     "unit_vectors": """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: 3 * CAST(x AS DOUBLE)) AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM e),
 u AS (SELECT vec_id, list_transform(v, lambda x: CASE WHEN n = 0 THEN 0 ELSE x / n END) AS u FROM n)
-SELECT vec_id, round(sqrt(list_sum(list_transform(u, lambda x: x * x))), 3) AS norm, round(u[1], 3) AS x0, round(u[32], 3) AS x31, round(u[64], 3) AS x63 FROM u""",
+SELECT vec_id, round(sqrt(list_sum(list_transform(u, lambda x: x * x))), 3) AS norm, round(u[1], 3) + 0.0 AS x0, round(u[32], 3) + 0.0 AS x31, round(u[64], 3) + 0.0 AS x63 FROM u""",
     "neighbours_of_queries": f"SELECT q.vec_id AS query, d.vec_id AS neighbour, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY {_DOT} DESC, d.vec_id) AS INT) AS rank FROM embeddings q, embeddings d WHERE q.vec_id % 20 = 0 QUALIFY rank <= 20",
     "similar_pairs": f"SELECT q.vec_id AS i, d.vec_id AS j, round({_DOT}, 6) AS score FROM embeddings q JOIN embeddings d ON q.vec_id < d.vec_id WHERE {_DOT} >= 0.4",
     "semantic_duplicates": f"""WITH RECURSIVE s AS (SELECT q.vec_id AS i, d.vec_id AS j, {_DOT} AS score FROM embeddings q JOIN embeddings d ON {_DOT} >= 0.4),
