@@ -28,7 +28,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from quern.llm.lookalike import words
 from quern.operators.components import connected_components
@@ -134,19 +133,13 @@ def similar_classes(df: DataFrame, key: str, columns: list[str], threshold: floa
     narrow = df.select(F.col(key).cast("long").alias("id"), text.alias("text")).where("id is not null")
     table = cut(narrow.mapInPandas(lambda it: _sets(it, least_words), "id long, class long, words array<long>, p long, q long"), "sets")
     sets = table.where("words is not null").select("class", "words", "p", "q")
-    w = W.partitionBy("bucket")
-    buckets = (
-        sets.select("class", F.explode(_bands("words")).alias("bucket"))
-        .withColumns({"lo": F.min("class").over(w), "hi": F.max("class").over(w)})
-        .where("lo < hi").select("bucket", "class").distinct()
-    )
-    buckets = cut(buckets, "buckets")
+    # one shuffle serves both sides of the join, which AQE splits where a bucket is hot
+    buckets = sets.select("class", F.explode(_bands("words")).alias("bucket"))
     pairs = (
         buckets.alias("x").join(buckets.alias("y"), F.expr("x.bucket = y.bucket and x.class < y.class"))
         .select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
     )
-    met = sets.join(buckets.select("class").distinct(), "class", "left_semi")
-    sketch = met.select("class", F.size("words").alias("n"), "p", "q").distinct()
+    sketch = sets.select("class", F.size("words").alias("n"), "p", "q").distinct()
     side = lambda s: sketch.select(*[F.col(c).alias(s if c == "class" else f"{c}{s}") for c in sketch.columns])
     differ = F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) + F.bit_count(F.col("qa").bitwiseXOR(F.col("qb")))
     near = differ <= (F.col("na") + F.col("nb")) * ((1 - threshold) / (1 + threshold)) + 1e-6
