@@ -360,3 +360,40 @@ def test_nested_markup():
     assert "| a | b |\n| c | d |" in markup.clean(nested) and markup.clean(nested).endswith("x")
     assert markup.clean("{{a|{{b|{{c|{{d|{{e|deep}}}}}}}}}}") == "deep"
     assert markup.kinds("<div class='menu'>[[a]] text</div>", frozenset({"div.menu"})) == ["html"]
+
+
+def test_contexts_are_counted_as_they_stand():
+    rng = random.Random(13)
+    texts = []
+    for _ in range(60):
+        words = [rng.choice("abcdefg") for _ in range(rng.randint(1, 14))]
+        texts.append(" ".join(w + rng.choice(["", "", "", "."]) for w in words))
+    runs, ends = {}, {}
+    for t in texts:
+        x = pair_defects._ids(t)
+        for i, h in enumerate(x):
+            last = i + 1 == len(x)
+            if h == 1 or last and 1 in x:
+                continue
+            before = 0 if i == 0 or x[i - 1] == 1 else x[i - 1]
+            runs[before, h] = runs.get((before, h), 0) + 1
+            ends[before, h] = ends.get((before, h), 0) + (last or x[i + 1] == 1)
+    keys, got, closing = pair_defects._counted(texts, np.full(pair_defects.MAP // 64, ~np.uint64(0)))
+    sums = pair_defects.Sums(keys, got, closing)
+    pairs = np.array([*runs], dtype=np.uint64)
+    none = np.zeros(len(pairs), np.uint64)
+    of = pair_defects._keys(none, none, none, pairs[:, 0], pairs[:, 1])[:, 3]
+    assert sums.of(of)[0].tolist() == [*runs.values()] and sums.of(of)[1].tolist() == [*ends.values()]
+
+
+def test_defects_of_a_table_where_copies_are_a_third(spark):
+    rng = random.Random(14)
+    nouns, acts = ["the meter", "the fuse", "the cabinet", "the relay", "the panel"], ["inspect", "replace", "record", "seal", "clean"]
+    whole = lambda: " ".join(f"The tenant should {rng.choice(acts)} {rng.choice(nouns)} and {rng.choice(acts)} {rng.choice(nouns)} before the summer peak." for _ in range(2))
+    rows = [(i, f"When may the tenant {rng.choice(acts)} {rng.choice(nouns)}?", whole()) for i in range(400)]
+    cut_short = whole()[:-14]  # the same text, cut inside a sentence, delivered again and again
+    rows += [(1000 + i, "When may the tenant seal the fuse?", cut_short) for i in range(200)]
+    rows += [(2000, "When may the tenant seal the fuse?", None), (2001, "When may the tenant seal the fuse?", "I cannot answer questions concerning the fuse. Ask the office instead.")]
+    df = spark.createDataFrame(rows, "id long, q string, a string")
+    found = {(r["id"], r["defect"]) for r in pair_defects.flag(df, "id", "q", ["a"]).collect()}
+    assert {(1000 + i, "truncated") for i in range(200)} | {(2000, "empty"), (2001, "refusal")} <= found and len(found) <= 210
