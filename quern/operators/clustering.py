@@ -264,10 +264,69 @@ def kmeans(df: DataFrame, id_name: str, vec: str, least: int = 3, most: int = 30
 
 
 def plane(df: DataFrame, id_name: str, vec: str) -> DataFrame:
-    """(id, x, y): the two principal components, for drawing.  (No neighbour embedding such as t-SNE is built in.)"""
+    """(id, x, y): the two principal components, for drawing any number of points."""
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     rows = df.select(id_name, array_to_vector(F.transform(vec, lambda x: x.cast("double"))).alias("features"))
     xy = vector_to_array("p")
     return PCA(k=2, inputCol="features", outputCol="p").fit(rows).transform(rows).select(id_name, xy[0].alias("x"), xy[1].alias("y"))
+
+
+#: Points that the neighbour embedding takes; it holds the distances of all pairs in one task.
+MOST_DRAWN = 5_000
+
+
+def neighbour_coordinates(x: np.ndarray, perplexity: float = 30.0, turns: int = 500, seed: int = 42) -> np.ndarray:
+    """Two coordinates of each row by t-distributed stochastic neighbour embedding (van der Maaten and Hinton, 2008).
+
+    Widths are found by bisection so that each row's neighbours have the perplexity (of at most n - 1); descent with
+    momentum and gains from principal components, with exaggeration in the first fifth of the turns.
+    """
+    n = len(x)
+    if n < 3:
+        return np.zeros((n, 2))
+    d = np.maximum((x**2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * x @ x.T, 0.0)
+    goal = np.log(min(perplexity, (n - 1) / 1.5))
+    low, high, beta = np.zeros(n), np.full(n, np.inf), np.ones(n)
+    for _ in range(60):
+        p = np.exp(-(d - np.sort(d, axis=1)[:, 1:2]) * beta[:, None])
+        np.fill_diagonal(p, 0.0)
+        total = np.maximum(p.sum(1), 1e-300)
+        p /= total[:, None]
+        entropy = -(p * np.log(np.maximum(p, 1e-300))).sum(1)
+        flat = entropy > goal
+        low, high = np.where(flat, beta, low), np.where(flat, high, beta)
+        beta = np.where(np.isinf(high), beta * 2, (low + high) / 2)
+    p = np.maximum((p + p.T) / (2 * n), 1e-12)
+    centred = x - x.mean(0)
+    axes = np.linalg.svd(centred, full_matrices=False)[2][:2]
+    rng = np.random.default_rng(seed)
+    y = centred @ axes.T
+    y = np.pad(y, ((0, 0), (0, 2 - y.shape[1])))
+    y = y / (y[:, 0].std() + 1e-12) * 1e-4 + rng.normal(size=(n, 2)) * 1e-6
+    step, gains, rate = np.zeros_like(y), np.ones_like(y), max(n / 48.0, 50.0)
+    for turn in range(turns):
+        near = 1 / (1 + np.maximum((y**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * y @ y.T, 0.0))
+        np.fill_diagonal(near, 0.0)
+        pull = (p * (12.0 if turn < turns // 5 else 1.0) - near / near.sum()) * near
+        gradient = 4 * (pull.sum(1)[:, None] * y - pull @ y)
+        gains = np.maximum(np.where(np.sign(gradient) == np.sign(step), gains * 0.8, gains + 0.2), 0.01)
+        step = (0.5 if turn < turns // 5 else 0.8) * step - rate * gains * gradient
+        y = y + step
+        y -= y.mean(0)
+    return y
+
+
+def neighbour_map(df: DataFrame, id_name: str, vec: str, perplexity: float = 30.0, seed: int = 42) -> DataFrame:
+    """(id, x, y) by `neighbour_coordinates`, for drawing; more than MOST_DRAWN points are an error: use `plane`."""
+    rows = df.select(F.col(id_name).cast("long").alias("id"), F.col(vec).alias("vec")).where("id is not null and vec is not null")
+    if rows.limit(MOST_DRAWN + 1).count() > MOST_DRAWN:
+        raise ValueError(f"the neighbour embedding takes at most {MOST_DRAWN} points; use plane")
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id")
+        xy = neighbour_coordinates(np.array([np.asarray(v, np.float64) for v in part["vec"]]), perplexity, seed=seed)
+        return pd.DataFrame({"id": part["id"], "x": xy[:, 0], "y": xy[:, 1]})
+
+    return rows.withColumn("one", F.lit("")).groupBy("one").applyInPandas(run, "id long, x double, y double").withColumnRenamed("id", id_name)

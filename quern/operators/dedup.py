@@ -181,15 +181,16 @@ def ranked_edges(similar: DataFrame, most: int = 20) -> DataFrame:
     return similar.withColumn("rank", F.row_number().over(w)).where((F.col("rank") > 1) & (F.col("rank") <= most) & (F.col("i") != F.col("j"))).select("i", "j")
 
 
-def in_loop(df: DataFrame, group: str, order: str, text: str, threshold: float = 0.8) -> DataFrame:
+def in_loop(df: DataFrame, group: str, order: str, text: str, threshold: float = 0.8, initial: str | None = None) -> DataFrame:
     """With `repeats`: whether an earlier kept record of the same group is more similar than `threshold`.
 
-    Groups are the questions of one chunk, which the generation bounds; a record is kept unless a kept one stands
+    Records whose column `initial` is true are a group's first batch, which is kept whole.  Groups are the questions of one chunk, which the generation bounds; a record is kept unless a kept one stands
     before it, which `survivors_of` decides without collecting a group.
     """
-    rows = df.select(F.col(group).alias("g"), F.col(order).alias("id"), F.col(text).alias("text"))
+    first = F.coalesce(F.col(initial), F.lit(False)) if initial else F.lit(False)
+    rows = df.select(F.col(group).alias("g"), F.col(order).alias("id"), F.col(text).alias("text"), first.alias("initial"))
     x, y = rows.alias("x"), rows.alias("y")
     fits = F.expr(f"2 * least(length(x.text), length(y.text)) > {threshold} * (length(x.text) + length(y.text))")
-    pairs = x.join(y, F.expr("x.g = y.g and x.id < y.id") & fits).select(F.col("x.id").alias("first"), F.col("y.id").alias("then"), indel_similarity("x.text", "y.text").alias("ratio")).where(F.col("ratio") > threshold)
+    pairs = x.join(y, F.expr("x.g = y.g and x.id < y.id and not y.initial") & fits).select(F.col("x.id").alias("first"), F.col("y.id").alias("then"), indel_similarity("x.text", "y.text").alias("ratio")).where(F.col("ratio") > threshold)
     kept = survivors_of(rows.select(F.col("id").alias("node")), pairs)
     return df.join(kept.select(F.col("node").alias(order), F.lit(False).alias("repeats")), order, "left").select(*df.columns, F.coalesce("repeats", F.lit(True)).alias("repeats"))

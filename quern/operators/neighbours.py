@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from quern.operators.sampling import lot
 from quern.shared import cut
 
 #: Vectors of a block.
@@ -100,3 +101,9 @@ def similarity_bins(queries: DataFrame, data: DataFrame, id_name: str, vec: str,
 
     found = _blocks(queries, id_name, vec, "q").crossJoin(_blocks(data, id_name, vec, "d")).mapInPandas(count, "bin int, n long")
     return found.groupBy("bin").agg(F.sum("n").alias("count"))
+
+
+def calibration(df: DataFrame, id_name: str, vec: str, most: int = 300, bins: int = 100, low: float = -1.0, high: float = 1.0, seed: int = 42) -> DataFrame:
+    """(bin, count) of the similarities of all pairs among at most `most` records, the first by lot."""
+    some = df.select(id_name, vec).orderBy(lot(id_name, seed), id_name).limit(most)
+    return similarity_bins(some, some, id_name, vec, bins, low, high).select("bin", (F.col("count") / 2).cast("long").alias("count"))

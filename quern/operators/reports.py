@@ -77,6 +77,14 @@ def colours(df: DataFrame, label: str) -> DataFrame:
     return distinct.select(label, (F.dense_rank().over(W.orderBy(label)) - 1).alias("number"))  # one row a label
 
 
+def scatter(points: DataFrame, records: DataFrame, order: str, field: str) -> DataFrame:
+    """(order, x, y, value, number): the points of a chart with the value of a field ('unknown' for null) and its colour
+    number in the legend."""
+    named = points.join(records.select(order, F.coalesce(F.col(field).cast("string"), F.lit("unknown")).alias("value")), order)
+    legend = colours(named, "value")
+    return named.join(legend, "value").select(order, "x", "y", "value", "number")
+
+
 def latest_tags(tags: Column, merged: dict[str, str]) -> Column:
     """An array of tags with each replaced by its entry in the map, one hop, repeats kept."""
     if not merged:

@@ -65,12 +65,26 @@ def similarity_histogram(spark, folder):
     return neighbours.similarity_bins(rows.where("vec_id % 20 = 0"), rows, "vec_id", "vec", 20, -1.0, 1.0)
 
 
+def neighbour_map(spark, folder):
+    return clustering.neighbour_map(_rows(spark, folder), "vec_id", "vec")
+
+
+def calibration_histogram(spark, folder):
+    return neighbours.calibration(_rows(spark, folder), "vec_id", "vec")
+
+
+def chart_points(spark, folder):
+    rows = _rows(spark, folder)
+    points = rows.select("vec_id", F.round(F.col("vec")[0], 4).alias("x"), F.round(F.col("vec")[1], 4).alias("y"))
+    return reports.scatter(points, rows, "vec_id", "label").withColumn("number", F.col("number").cast("int"))
+
+
 def label_numbers(spark, folder):
     return reports.colours(table(spark, folder, "qa_raw"), "generation_model").select("generation_model", F.col("number").cast("int").alias("number"))
 
 
 _DOT = "list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[]))"
-QUERIES = {f.__name__: f for f in (unit_vectors, neighbours_of_queries, similar_pairs, semantic_duplicates, similarity_components, noise_assigned, density_clusters, kmeans_clusters, plane_coordinates, similarity_histogram, label_numbers)}
+QUERIES = {f.__name__: f for f in (unit_vectors, neighbours_of_queries, similar_pairs, semantic_duplicates, similarity_components, noise_assigned, density_clusters, kmeans_clusters, plane_coordinates, similarity_histogram, neighbour_map, calibration_histogram, chart_points, label_numbers)}
 SQL = {
     "unit_vectors": """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: 3 * CAST(x AS DOUBLE)) AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM e),
 u AS (SELECT vec_id, list_transform(v, lambda x: CASE WHEN n = 0 THEN 0 ELSE x / n END) AS u FROM n)
@@ -88,5 +102,8 @@ r AS (SELECT DISTINCT i AS node, i AS seen FROM p UNION SELECT r.node, p.j FROM
     "noise_assigned": f"""WITH n AS (SELECT q.vec_id, arg_min(d.label, {{'d': list_distance(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])), 'i': d.vec_id}}) AS l FROM embeddings q, embeddings d WHERE q.label = 0 AND d.label <> 0 GROUP BY 1)
 SELECT vec_id, CAST(coalesce(n.l, e.label) AS INT) AS cluster_id FROM embeddings e LEFT JOIN n USING (vec_id)""",
     "similarity_histogram": f"SELECT CAST(least(19, greatest(0, floor(({_DOT} + 1) / 2 * 20))) AS INT) AS bin, count(*) AS count FROM embeddings q, embeddings d WHERE q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id GROUP BY 1",
+    "calibration_histogram": f"""WITH e AS (SELECT * FROM embeddings ORDER BY md5('42:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 300)
+SELECT CAST(least(99, greatest(0, floor(({_DOT} + 1) / 2 * 100))) AS INT) AS bin, count(*) AS count FROM e q JOIN e d ON q.vec_id < d.vec_id GROUP BY 1""",
+    "chart_points": "SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 4) + 0.0 AS x, round(CAST(embedding[2] AS DOUBLE), 4) + 0.0 AS y, CAST(label AS VARCHAR) AS value, CAST(dense_rank() OVER (ORDER BY CAST(label AS VARCHAR)) - 1 AS INT) AS number FROM embeddings",
     "label_numbers": "SELECT generation_model, CAST(row_number() OVER (ORDER BY generation_model) - 1 AS INT) AS number FROM (SELECT DISTINCT generation_model FROM qa_raw WHERE generation_model IS NOT NULL)",
 }

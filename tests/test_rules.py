@@ -246,6 +246,23 @@ def test_kmeans(spark):
     assert {r["cluster_id"] for r in clustering.kmeans(df.limit(2), "id", "vec").collect()} == {0} and clustering.kmeans(df.limit(0), "id", "vec").count() == 0
 
 
+def test_neighbour_map():
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=(40, 8)) + c * 12 for c in np.eye(8)[:3]])
+    y = clustering.neighbour_coordinates(x, turns=300)
+    middle = np.array([y[a : a + 40].mean(0) for a in (0, 40, 80)])
+    own = max(np.linalg.norm(y[40 * k : 40 * k + 40] - middle[k], axis=1).max() for k in range(3))
+    assert min(np.linalg.norm(middle[i] - middle[j]) for i in range(3) for j in range(i)) > 2 * own
+    assert clustering.neighbour_coordinates(x[:2]).shape == (2, 2)
+
+
+def test_in_loop_keeps_the_first_batch(spark):
+    rows = [(1, 1, "How do I read the meter?", True), (1, 2, "How do I read the meter??", True), (1, 3, "How do I read the meter!", False), (2, 4, "How do I read the meter?", None)]
+    df = spark.createDataFrame(rows, "g long, id long, q string, first boolean")
+    assert {r["id"] for r in dedup.in_loop(df, "g", "id", "q", initial="first").where("repeats").collect()} == {3}
+    assert {r["id"] for r in dedup.in_loop(df, "g", "id", "q").where("repeats").collect()} == {2, 3}
+
+
 def test_common_subsequences_of_many_pairs():
     rng = random.Random(6)
     left, right = (["".join(rng.choice("abcde ف") for _ in range(rng.choice([0, 1, 63, 64, 65, 130, 200, 520]))) for _ in range(24)] for _ in range(2))
