@@ -221,19 +221,22 @@ def kmeans(df: DataFrame, id_name: str, vec: str, least: int = 3, most: int = 30
                     if known is not None:
                         out[m] = out.get(m, 0.0) + _silhouette(x, own, *known[m][:3])
                         continue
-                    total = np.zeros_like(c)
-                    np.add.at(total, own, x)
+                    total = (own[None] == np.arange(len(c))[:, None]).astype(float) @ x
                     got = [total, np.bincount(own, (x**2).sum(1), len(c)), np.bincount(own, minlength=len(c)).astype(float), d.sum()]
                     out[m] = [p + q for p, q in zip(out[m], got)] if m in out else got
-            for (k, s), v in out.items():
-                flat = [float(v)] if known is not None else np.concatenate([np.ravel(p) for p in v]).tolist()
-                yield pd.DataFrame({"k": [k], "s": [s], "v": [flat]})
+            flat = [[float(v)] if known is not None else np.concatenate([np.ravel(p) for p in v]) for v in out.values()]
+            yield pd.DataFrame({"k": [m[0] for m in out], "s": [m[1] for m in out], "v": pd.Series(flat, dtype=object)}).astype({"k": "int32", "s": "int32"})
 
-        def whole(part: pd.DataFrame) -> pd.DataFrame:
-            return part.iloc[:1].assign(v=[np.sum([np.asarray(p) for p in part["v"]], axis=0)])
+        def whole(batches):
+            out: dict = {}
+            for b in batches:
+                for k, s, v in zip(b["k"], b["s"], b["v"]):
+                    out[k, s] = out[k, s] + v if (k, s) in out else np.asarray(v)
+            yield pd.DataFrame({"k": [m[0] for m in out], "s": [m[1] for m in out], "v": pd.Series([*out.values()], dtype=object)}).astype({"k": "int32", "s": "int32"})
 
         found: dict = {}
-        for r in rows.mapInPandas(add, "k int, s int, v array<double>").groupBy("k", "s").applyInPandas(whole, "k int, s int, v array<double>").collect():
+        schema = "k int, s int, v array<double>"
+        for r in rows.mapInPandas(add, schema).repartition("k", "s").mapInPandas(whole, schema).collect():
             v = np.asarray(r["v"])
             k, dim = r["k"], some.shape[1]
             found[k, r["s"]] = float(v[0]) if silhouettes is not None else (v[: k * dim].reshape(k, dim), v[k * dim : k * dim + k], v[k * dim + k : k * dim + 2 * k], float(v[-1]))
