@@ -140,7 +140,7 @@ def _merged_one_by_one(rows, vectors, threshold):
 
 def test_merged_tags(spark):
     rng = np.random.default_rng(5)
-    for trial in range(6):
+    for trial in range(3):
         names = [f"t{i}" for i in range(14)]
         vectors = {n: v / np.linalg.norm(v) for n, v in zip(names, rng.normal(size=(14, 3)))}
         rows = [(i, [names[k] for k in rng.integers(0, 14, rng.integers(0, 4))] if i % 5 else None) for i in range(40)]
