@@ -578,15 +578,16 @@ def _count_contexts(batches: Iterator[pd.DataFrame], bits: np.ndarray, columns:
 
 def flag(df: DataFrame, key: str, question: str, fields: list[str], sample: int = SAMPLE) -> DataFrame:
     """(key, field, defect) for each defective row and field, by a model fitted on at most `sample` different rows of
-    `df`, those with the least hash of their texts, and the contexts of all rows."""
+    `df`, those with the least hashed keys, and the contexts of all rows."""
     spark, context = df.sparkSession, df.sparkSession.sparkContext
     names = [f"f{i}" for i in range(len(fields))]
     narrow = df.select(F.col(key).alias("k"), F.col(question).alias("q"), *[F.col(c).alias(n) for c, n in zip(fields, names)])
-    # some more than the sample pass the first filter, so that no task sends many; copies have one lot and count once
-    lot = F.shiftrightunsigned(F.xxhash64(F.lit(7), "q", *names), 24)
+    # copies are one row, by the least lot of their keys; some more than the sample pass the filter, so that no task
+    # sends many
+    lot = F.shiftrightunsigned(F.xxhash64(F.lit(7), "k"), 24)
     total = max(1, narrow.count())
-    some = narrow.select("q", *names, lot.alias("lot")).where("q is not null").where(F.col("lot") < F.lit(int(min(1.0, (1.5 * sample + 200) / total) * (1 << 40))))
-    rows = some.distinct().orderBy("lot", "q", *names).limit(sample).toPandas()
+    some = narrow.where("q is not null").where(lot < F.lit(int(min(1.0, (1.5 * sample + 200) / total) * (1 << 40))))
+    rows = some.groupBy("q", *names).agg(F.min(lot).alias("lot")).orderBy("lot", "q", *names).limit(sample).toPandas()
     made = prepared(rows["q"].tolist(), [_strings(rows[n]) for n in names])
     # one row a response: those with an open ending, with its contexts, and the others
     parts = F.explode(F.array(*[F.struct(F.lit(i).alias("tag"), F.col(n).alias("t")) for i, n in enumerate(names)]))
