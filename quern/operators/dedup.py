@@ -8,14 +8,12 @@ loser goes, and a record that loses goes on comparing.  Whether a record starts
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from quern.functions.similarity import common_subsequences, indel_similarity
+from quern.functions import native
+from quern.functions.similarity import indel_similarity
 from quern.functions.text import normalized
 from quern.shared import cut, forget
 
@@ -82,18 +80,9 @@ def greedy(edges: DataFrame, weights: DataFrame, keep: str = "heavier") -> DataF
     return lost.union(beaten.select("node")).union(lost_at_turn).distinct()
 
 
-#: Texts of a block, and hash bins of pairs of characters.
-BLOCK, BINS = 1024, 512
-
-
-def _pairs_of_characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(counts, presence) of each text's pairs of neighbouring characters by hash bin."""
-    counts = np.zeros((len(texts), BINS), np.float32)
-    for row, t in enumerate(texts):
-        x = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        h = (x[:-1] * np.uint64(0x9E3779B97F4A7C15) + x[1:] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(40)
-        counts[row] = np.bincount((h % np.uint64(BINS)).astype(np.int64), minlength=BINS)
-    return counts, (counts > 0).astype(np.float32)
+#: Texts and characters of a block at most, texts of a block at least, and the blocks that texts are cut into where both
+#: bounds leave it open; texts of a block that are compared in one call.
+BLOCK, BLOCK_CHARS, LEAST, BLOCKS, SLICE = 32768, 1 << 22, 1024, 24, 1024
 
 
 def similar_strings(df: DataFrame, order: str, text: str, threshold: float) -> DataFrame:
@@ -101,74 +90,72 @@ def similar_strings(df: DataFrame, order: str, text: str, threshold: float) -> D
 
     Lossless candidate search.  The lengths of similar texts differ by the factor (2 - threshold) / threshold at most,
     so texts meet by length class and, where the threshold allows it, by script: a text of mostly ASCII characters is
-    not similar to one of mostly others.  Cells are cut into blocks of BLOCK texts by hash, so that a hot one is many
-    tasks, and blocks meet by their numbers.  Inside a pair of blocks, texts of lengths a and b with a common
-    subsequence of c have at least 3c - a - b - 1 pairs of neighbouring characters in common; one matrix product of
-    hashed pairs bounds them for all texts at once, and what is left is compared exactly, many pairs at a time.
+    not similar to one of mostly others.  Such cells are cut into blocks by hash, each pair of blocks is one row of one
+    task, and no pair of texts is compared twice.  Inside a pair of blocks (`native`), counts of characters bound the
+    common subsequence of two texts, and what is left is compared exactly.
 
-    Cost still grows with the square of a cell, at some 30 ns a pair.  Null and empty texts have no partner; a
-    threshold of 0 or less is an error.
+    Cost still grows with the square of a cell.  Null and empty texts have no partner; a threshold of 0 or less is an
+    error.
     """
     if threshold <= 0:
         raise ValueError("the threshold must be greater than 0")
     t = threshold
+    spark = df.sparkSession
     rows = df.select(F.col(order).cast("long").alias("id"), F.col(text).alias("text")).where("text <> ''").withColumn("n", F.length("text"))
     factor = (2 - t) / t
     size = F.floor(F.log("n") / F.lit(math.log(factor)) + 1e-9).cast("int") if factor > 1.0001 else F.col("n")
     other = F.length(F.regexp_replace("text", r"[\x00-\x7f]", "")) / F.col("n")
     apart = (t - 0.2) / factor > 1.2 - t  # texts of under a fifth and over four fifths of other characters can't meet
     script = F.when(other < 0.2, 0).when(other > 0.8, 2).otherwise(1) if apart else F.lit(1)
-    placed = cut(rows.select("id", "text", size.alias("size"), script.cast("int").alias("script")), "placed")
-    beside = F.when(F.col("script") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("script") == 2, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1), F.lit(2)))
-    visits = placed.select("id", "text", F.col("script"), F.explode(F.array(F.col("size"), F.col("size") - 1)).alias("cell"), F.col("size").alias("own"), beside.alias("met")).select("id", "text", "cell", (F.col("own") == F.col("cell")).alias("same"), F.explode("met").alias("met"))
-
-    def packed(side: DataFrame, keys: list[str], name: str) -> DataFrame:
-        sizes = side.groupBy(*keys).count().select(*keys, F.ceil(F.col("count") / BLOCK).alias("parts"))
-        cut_up = side.join(sizes, keys).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
-        return cut_up.groupBy(*keys, "part").agg(F.collect_list("id").alias(f"{name}_ids"), F.collect_list("text").alias(f"{name}_texts")).drop("part")
-
-    x = packed(placed.select("id", "text", F.col("size").alias("cell"), F.col("script").alias("met")), ["cell", "met"], "x")
-    y = packed(visits, ["cell", "met", "same"], "y")
-
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for xi, xt, yi, yt, same in zip(b["x_ids"], b["x_texts"], b["y_ids"], b["y_texts"], b["same"]):
-                xi, yi, xt, yt = np.asarray(xi), np.asarray(yi), list(xt), list(yt)
-                n, m = np.array([len(v) for v in xt]), np.array([len(v) for v in yt])
-                cx, px = _pairs_of_characters(xt)
-                cy, py = _pairs_of_characters(yt)
-                total = n[:, None] + m[None]
-                least = np.ceil(t * total / 2 - 1e-9)
-                ok = (np.minimum(cx @ py.T, px @ cy.T) >= 3 * least - total - 1) & (np.minimum(n[:, None], m[None]) >= least)
-                if same:
-                    ok &= xi[:, None] < yi[None]
-                i, j = np.nonzero(ok)
-                ratio = 2.0 * common_subsequences(xt, yt, i, j) / total[i, j]
-                good = ratio >= t
-                i, j, ratio = i[good], j[good], ratio[good]
-                other = np.array([xt[a] != yt[c] for a, c in zip(i, j)], bool)
-                i, j, ratio = i[other], j[other], ratio[other]
-                yield pd.DataFrame({"i": np.minimum(xi[i], yi[j]), "j": np.maximum(xi[i], yi[j]), "ratio": ratio})
-
-    return x.join(y, ["cell", "met"]).select("x_ids", "x_texts", "y_ids", "y_texts", "same").mapInPandas(meet, "i long, j long, ratio double")
+    placed = cut(rows.select("id", "text", "n", size.alias("size"), script.cast("int").alias("script")), "placed")
+
+    # the cells, one row a length class and script, their blocks, and which of them meet
+    cells = {(r["size"], r["script"]): r for r in placed.groupBy("size", "script").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("chars")).collect()}
+    block = min(BLOCK, max(LEAST, sum(r["rows"] for r in cells.values()) // BLOCKS))
+    parts = {c: max(-(-r["rows"] // block), -(-r["chars"] // BLOCK_CHARS)) for c, r in cells.items()}
+    starts, n = {}, 0
+    for c in sorted(parts):
+        starts[c], n = n, n + parts[c]
+    meets = []
+    for (a, s), n in parts.items():
+        for cell in [(a, z) for z in range(s + 1)] + [(a - 1, z) for z in range(3)]:  # of one length class, each two cells once
+            if abs(s - cell[1]) <= 1 and cell in parts:
+                x, y = starts[a, s], starts[cell]
+                meets += [(x + p, y + q) for p in range(n) for q in range(p if x == y else 0, parts[cell])]
+    numbered = spark.createDataFrame([(*c, parts[c], starts[c]) for c in sorted(parts)], "size int, script int, parts int, start int")
+    tasks = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(meets)], "task int, a int, b int")
+    own = F.col("start") + F.pmod(F.xxhash64("id"), "parts").cast("int")
+    blocks = cut(placed.join(F.broadcast(numbered), ["size", "script"]).groupBy(own.alias("block")).agg(F.collect_list("id").alias("ids"), F.collect_list("text").alias("texts")), "blocks")
+    count = max(1, min(len(meets), 2000))
+    x = blocks.join(F.broadcast(tasks), F.col("block") == F.col("a")).select("task", (F.col("a") == F.col("b")).alias("same"), F.col("ids").alias("xi"), F.col("texts").alias("xt")).repartition(count, "task")
+    y = blocks.join(F.broadcast(tasks), F.col("block") == F.col("b")).where("a <> b").select("task", F.col("ids").alias("yi"), F.col("texts").alias("yt")).repartition(count, "task")
+    at = x.join(y, "task", "left").withColumns({"yi": F.coalesce("yi", "xi"), "yt": F.coalesce("yt", "xt")}).withColumn("at", F.explode(F.sequence(F.lit(0), F.size("xi") - 1, F.lit(SLICE))))
+    cut_out = lambda c: F.slice(c, F.col("at") + 1, F.lit(SLICE))
+    found = F.call_udf(native.register(spark), cut_out("xt"), "yt", F.lit(float(t)), F.when(F.col("same"), F.col("at")).otherwise(-1), cut_out("xi"), "yi")
+    return at.select(F.inline(found))
 
 
 def fuzzy(df: DataFrame, order: str, text: str, weight: str, threshold: float = 0.85, keep: str = "heavier") -> DataFrame:
     """With `removed`: whether the greedy run over similar texts removes the record.
 
-    Equal texts are one in the candidate search and are expanded to edges afterwards, as equal texts are similar too.
+    Equal texts have the same partners and each other, so a record with a copy before it that is no lighter always goes
+    and decides nothing: either that copy beats it, or what beat the copy does.  Only the others, the `leads`, are
+    compared: one a text where the first stays, else as many as its weights rise in order.
     """
-    ranks = df.select(F.col(order).alias("id"), F.col(text).alias("text"), F.length(weight).alias("weight"))
-    same = exact(ranks.where("text is not null"), "id", "text", normalize=False)
-    first = same.select("id", F.coalesce("duplicate_of", "id").alias("first"))
-    distinct = same.where("duplicate_of is null").select("id", "text")
-    pairs = similar_strings(distinct, "id", "text", threshold).select("i", "j")
-    across = pairs.join(first.select(F.col("first").alias("i"), F.col("id").alias("a")), "i").join(first.select(F.col("first").alias("j"), F.col("id").alias("b")), "j")
-    x, y = first.alias("x"), first.alias("y")
+    ranks = df.select(F.col(order).alias("id"), F.col(text).alias("text"), (F.lit(0) if keep == "first" else F.coalesce(F.length(weight), F.lit(0))).alias("weight"))
+    rising = W.partitionBy("text").orderBy("id")
+    first = ranks.where("text is not null and id is not null").groupBy("text", "weight").agg(F.min("id").alias("id"))
+    above = first.select("id", "text", "weight", F.first("id").over(rising).alias("first"), F.max("weight").over(rising.rowsBetween(W.unboundedPreceding, -1)).alias("most"))
+    leads = cut(above.where("most is null or weight > most").drop("most"), "leads")
+    pairs = similar_strings(leads.where("id = first"), "id", "text", threshold).select("i", "j")
+    across = pairs.join(leads.select(F.col("first").alias("i"), F.col("id").alias("a")), "i").join(leads.select(F.col("first").alias("j"), F.col("id").alias("b")), "j")
+    x, y = leads.alias("x"), leads.alias("y")
     within = x.join(y, F.expr("x.first = y.first and x.id < y.id")).select(F.col("x.id").alias("i"), F.col("y.id").alias("j"))
     edges = across.select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).union(within)
-    gone = greedy(edges, ranks.select(F.col("id").alias("node"), F.coalesce("weight", F.lit(0)).alias("weight")), keep)
-    return df.join(gone.select(F.col("node").alias(order), F.lit(True).alias("__gone")), order, "left").withColumn("removed", F.coalesce("__gone", F.lit(False))).drop("__gone").select(*df.columns, "removed")
+    gone = greedy(edges, leads.select(F.col("id").alias("node"), "weight"), keep)
+    stay = leads.select("id").join(gone.select(F.col("node").alias("id")), "id", "left_anti")
+    out = df.join(stay.select(F.col("id").alias(order), F.lit(True).alias("__stays")), order, "left")
+    return out.withColumn("removed", F.col(text).isNotNull() & F.col(order).isNotNull() & F.col("__stays").isNull()).select(*df.columns, "removed")
 
 
 def ranked_edges(similar: DataFrame, most: int = 20) -> DataFrame:

@@ -183,6 +183,38 @@ def test_similar_strings(spark):
     assert {r["id"] for r in rows if r["removed"]} == _greedy(range(len(texts)), partners, {i: i % 4 for i in range(len(texts))})
 
 
+def test_similar_strings_of_all_lengths(spark):
+    rng = random.Random(8)
+    texts = []
+    for n in (40, 63, 64, 65, 127, 128, 129, 200, 300):
+        for letters in ("abcdef gh", "\u0627\u0628\u062a\u062b \u062c\u062d", "a\U0001f600b\U0001f601c "):
+            base = [rng.choice(letters) for _ in range(n)]
+            for share in (0, 0.02, 0.05, 0.1, 0.13, 0.16, 0.2):
+                x = list(base)
+                for _ in range(int(share * n)):
+                    k = rng.randrange(len(x))
+                    x[k : k + rng.randint(0, 1)] = rng.choice([[], [rng.choice(letters)]])
+                texts.append("".join(x))
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {(r["i"], r["j"]): r["ratio"] for r in dedup.similar_strings(df, "id", "text", 0.85).collect()}
+    want = {(i, j): indel_ratio(a, b) for i, a in enumerate(texts) for j, b in enumerate(texts) if i < j and a != b and indel_ratio(a, b) >= 0.85}
+    assert got == pytest.approx(want) and len(want) > 100
+
+
+@pytest.mark.parametrize("keep", ["heavier", "first"])
+def test_copies_of_similar_texts_are_few_edges(spark, monkeypatch, keep):
+    rng = random.Random(9)
+    texts = [rng.choice(["where is the meter of flat 12", "where is the meter of flat 13", "where is the meter of hut 13", "", "other"]) for _ in range(600)]
+    weights = [rng.choice([1, 1, 2, 3, 5, 8]) for _ in texts]
+    seen, greedy = [], dedup.greedy
+    monkeypatch.setattr(dedup, "greedy", lambda edges, *rest: seen.append(edges.count()) or greedy(edges, *rest))
+    df = spark.createDataFrame([(i, t, "x" * w) for i, (t, w) in enumerate(zip(texts, weights))], "id long, text string, w string")
+    rows = dedup.fuzzy(df, "id", "text", "w", keep=keep).collect()
+    partners = {i: [j for j in range(i + 1, len(texts)) if indel_ratio(a, texts[j]) >= 0.85] for i, a in enumerate(texts)}
+    assert len(rows) == 600 and {r["id"] for r in rows if r["removed"]} == _greedy(range(len(texts)), partners, weights, keep == "first")
+    assert seen[0] <= 300  # some 36,000 pairs of records are similar
+
+
 def test_exact_keeps_the_first(spark):
     df = spark.createDataFrame([(3, "a  b"), (1, " a b "), (2, "A b"), (4, None), (5, None), (6, "é"), (7, "é")], "id long, q string")
     got = {r["id"]: r["duplicate_of"] for r in dedup.exact(df, "id", "q").collect()}
