@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 #: LETTERS - 1 characters are counted by themselves, each up to LEVELS, of which 64 * WORDS are features; every LOOK
@@ -210,6 +211,14 @@ public class SimilarTexts implements org.apache.spark.sql.api.java.UDF6 {
 NAME = "quern_similar_texts"
 
 
+def _array(context: SparkContext, kind: object, *values: object) -> object:
+    """An array of the JVM."""
+    out = context._gateway.new_array(kind, len(values))
+    for k, v in enumerate(values):
+        out[k] = v
+    return out
+
+
 def register(spark: SparkSession) -> str:
     """The name under which the session has the function of texts x, texts y, threshold, offset, ids x, ids y to
     array<struct<i, j, ratio>>.  Its classes go to the executors as a jar, once an application."""
@@ -223,9 +232,12 @@ def register(spark: SparkSession) -> str:
             for name, code in dict(compiler.getBytecodes()).items():
                 z.writestr(name.replace(".", "/") + ".class", bytes(code))
         context._jsc.addJar(str(jar))
-        none = context._gateway.new_array(jvm.java.lang.Class, 0), context._gateway.new_array(jvm.java.lang.Object, 0)
-        context._quern_similar = compiler.getClassLoader().loadClass("quern.SimilarTexts").getDeclaredConstructor(none[0]).newInstance(none[1])
+        load, none = compiler.getClassLoader().loadClass, _array(context, jvm.java.lang.Class)
+        context._quern_similar = load("quern.SimilarTexts").getDeclaredConstructor(none).newInstance(_array(context, jvm.java.lang.Object))
+        # named by its types: by its arguments alone the gateway may take the one for Scala's functions
+        kinds = _array(context, jvm.java.lang.Class, load("org.apache.spark.sql.api.java.UDF6"), load("org.apache.spark.sql.types.DataType"))
+        context._quern_udf = load("org.apache.spark.sql.functions").getMethod("udf", kinds)
     kind = jvm.org.apache.spark.sql.types.DataType.fromDDL("array<struct<i:bigint,j:bigint,ratio:double>>")
-    made = getattr(jvm.org.apache.spark.sql.functions, "udf")(context._quern_similar, kind)
+    made = context._quern_udf.invoke(None, _array(context, jvm.java.lang.Object, context._quern_similar, kind))
     spark._jsparkSession.udf().register(NAME, made.asNondeterministic())  # dear: the optimizer must not repeat it
     return NAME
