@@ -83,4 +83,13 @@ def listed_of(questions: list[str], form: str = "bullet") -> str:
 
 def markers_in(text: Column, markers: list[str]) -> Column:
     """How many entries of the list occur in the text; overlapping entries count each, repeats don't."""
-    return F.size(F.filter(F.array(*[F.lit(m) for m in markers]), lambda m: F.contains(F.coalesce(text, F.lit("")), m))) if markers else F.lit(0)
+    if not markers:
+        return F.lit(0)
+    plain = [m for m in markers if m.isascii()]
+
+    @F.pandas_udf(T.IntegerType())
+    def count(texts: pd.Series) -> pd.Series:
+        # Python finds a word in a text of two-byte characters some ten times as fast as Spark in one of UTF-8
+        return pd.Series([len([m for m in (plain if t.isascii() else markers) if m in t]) if isinstance(t, str) else 0 for t in texts], index=texts.index, dtype="int32")
+
+    return count(text)

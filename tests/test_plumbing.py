@@ -97,6 +97,13 @@ def _records(spark):
     return spark.createDataFrame([(*r, "factual", "easy", "ctx") for r in rows], "item_seq long, question string, answer string, evaluation_criteria string, category string, difficulty string, context string")
 
 
+def test_markers_are_counted_in_batches(spark):
+    df = spark.createDataFrame([("حقي عشان عشان",), ("no such word",), ("is ok",), ("ok وش",), ("",), (None,)], "t string").select(X.markers_in(F.col("t"), ["حق", "حقي", "عشان", "وش", "ok"]).alias("n"))
+    assert [r["n"] for r in df.collect()] == [3, 0, 1, 2, 0, 0]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan  # a filter of an array is not compiled
+
+
 def test_cleaning(spark):
     stub = lambda: providers.Stub(answers=[("خطة السداد", '{"classification": "not_supported"}'), (".", "no json")])
     out = stages.cleaned(_records(spark), provider_of=stub)
